@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -51,33 +51,22 @@ def top_n(
     return df.withColumn(rank, F.row_number().over(w)).where(F.col(rank) <= n)
 
 
-def streaming_top_n(
-    df: DataFrame, *, window: Column, item: str, n: int, watermarked_on: str = "ts"
-) -> DataFrame:
-    """Top-N items per time window of a watermarked stream (append mode).
+def top_n_batches(
+    write: Callable[[DataFrame, int], None],
+    *,
+    keys: Sequence[str],
+    by: str,
+    ties: Sequence[str],
+    n: int,
+) -> Callable[[DataFrame, int], None]:
+    """`foreachBatch` function for top-N over a stream of closed window counts.
 
-    Ranking functions are not allowed on streams, so the per-window counts are
-    aggregated a second time. Each window keeps one entry per item in that step;
-    the array is cut to `n` at once.
+    Ranking is not allowed on a stream. In append mode all counts of a window come
+    out in the same micro-batch, so ranking the batch is exact, and no window's
+    counts are gathered in one task.
     """
-    counts = df.groupBy(window.alias("window"), item).agg(F.count(F.lit(1)).alias("ct"))
-    best = F.slice(
-        F.array_sort(
-            F.collect_list(F.struct((-F.col("ct")).alias("neg"), F.col(item).alias("item")))
-        ),
-        1,
-        n,
-    )
-    return (
-        counts.groupBy("window")
-        .agg(best.alias("best"))
-        .select(
-            F.col("window.end").alias("window_end"), F.posexplode("best").alias("pos", "b")
-        )
-        .select(
-            "window_end",
-            (F.col("pos") + 1).alias("rk"),
-            F.col("b.item").alias(item),
-            (-F.col("b.neg")).alias("ct"),
-        )
-    )
+
+    def rank(batch: DataFrame, batch_id: int) -> None:
+        write(top_n(batch, keys=keys, by=by, ties=ties, n=n), batch_id)
+
+    return rank

@@ -77,17 +77,6 @@ def window_aggregate(
     )
 
 
-def sliced(
-    df: DataFrame, *, keys: Sequence[str], ts: str, unit: int, measures: dict[str, Measure]
-) -> DataFrame:
-    """Pre-aggregate to one row per key and time slice of `unit` microseconds."""
-    return (
-        df.withColumn("_slice", floor_to(epoch_micros(ts), unit))
-        .groupBy(*keys, "_slice")
-        .agg(*[m.partial.alias(n) for n, m in measures.items()])
-    )
-
-
 def dense_hop(
     df: DataFrame,
     *,
@@ -96,28 +85,37 @@ def dense_hop(
     size: str,
     slide: str,
     measures: dict[str, Measure],
+    open_after: Column | None = None,
 ) -> DataFrame:
     """Sliding windows with many panes per row (1 h every 5 s is 720).
 
     Rows are never copied per pane. They are first reduced to one row per key and
-    slice; for counts and sums each slice then enters its first pane and leaves
+    span of panes; for counts and sums each span then enters at its first pane and leaves
     after its last, a running sum over those change points gives the value, and it
-    holds until the next change point. Cost: slices plus the windows put out. After
+    holds until the next change point. Cost: spans plus the windows put out. After
     the reduction a key has at most one row per slide step, whatever its row count,
     so the per-key window is bounded by the time range.
 
-    A measure without a difference (max, min) copies the slices, not the rows.
+    A measure without a difference (max, min) copies the spans, not the rows.
+    `open_after` (microseconds, null for none) keeps a row out of the panes that
+    start at or before it: the windows a late row finds closed.
     """
     size_us, slide_us = micros_of(size), micros_of(slide)
     unit = gcd(size_us, slide_us)
     keys = list(keys)
     # Non-null helper counting rows: a pane is put out only while it holds some.
     parts = {**measures, "_rows": count_rows()}
-    slices = sliced(df, keys=keys, ts=ts, unit=unit, measures=parts)
+    us = floor_to(epoch_micros(ts), unit)
     # Panes start at multiples of slide in (slice - size, slice]; slices lie on the unit grid.
-    first = floor_to(F.col("_slice") - size_us + slide_us, slide_us)
-    last = floor_to(F.col("_slice"), slide_us)
-    slices = slices.where(first <= last)
+    first = floor_to(us - size_us + slide_us, slide_us)
+    if open_after is not None:
+        first = F.greatest(first, floor_to(open_after, slide_us) + slide_us)
+    slices = (
+        df.select("*", first.alias("_first"), floor_to(us, slide_us).alias("_last"))
+        .where("_first <= _last")
+        .groupBy(*keys, "_first", "_last")
+        .agg(*[m.partial.alias(n) for n, m in parts.items()])
+    )
 
     if all(m.subtract for m in measures.values()):
         def signed(sign: int, at: Column) -> Column:
@@ -127,7 +125,7 @@ def dense_hop(
             )
 
         moves = slices.select(
-            *keys, F.explode(F.array(signed(1, first), signed(-1, last + slide_us))).alias("m")
+            *keys, F.explode(F.array(signed(1, F.col("_first")), signed(-1, F.col("_last") + slide_us))).alias("m")
         ).select(*keys, "m.*")
         points = moves.groupBy(*keys, "pane").agg(*[F.sum(n).alias(n) for n in parts])
         w = Window.partitionBy(*keys).orderBy("pane")
@@ -143,7 +141,7 @@ def dense_hop(
         )
     else:
         panes = (
-            slices.withColumn("pane", F.explode(F.sequence(first, last, F.lit(slide_us))))
+            slices.withColumn("pane", F.explode(F.sequence("_first", "_last", F.lit(slide_us))))
             .groupBy(*keys, "pane")
             .agg(*[m.merge(n).alias(n) for n, m in parts.items()])
         )
