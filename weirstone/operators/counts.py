@@ -16,7 +16,7 @@ def count_tumble(
     order: Sequence[str],
     size: int,
     aggs: dict[str, Column],
-    blocks: Blocks = DEFAULT_BLOCKS,
+    blocks: Blocks | None = DEFAULT_BLOCKS,
 ) -> DataFrame:
     """Fires at every `size`-th row of a key; an incomplete tail is never put out."""
     rows = numbered(df, keys=keys, order=order, name="_n", blocks=blocks)
@@ -38,7 +38,7 @@ def count_slide(
     slide: int,
     aggs: dict[str, Column],
     full_only: bool = False,
-    blocks: Blocks = DEFAULT_BLOCKS,
+    blocks: Blocks | None = DEFAULT_BLOCKS,
 ) -> DataFrame:
     """Fires at every `slide`-th row of a key over its last `size` rows.
 

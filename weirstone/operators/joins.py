@@ -115,7 +115,7 @@ def control_switch(
     seq: str,
     value: str,
     name: str = "switch",
-    blocks: Blocks = DEFAULT_BLOCKS,
+    blocks: Blocks | None = DEFAULT_BLOCKS,
 ) -> DataFrame:
     """Each data row with the latest control value that arrived before it.
 

@@ -21,7 +21,7 @@ from weirstone.operators.running import (
 
 
 def watermark_trace(
-    df: DataFrame, *, ts: str, order: Sequence[str], delay: str, blocks: Blocks = DEFAULT_BLOCKS
+    df: DataFrame, *, ts: str, order: Sequence[str], delay: str, blocks: Blocks | None = DEFAULT_BLOCKS
 ) -> DataFrame:
     """Watermark after each arrival: largest event time so far minus `delay`."""
     out = running(df, keys=[], order=order, folds={"_max": running_max(epoch_micros(ts))}, blocks=blocks)
@@ -37,7 +37,7 @@ def classify_lateness(
     slide: str | None = None,
     delay: str,
     lateness: str = "0 seconds",
-    blocks: Blocks = DEFAULT_BLOCKS,
+    blocks: Blocks | None = DEFAULT_BLOCKS,
 ) -> DataFrame:
     """Add `_wm` (microseconds) and `lateness`: on_time, late (refires) or too_late.
 

@@ -15,7 +15,7 @@ def over_unbounded(
     keys: Sequence[str] = (),
     order: Sequence[str],
     folds: dict[str, Fold],
-    blocks: Blocks = DEFAULT_BLOCKS,
+    blocks: Blocks | None = DEFAULT_BLOCKS,
 ) -> DataFrame:
     """All rows so far, rows of equal order being peers (RANGE frame).
 
@@ -31,7 +31,7 @@ def over_rows(
     order: Sequence[str],
     preceding: int,
     aggs: dict[str, Column],
-    blocks: Blocks = DEFAULT_BLOCKS,
+    blocks: Blocks | None = DEFAULT_BLOCKS,
 ) -> DataFrame:
     """ROWS BETWEEN n PRECEDING AND CURRENT ROW."""
     return trailing_rows(

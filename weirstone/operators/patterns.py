@@ -14,6 +14,7 @@ from weirstone.functions.timecols import epoch_micros, from_micros, micros_of
 from weirstone.operators.running import (
     DEFAULT_BLOCKS,
     Blocks,
+    cut_rows,
     last_known,
     last_known_before,
     previous,
@@ -30,7 +31,7 @@ def strict_repeat(
     matches: Column,
     times: int,
     within: str,
-    blocks: Blocks = DEFAULT_BLOCKS,
+    blocks: Blocks | None = DEFAULT_BLOCKS,
 ) -> DataFrame:
     """`times` consecutive matching rows of a key in less than `within`; matches overlap.
 
@@ -61,7 +62,7 @@ def followed_by(
     starts: Column,
     ends: Column,
     within: str,
-    blocks: Blocks = DEFAULT_BLOCKS,
+    blocks: Blocks | None = DEFAULT_BLOCKS,
 ) -> tuple[DataFrame, DataFrame]:
     """(matched, timed out) for a start followed, not necessarily at once, by an end.
 
@@ -96,7 +97,7 @@ def pay_monitor(
     creates: Column,
     pays: Column,
     within: str,
-    blocks: Blocks = DEFAULT_BLOCKS,
+    blocks: Blocks | None = DEFAULT_BLOCKS,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(paid, paid without an open create, created and not paid).
 
@@ -141,7 +142,7 @@ def fails_in_window(
     fails: Column,
     within: str,
     at_least: int,
-    blocks: Blocks = DEFAULT_BLOCKS,
+    blocks: Blocks | None = DEFAULT_BLOCKS,
 ) -> DataFrame:
     """The first fail after a success opens a window; report it with >= `at_least` fails.
 
@@ -149,6 +150,7 @@ def fails_in_window(
     """
     ts = order[0]
     rows = df.select(*keys, *order, fails.alias("_fail"), epoch_micros(ts).alias("_us"))
+    rows, blocks = cut_rows(rows, keys, ts, blocks)
     marked = running(
         rows, keys=keys, order=order, folds={"_before": previous(F.col("_fail"))}, blocks=blocks,
         keep_block=True,
@@ -178,7 +180,7 @@ def fail_pairs(
     order: Sequence[str],
     fails: Column,
     within: str,
-    blocks: Blocks = DEFAULT_BLOCKS,
+    blocks: Blocks | None = DEFAULT_BLOCKS,
 ) -> DataFrame:
     """Two fails next to each other in arrival order, at most `within` apart."""
     rows = df.select(*keys, *dict.fromkeys([*order, ts]), fails.alias("_fail"), epoch_micros(ts).alias("_us"))
@@ -203,7 +205,7 @@ def no_drop_alerts(
     value: str,
     hold: str,
     strict: bool = False,
-    blocks: Blocks = DEFAULT_BLOCKS,
+    blocks: Blocks | None = DEFAULT_BLOCKS,
 ) -> DataFrame:
     """Runs in which `value` does not drop for longer than `hold`, one alert per run.
 
@@ -213,6 +215,7 @@ def no_drop_alerts(
     """
     ts, hold_us = order[0], micros_of(hold)
     rows = df.select(*keys, *order, F.col(value).alias("_v"), epoch_micros(ts).alias("_us"))
+    rows, blocks = cut_rows(rows, keys, ts, blocks)
     stepped = running(
         rows, keys=keys, order=order, folds={"_prev": previous(F.col("_v"))}, blocks=blocks, keep_block=True
     )

@@ -9,15 +9,16 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from weirstone.operators.running import (
     BLOCK,
     DEFAULT_BLOCKS,
+    WHOLE,
     Blocks,
     Fold,
+    cut_rows,
     first_value,
     numbered,
     running,
     running_count,
     running_max,
     running_sum,
-    with_block,
 )
 
 
@@ -32,7 +33,7 @@ def rolling_max(
     order: Sequence[str],
     value: str,
     keep: Sequence[str],
-    blocks: Blocks = DEFAULT_BLOCKS,
+    blocks: Blocks | None = DEFAULT_BLOCKS,
 ) -> DataFrame:
     """Running maximum of `value`; the `keep` fields stay those of the key's first row."""
     folds: dict[str, Fold] = {f"first_{c}": first_value(F.col(c)) for c in keep}
@@ -48,7 +49,7 @@ def rolling_max_by(
     value: str,
     keep: Sequence[str],
     newest_on_tie: bool = True,
-    blocks: Blocks = DEFAULT_BLOCKS,
+    blocks: Blocks | None = DEFAULT_BLOCKS,
 ) -> DataFrame:
     """Running row with the largest `value`, as columns `best_*`.
 
@@ -69,7 +70,7 @@ def rolling_max_by(
 
 
 def rolling_reduce(
-    df: DataFrame, *, keys, order, folds: dict[str, Fold], blocks: Blocks = DEFAULT_BLOCKS
+    df: DataFrame, *, keys, order, folds: dict[str, Fold], blocks: Blocks | None = DEFAULT_BLOCKS
 ) -> DataFrame:
     """(accumulated, row) -> row with a fold per field, emitted at each step.
 
@@ -90,7 +91,7 @@ def rolling_average(df, *, keys, order, value: str, name: str = "mean", blocks=D
 
 
 def changelog_count(
-    df: DataFrame, *, keys: Sequence[str], order: Sequence[str], blocks: Blocks = DEFAULT_BLOCKS
+    df: DataFrame, *, keys: Sequence[str], order: Sequence[str], blocks: Blocks | None = DEFAULT_BLOCKS
 ) -> DataFrame:
     """Changelog of a count: each row retracts the old value and adds the new one.
 
@@ -124,7 +125,7 @@ def running_distinct(
     value: str,
     order: Sequence[str],
     name: str = "uv",
-    blocks: Blocks = DEFAULT_BLOCKS,
+    blocks: Blocks | None = DEFAULT_BLOCKS,
 ) -> DataFrame:
     """New distinct count each time an unseen `value` arrives."""
     seen = first_per_key(df.select(*keys, value, *order), keys=[*keys, value], order=order)
@@ -155,7 +156,7 @@ def running_top(
     value: str,
     n: int = 3,
     name: str = "top",
-    blocks: Blocks = DEFAULT_BLOCKS,
+    blocks: Blocks | None = DEFAULT_BLOCKS,
 ) -> DataFrame:
     """List of the key's `n` largest values so far, on every row, largest first.
 
@@ -163,13 +164,19 @@ def running_top(
     """
     keys = list(keys)
     item = F.struct(F.col(value).alias("v"), (-F.col(order[0])).alias("o"))
-    cut = with_block(df, order[0], blocks)
+    cut, blocks = cut_rows(df, keys, order[0], blocks)
+    tops = [f"_top{i}" for i in range(1, n + 1)]
+    if blocks is None:
+        merged = _top_frames(cut, Window.partitionBy(*keys).orderBy(*order), item, n, "_top")
+        pool = F.array_compact(F.array(*tops))
+        return merged.select(*df.columns, F.transform(pool, lambda t: t["v"]).alias(name))
     in_block = Window.partitionBy(*keys, BLOCK).orderBy(*order)
     local = _top_frames(cut, in_block, item, n, "_top")
     # Block totals: its n best items, found with a per-task limit before the shuffle.
     best_first = Window.partitionBy(*keys, BLOCK).orderBy(F.col("_item").desc())
     best = (
-        cut.select(*keys, BLOCK, item.alias("_item"))
+        cut.where(F.col(BLOCK) != WHOLE)
+        .select(*keys, BLOCK, item.alias("_item"))
         .withColumn("_rk", F.row_number().over(best_first))
         .where(F.col("_rk") <= n)
     )
@@ -182,10 +189,6 @@ def running_top(
         *keys, BLOCK, F.lag("_upto").over(Window.partitionBy(*keys).orderBy(BLOCK)).alias("_c")
     )
     merged = local.join(carried, [*keys, BLOCK], "left")
-    pool = F.array_compact(
-        F.array(
-            *[F.col(f"_top{i}") for i in range(1, n + 1)], *[F.col(f"_c._c{i}") for i in range(1, n + 1)]
-        )
-    )
+    pool = F.array_compact(F.array(*tops, *[F.col(f"_c._c{i}") for i in range(1, n + 1)]))
     top = F.slice(F.sort_array(pool, asc=False), 1, n)
     return merged.select(*df.columns, F.transform(top, lambda t: t["v"]).alias(name))

@@ -1,18 +1,23 @@
-"""Running (rolling) values per key without putting a key into one task.
+"""Running (rolling) values per key without putting a hot key into one task.
 
 A plain `Window.partitionBy(key).orderBy(seq)` sorts every row of a key in one
-task, so a key holding a third of the data decides the run time. Here the order
-column is cut into blocks; the window runs inside (key, block), one total per
-(key, block) is folded over the earlier blocks, and the carried value is joined
-back:
-
-    rows --exchange(key, block)--> window ------------------+--> join --> merge
-    rows --partial agg--exchange--> totals --> prefix(key) --+
-
-The rows are shuffled once; the totals are map-side combined, and no key can
-have more totals than there are blocks. The carry side is joined without a hint:
-Spark broadcasts it only below its own size threshold and sort-merges on the
-partitioning the window already has otherwise.
+task, so a key holding a third of the data decides the run time. Here two small
+statistics are taken first: the row count with quantiles of the order column, and
+the keys holding more than 1/1024 of the rows (fewer than 1024 keys, whatever the
+data). Without such keys the plain window is planned. With them, only their rows
+are cut into blocks of the order column: the window runs inside (key, block), one
+total per (key, block) is folded over the earlier blocks, and the carried value is
+joined back:
+
+    rows ----exchange(key, block)--> window ----------------+--> join --> merge
+    hot rows --partial agg--exchange--> totals --> prefix --+
+
+The rows are shuffled once; the totals are map-side combined and a key has no more
+of them than there are blocks. The carry side is joined without a hint: Spark
+broadcasts it only below its own size threshold, and otherwise sort-merges on the
+partitioning and order the window already has.
+
+Statistics only balance the work; any block bounds give the same result.
 """
 
 from __future__ import annotations
@@ -26,18 +31,19 @@ from weirstone.functions.timecols import epoch_micros
 
 BLOCK = "_blk"
 
+# Block of every row whose key is not hot.
+WHOLE = -1
+
+HOT_SHARE = 1024
+CELLS = 32
+
 
 @dataclass(frozen=True)
 class Blocks:
-    """How the order column is cut: about `rows` rows a block, `limit` blocks at most.
-
-    `width` (in units of the order column, microseconds for timestamps) fixes the
-    cut and saves the counting pass.
-    """
+    """About `rows` rows a block, `limit` blocks at most; smaller keys stay whole."""
 
-    rows: int = 1 << 16
+    rows: int = 1 << 10
     limit: int = 1 << 16
-    width: int | None = None
 
 
 DEFAULT_BLOCKS = Blocks()
@@ -52,25 +58,60 @@ def order_number(df: DataFrame, name: str) -> Column:
     return F.col(name).cast("long")
 
 
-def with_block(df: DataFrame, order: str, blocks: Blocks = DEFAULT_BLOCKS) -> DataFrame:
-    """Add the block column: a non-decreasing step function of `order`.
+def _steps(x: Column, bounds: list[int], pieces: int) -> Column:
+    """Non-decreasing step function of `x`: quantile cells, each cut evenly.
 
-    A column left by an earlier pass (`keep_block`) is used again.
+    The cells follow bursts; the even cut inside them needs no further bounds.
     """
-    if BLOCK in df.columns:
-        return df
+    if len(bounds) < 2:
+        return F.lit(0).cast("long")
+    cells = len(bounds) - 1
+    per_cell = -(-pieces // cells)
+    cell = F.lit(0)
+    for bound in bounds[1:-1]:
+        cell = cell + (x >= F.lit(bound)).cast("int")
+    edges = F.array(*[F.lit(b) for b in bounds])
+    low, high = F.element_at(edges, cell + 1), F.element_at(edges, cell + 2)
+    inside = F.floor((x - low) / (high - low) * per_cell).cast("long")
+    inside = F.least(F.greatest(inside, F.lit(0)), F.lit(per_cell - 1))
+    return cell.cast("long") * per_cell + inside
+
+
+def cut_rows(
+    df: DataFrame, keys: Sequence[str], order: str, blocks: Blocks | None = DEFAULT_BLOCKS
+) -> tuple[DataFrame, Blocks | None]:
+    """Add the block column if some key needs it; else return (df, None).
+
+    Runs the two statistics jobs. A frame that has the column already is not cut
+    again.
+    """
+    if blocks is None or BLOCK in df.columns:
+        return df, blocks
+    keys = list(keys)
     x = order_number(df, order)
-    if blocks.width is not None:
-        return df.withColumn(BLOCK, x - F.pmod(x, F.lit(blocks.width)))
-    span = df.agg(
-        F.struct(
-            F.min(x).alias("lo"), F.max(x).alias("hi"), F.count(F.lit(1)).alias("n")
-        ).alias("span")
-    ).scalar()
-    pieces = F.least(F.greatest(F.ceil(span["n"] / blocks.rows), F.lit(1)), F.lit(blocks.limit))
-    width = F.floor((span["hi"] - span["lo"]) / pieces).cast("long") + 1
-    offset = x - span["lo"]
-    return df.withColumn(BLOCK, offset - F.pmod(offset, width))
+    shares = [i / CELLS for i in range(CELLS + 1)]
+    stats = df.agg(
+        F.count(F.lit(1)).alias("n"), F.percentile_approx(x, shares, 1000).alias("bounds")
+    ).first()
+    if stats.n <= blocks.rows:
+        return df, None
+    step = _steps(x, sorted(set(stats.bounds)), min(-(-stats.n // blocks.rows), blocks.limit))
+    if not keys:
+        return df.withColumn(BLOCK, step), blocks
+    # More than n / HOT_SHARE rows each, so fewer than HOT_SHARE keys.
+    enough = max(blocks.rows, stats.n // HOT_SHARE)
+    hot = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > enough)
+    found = hot.select(*keys).collect()
+    if not found:
+        return df, None
+    if len(keys) == 1:
+        is_hot = F.col(keys[0]).isin([r[0] for r in found])
+        return df.withColumn(BLOCK, F.when(is_hot, step).otherwise(F.lit(WHOLE))), blocks
+    marks = df.sparkSession.createDataFrame(found, hot.select(*keys).schema).withColumn("_hot", F.lit(True))
+    flagged = df.join(F.broadcast(marks), keys, "left")
+    return flagged.select(
+        *df.columns, F.when(F.col("_hot"), step).otherwise(F.lit(WHOLE)).alias(BLOCK)
+    ), blocks
 
 
 @dataclass(frozen=True)
@@ -185,33 +226,41 @@ def running(
     keys: Sequence[str],
     order: Sequence[str],
     folds: dict[str, Fold],
-    blocks: Blocks = DEFAULT_BLOCKS,
+    blocks: Blocks | None = DEFAULT_BLOCKS,
     peers: bool = False,
     reverse: bool = False,
     keep_block: bool = False,
 ) -> DataFrame:
     """Add one running column per fold.
 
-    `order` must be unique within a key unless `peers` is set; the blocks are cut
-    on its first column. `peers` lets rows equal in that order share a value
-    (the SQL default RANGE frame). `reverse` runs from the last row backwards.
-    Keys must not be null, as for any keyed operator here.
+    `order` must be unique within a key unless `peers` is set; blocks are cut on
+    its first column. `peers` lets rows equal in that order share a value (the SQL
+    default RANGE frame). `reverse` runs from the last row backwards. Keys must not
+    be null, as for any keyed operator here.
 
-    The input is read twice (rows and totals). `keep_block` leaves the block
-    column for a second pass over the same order, which then needs no shuffle of
-    the rows; do not stack more than two passes, checkpoint in between.
+    For two passes over the same order call `cut_rows` first and hand its result to
+    both, the first with `keep_block`: the second then needs no shuffle of the
+    rows. Hot rows are read once more per pass for the totals, so do not stack more
+    than two passes; checkpoint in between.
     """
     keys = list(keys)
-    cut = with_block(df, order[0], blocks)
+    kept = [c for c in df.columns if c not in folds and c != BLOCK]
+    cut, blocks = cut_rows(df, keys, order[0], blocks)
+    blocked = blocks is not None
     sort = [F.col(c).desc() if reverse else F.col(c).asc() for c in order]
-    ordered = Window.partitionBy(*keys, BLOCK).orderBy(*sort)
+    ordered = Window.partitionBy(*keys, *([BLOCK] if blocked else [])).orderBy(*sort)
     bounds = (Window.unboundedPreceding, Window.currentRow)
     frame = ordered.rangeBetween(*bounds) if peers else ordered.rowsBetween(*bounds)
     rank = F.struct(*[F.col(c) for c in order])
 
     local = cut.select("*", *[f.local(ordered, frame).alias(f"_l_{n}") for n, f in folds.items()])
-    totals = cut.groupBy(*keys, BLOCK).agg(
-        *[f.total(rank, reverse).alias(f"_t_{n}") for n, f in folds.items()]
+    if not blocked:
+        none = F.lit(None)
+        return local.select(*kept, *[f.merge(none, F.col(f"_l_{n}")).alias(n) for n, f in folds.items()])
+    totals = (
+        cut.where(F.col(BLOCK) != WHOLE)
+        .groupBy(*keys, BLOCK)
+        .agg(*[f.total(rank, reverse).alias(f"_t_{n}") for n, f in folds.items()])
     )
     step = F.col(BLOCK).desc() if reverse else F.col(BLOCK).asc()
     earlier = (
@@ -221,7 +270,6 @@ def running(
         *keys, BLOCK, *[f.carry(F.col(f"_t_{n}"), earlier).alias(f"_c_{n}") for n, f in folds.items()]
     )
     merged = local.join(carried, [*keys, BLOCK], "left")
-    kept = [c for c in df.columns if c not in folds and c != BLOCK]
     if keep_block:
         kept.append(BLOCK)
     return merged.select(
@@ -230,31 +278,29 @@ def running(
 
 
 def numbered(df: DataFrame, *, keys: Sequence[str], order: Sequence[str], name: str = "n",
-             blocks: Blocks = DEFAULT_BLOCKS) -> DataFrame:
+             blocks: Blocks | None = DEFAULT_BLOCKS) -> DataFrame:
     """1-based arrival number of each row within its key."""
     return running(df, keys=keys, order=order, folds={name: running_count()}, blocks=blocks)
 
 
-def trailing_rows(
+def chunked(
     df: DataFrame,
     *,
     keys: Sequence[str],
     order: Sequence[str],
     preceding: int,
-    aggs: dict[str, Column],
-    number: str = "n",
-    chunk: int = 1 << 16,
-    blocks: Blocks = DEFAULT_BLOCKS,
+    number: str,
+    chunk: int,
+    blocks: Blocks | None = DEFAULT_BLOCKS,
 ) -> DataFrame:
-    """Aggregates over the row and the `preceding` rows before it, per key.
+    """Rows numbered per key and placed in chunks (`_at`) of consecutive numbers.
 
-    Rows are numbered per key, cut into chunks of `chunk` consecutive numbers, and
-    the last `preceding` rows of a chunk are also sent to the next one, so each
-    frame is complete inside one chunk and no task holds more than a chunk of a key.
+    The last `preceding` rows of a chunk are also sent to the next one (`_own`
+    false), so a frame of so many rows is complete inside one chunk and no task
+    holds more than a chunk of a key.
     """
     if preceding >= chunk:
         raise ValueError("preceding must be smaller than chunk")
-    keys = list(keys)
     rows = numbered(df, keys=keys, order=order, name=number, blocks=blocks)
     zero = F.col(number) - 1
     home = F.floor(zero / F.lit(chunk)).cast("long")
@@ -262,6 +308,36 @@ def trailing_rows(
     placed = rows.withColumn(
         "_at", F.explode(F.when(near_end, F.array(home, home + 1)).otherwise(F.array(home)))
     )
+    return placed.withColumn("_own", F.col("_at") == home)
+
+
+def trailing_rows(
+    df: DataFrame,
+    *,
+    keys: Sequence[str],
+    order: Sequence[str],
+    preceding: int,
+    aggs: dict[str, Column],
+    number: str = "n",
+    chunk: int = 1 << 16,
+    blocks: Blocks | None = DEFAULT_BLOCKS,
+) -> DataFrame:
+    """Aggregates over the row and the `preceding` rows before it, per key.
+
+    Without hot keys this is one window; with them see `chunked`.
+    """
+    keys = list(keys)
+    cut, blocks = cut_rows(df, keys, order[0], blocks)
+    if blocks is None:
+        w = Window.partitionBy(*keys).orderBy(*order)
+        return cut.select(
+            *df.columns,
+            F.row_number().over(w).cast("long").alias(number),
+            *[agg.over(w.rowsBetween(-preceding, 0)).alias(name) for name, agg in aggs.items()],
+        )
+    placed = chunked(
+        cut, keys=keys, order=order, preceding=preceding, number=number, chunk=chunk, blocks=blocks
+    )
     w = Window.partitionBy(*keys, "_at").orderBy(number).rowsBetween(-preceding, 0)
     out = placed.select("*", *[agg.over(w).alias(name) for name, agg in aggs.items()])
-    return out.where(F.col("_at") == F.floor((F.col(number) - 1) / F.lit(chunk)).cast("long")).drop("_at")
+    return out.where("_own").drop("_at", "_own")

@@ -17,9 +17,10 @@ from weirstone.operators.running import (
     BLOCK,
     DEFAULT_BLOCKS,
     Blocks,
+    WHOLE,
     Fold,
+    cut_rows,
     running,
-    with_block,
 )
 
 
@@ -42,6 +43,10 @@ def count_rows() -> Measure:
     return Measure(F.count(F.lit(1)), "sum", subtract=True)
 
 
+def count_of(x: Column | str) -> Measure:
+    return Measure(F.count(x), "sum", subtract=True)
+
+
 def sum_of(x: Column | str) -> Measure:
     return Measure(F.sum(x), "sum", subtract=True)
 
@@ -160,29 +165,33 @@ def session_windows(
     ts: str,
     gap: str,
     measures: dict[str, Measure],
-    blocks: Blocks = DEFAULT_BLOCKS,
+    blocks: Blocks | None = DEFAULT_BLOCKS,
 ) -> DataFrame:
     """Session windows of a bounded table; rows exactly one gap apart still merge.
 
-    Spark's `session_window` brings all rows of a key together. Here sessions are
-    cut inside time blocks first; only what a block knows about its borders (first
+    Spark's `session_window` brings all rows of a key together. Here the sessions of
+    a hot key are cut inside time blocks first; only what a block knows about its borders (first
     and last time, start of its last session) is folded across blocks, and partial
     sessions are then merged by their start. For a stream use `session_window`.
     """
     gap_us = micros_of(gap)
     keys = list(keys)
-    cut = with_block(df.withColumn("_us", epoch_micros(ts)), "_us", blocks)
-    w = Window.partitionBy(*keys, BLOCK).orderBy("_us")
+    timed = df.withColumn("_us", epoch_micros(ts))
+    cut, blocks = cut_rows(timed, keys, "_us", blocks)
+    group = [*keys, BLOCK] if blocks else keys
+    w = Window.partitionBy(*group).orderBy("_us")
     marked = cut.withColumn(
         "_opens", F.when(F.col("_us") - F.lag("_us").over(w) > gap_us, F.col("_us"))
     ).withColumn("_start", F.max("_opens").over(w.rangeBetween(Window.unboundedPreceding, 0)))
     # Head rows of a block have no start yet: their session may come from before.
-    pieces = marked.groupBy(*keys, BLOCK, "_start").agg(
+    pieces = marked.groupBy(*group, "_start").agg(
         F.min("_us").alias("_from"),
         F.max("_us").alias("_to"),
         *[m.partial.alias(n) for n, m in measures.items()],
     )
-    borders = pieces.groupBy(*keys, BLOCK).agg(
+    if blocks is None:
+        return _labelled(pieces.withColumn("_begin", F.col("_from")), keys, gap_us, measures)
+    borders = pieces.where(F.col(BLOCK) != WHOLE).groupBy(*keys, BLOCK).agg(
         F.min("_from").alias("_from"), F.max("_to").alias("_to"), F.max("_start").alias("_last")
     )
     by_key = Window.partitionBy(*keys).orderBy(BLOCK)
@@ -202,10 +211,14 @@ def session_windows(
     )
     whole = (
         pieces.join(entries, [*keys, BLOCK], "left")
-        .groupBy(*keys, F.coalesce("_start", "_entry").alias("_begin"))
+        .groupBy(*keys, F.coalesce("_start", "_entry", "_from").alias("_begin"))
         .agg(F.max("_to").alias("_to"), *[m.merge(n).alias(n) for n, m in measures.items()])
     )
-    return whole.select(
+    return _labelled(whole, keys, gap_us, measures)
+
+
+def _labelled(sessions: DataFrame, keys: list[str], gap_us: int, measures: dict[str, Measure]) -> DataFrame:
+    return sessions.select(
         *keys,
         from_micros(F.col("_begin")).alias("window_start"),
         from_micros(F.col("_to") + gap_us).alias("window_end"),
@@ -237,7 +250,7 @@ def early_results(
     size: str,
     order: Sequence[str],
     folds: dict[str, Fold],
-    blocks: Blocks = DEFAULT_BLOCKS,
+    blocks: Blocks | None = DEFAULT_BLOCKS,
 ) -> DataFrame:
     """A window that fires on every row: the running value inside its window."""
     start = floor_to(epoch_micros(ts), micros_of(size))

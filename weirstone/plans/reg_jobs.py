@@ -116,11 +116,11 @@ def ad_blacklist(spark, folder):
     "ad_clicks_province",
     f"""WITH {_CLICKS}, passed AS (SELECT province, ts FROM judged WHERE n < 2)
     SELECT province, make_timestamp(ws) AS window_start, make_timestamp(ws + {HOUR}) AS window_end, count(*) AS ct
-    FROM {paned('passed', HOUR, 5_000_000)} GROUP BY province, ws""",
+    FROM {paned('passed', HOUR, MINUTE)} GROUP BY province, ws""",
 )
 def ad_clicks_province(spark, folder):
     passed = _judged(spark, folder).where("verdict = 'pass'")
-    return ads.clicks_by_province(passed, province="province", ts="ts")
+    return ads.clicks_by_province(passed, province="province", ts="ts", slide="1 minute")
 
 
 @query("sensor_counts", f"WITH {SENSOR} SELECT id, count(*) AS ct FROM sensor GROUP BY id")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from weirstone.operators.over import over_rows, over_unbounded
 from weirstone.operators.rolling import running_top
-from weirstone.operators.running import running_count, running_sum
+from weirstone.operators.running import chunked, running_count, running_sum
 from weirstone.plans.hot_lists import hot_items
 from weirstone.plans.inputs import HOUR, SENSOR, paned, sensor
 from weirstone.plans.registry import query
@@ -47,11 +47,15 @@ def over_range_event(spark, folder):
     WINDOW w AS (PARTITION BY user_id ORDER BY seq ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)""",
 )
 def sql_over_named(spark, folder):
-    """The plain SQL form; `over_rows_2` is the form for hot keys."""
-    as_view(sensor(spark, folder), "sensor_over")
+    """A named window over a view whose chunks split hot keys."""
+    rows = sensor(spark, folder).select("user_id", "seq", "vc")
+    as_view(
+        chunked(rows, keys=["user_id"], order=["seq"], preceding=2, number="n", chunk=1 << 16), "sensor_over"
+    )
     return spark.sql(
-        "SELECT user_id, seq, count(vc) OVER w AS ct, sum(vc) OVER w AS vc_sum FROM sensor_over"
-        " WINDOW w AS (PARTITION BY user_id ORDER BY seq ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)"
+        "SELECT user_id, seq, ct, vc_sum FROM (SELECT *, count(vc) OVER w AS ct, sum(vc) OVER w AS vc_sum"
+        " FROM sensor_over WINDOW w AS (PARTITION BY user_id, _at ORDER BY n ROWS BETWEEN 2 PRECEDING AND CURRENT ROW))"
+        " WHERE _own"
     )
 
 
