@@ -1,10 +1,10 @@
 """Running (rolling) values per key without putting a hot key into one task.
 
 A plain `Window.partitionBy(key).orderBy(seq)` sorts every row of a key in one
-task, so a key holding a third of the data decides the run time. Here two small
-statistics are taken first: the row count with quantiles of the order column, and
-the keys holding more than 1/1024 of the rows (fewer than 1024 keys, whatever the
-data). Without such keys the plain window is planned. With them, only their rows
+task, so a key holding a third of the data decides the run time. Here small
+statistics are taken first: the row count, the keys holding more than 1/1024 of
+the rows (fewer than 1024 keys, whatever the data), and quantiles of the order
+column. Without such keys the plain window is planned. With them, only their rows
 are cut into blocks of the order column: the window runs inside (key, block), one
 total per (key, block) is folded over the earlier blocks, and the carried value is
 joined back:
@@ -25,6 +25,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from weirstone.functions.timecols import epoch_micros
@@ -35,7 +36,8 @@ BLOCK = "_blk"
 WHOLE = -1
 
 HOT_SHARE = 1024
-CELLS = 32
+CELLS = 4096
+SAMPLE = 1 << 20
 
 
 @dataclass(frozen=True)
@@ -58,23 +60,37 @@ def order_number(df: DataFrame, name: str) -> Column:
     return F.col(name).cast("long")
 
 
-def _steps(x: Column, bounds: list[int], pieces: int) -> Column:
-    """Non-decreasing step function of `x`: quantile cells, each cut evenly.
+def _steps(df: DataFrame, x: Column, rows: int, blocks: Blocks) -> DataFrame:
+    """Add the block number of every row: a non-decreasing step function of `x`.
 
-    The cells follow bursts; the even cut inside them needs no further bounds.
+    Cells between quantiles follow bursts; each is then cut evenly. Quantiles come
+    from a sample, as Spark's own range partitioning takes its bounds: they decide
+    how even the blocks are, not what comes out.
     """
-    if len(bounds) < 2:
-        return F.lit(0).cast("long")
-    cells = len(bounds) - 1
-    per_cell = -(-pieces // cells)
-    cell = F.lit(0)
-    for bound in bounds[1:-1]:
-        cell = cell + (x >= F.lit(bound)).cast("int")
-    edges = F.array(*[F.lit(b) for b in bounds])
+    pieces = min(-(-rows // blocks.rows), blocks.limit)
+    cells = min(pieces, CELLS)
+    shares = [i / cells for i in range(cells + 1)]
+    values = df.select(x.alias("x"))
+    if rows > SAMPLE:
+        values = values.sample(SAMPLE / rows)
+    found = values.agg(F.percentile_approx("x", shares, 10_000).alias("b")).first().b
+    bounds = sorted(set(found or []))
+    inner = bounds[1:-1]
+    if not inner:
+        return df.withColumn(BLOCK, F.lit(0).cast("long"))
+    cut = Bucketizer(
+        splits=[float("-inf"), *map(float, inner), float("inf")], inputCol="_x", outputCol="_cell", handleInvalid="keep"
+    )
+    placed = cut.transform(df.withColumn("_x", x.cast("double")))
+    parts = -(-pieces // cells)
+    cell = F.col("_cell").cast("int")
+    if parts == 1:
+        return placed.withColumn(BLOCK, cell.cast("long")).drop("_x", "_cell")
+    edges = F.array(*[F.lit(float(b)) for b in bounds])
     low, high = F.element_at(edges, cell + 1), F.element_at(edges, cell + 2)
-    inside = F.floor((x - low) / (high - low) * per_cell).cast("long")
-    inside = F.least(F.greatest(inside, F.lit(0)), F.lit(per_cell - 1))
-    return cell.cast("long") * per_cell + inside
+    inside = F.floor((F.col("_x") - low) / (high - low) * parts)
+    inside = F.least(F.greatest(inside, F.lit(0)), F.lit(parts - 1))
+    return placed.withColumn(BLOCK, cell.cast("long") * parts + inside).drop("_x", "_cell")
 
 
 def cut_rows(
@@ -82,36 +98,32 @@ def cut_rows(
 ) -> tuple[DataFrame, Blocks | None]:
     """Add the block column if some key needs it; else return (df, None).
 
-    Runs the two statistics jobs. A frame that has the column already is not cut
+    Runs the statistics jobs. A frame that has the column already is not cut
     again.
     """
     if blocks is None or BLOCK in df.columns:
         return df, blocks
     keys = list(keys)
-    x = order_number(df, order)
-    shares = [i / CELLS for i in range(CELLS + 1)]
-    stats = df.agg(
-        F.count(F.lit(1)).alias("n"), F.percentile_approx(x, shares, 1000).alias("bounds")
-    ).first()
-    if stats.n <= blocks.rows:
+    n = df.count()
+    if n <= blocks.rows:
         return df, None
-    step = _steps(x, sorted(set(stats.bounds)), min(-(-stats.n // blocks.rows), blocks.limit))
+    x = order_number(df, order)
     if not keys:
-        return df.withColumn(BLOCK, step), blocks
+        return _steps(df, x, n, blocks), blocks
     # More than n / HOT_SHARE rows each, so fewer than HOT_SHARE keys.
-    enough = max(blocks.rows, stats.n // HOT_SHARE)
+    enough = max(blocks.rows, n // HOT_SHARE)
     hot = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > enough)
     found = hot.select(*keys).collect()
     if not found:
         return df, None
     if len(keys) == 1:
-        is_hot = F.col(keys[0]).isin([r[0] for r in found])
-        return df.withColumn(BLOCK, F.when(is_hot, step).otherwise(F.lit(WHOLE))), blocks
-    marks = df.sparkSession.createDataFrame(found, hot.select(*keys).schema).withColumn("_hot", F.lit(True))
-    flagged = df.join(F.broadcast(marks), keys, "left")
-    return flagged.select(
-        *df.columns, F.when(F.col("_hot"), step).otherwise(F.lit(WHOLE)).alias(BLOCK)
-    ), blocks
+        flagged = df.withColumn("_hot", F.col(keys[0]).isin([r[0] for r in found]))
+    else:
+        marks = df.sparkSession.createDataFrame(found, hot.select(*keys).schema).withColumn("_hot", F.lit(True))
+        flagged = df.join(F.broadcast(marks), keys, "left").select(*df.columns, "_hot")
+    stepped = _steps(flagged, x, n, blocks)
+    block = F.when(F.col("_hot"), F.col(BLOCK)).otherwise(F.lit(WHOLE).cast("long"))
+    return stepped.withColumn(BLOCK, block).drop("_hot"), blocks
 
 
 @dataclass(frozen=True)

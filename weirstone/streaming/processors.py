@@ -10,6 +10,7 @@ key is a value, a short list or a map; a micro-batch's size is set by the source
 
 from __future__ import annotations
 
+from collections import deque
 from collections.abc import Callable, Iterator, Sequence
 from itertools import groupby
 
@@ -35,7 +36,11 @@ def stateful(
 
 
 class ArrivalOrdered(StatefulProcessor):
-    """Base: `step(key, row)` per row, in arrival order within the micro-batch."""
+    """Base: `step(key, row)` per row, in arrival order within the micro-batch.
+
+    `load` and `save` run once per key and micro-batch, so a state variable costs
+    two round trips however many rows the key has.
+    """
 
     def __init__(self, out: str) -> None:
         self.names = struct(out).fieldNames()
@@ -46,6 +51,10 @@ class ArrivalOrdered(StatefulProcessor):
 
     def setup(self, handle: StatefulProcessorHandle) -> None: ...
 
+    def load(self) -> None: ...
+
+    def save(self) -> None: ...
+
     def row(self, *values) -> Row:
         return Row(**dict(zip(self.names, values)))
 
@@ -53,8 +62,10 @@ class ArrivalOrdered(StatefulProcessor):
         raise NotImplementedError
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        self.load()
         for row in sorted(rows, key=lambda r: r["_seq"]):
             yield from self.step(key, row)
+        self.save()
 
     def close(self) -> None: ...
 
@@ -71,25 +82,34 @@ class EventOrdered(ArrivalOrdered):
         super().init(handle)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        for row in rows:
-            self.buffer.appendValue(tuple(row[n] for n in self.fields.fieldNames()))
-            self.wake_at(row["_us"])
+        names = self.fields.fieldNames()
+        fresh = [tuple(row[n] for n in names) for row in rows]
+        if fresh:
+            self.buffer.appendList(fresh)
+            self.wake_at(min(r[0] for r in fresh))
         return iter(())
 
     def wake_at(self, us: int) -> None:
         self.handle.registerTimer(-(-us // 1000))
 
+    def take_ready(self, upto: int) -> list[tuple]:
+        """Remove and return the rows up to a time, in order; wake again for the rest."""
+        held = [tuple(r) for r in self.buffer.get()]
+        ready = sorted((r for r in held if r[0] <= upto), key=lambda r: r[:2])
+        waiting = [r for r in held if r[0] > upto]
+        if ready and waiting:
+            self.buffer.put(waiting)
+        elif ready:
+            self.buffer.clear()
+        if waiting:
+            self.wake_at(min(r[0] for r in waiting))
+        return ready
+
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         upto = timerValues.getCurrentWatermarkInMs() * 1000
-        held = [Row(**dict(zip(self.fields.fieldNames(), r))) for r in self.buffer.get()]
-        ready = sorted((r for r in held if r["_us"] <= upto), key=lambda r: (r["_us"], r["_seq"]))
-        if ready:
-            waiting = [tuple(r) for r in held if r["_us"] > upto]
-            if waiting:
-                self.buffer.put(waiting)
-            else:
-                self.buffer.clear()
-        for row in ready:
+        names = self.fields.fieldNames()
+        for values in self.take_ready(upto):
+            row = Row(**dict(zip(names, values)))
             yield from self.expire(key, row["_us"])
             yield from self.step(key, row)
         yield from self.expire(key, upto)
@@ -108,28 +128,38 @@ class Reduce(ArrivalOrdered):
         self.state_ddl, self.start, self.fold, self.emit = state, start, fold, emit
 
     def setup(self, handle) -> None:
-        self.acc = handle.getValueState("acc", struct(self.state_ddl))
+        self.state = handle.getValueState("acc", struct(self.state_ddl))
+
+    def load(self) -> None:
+        held = self.state.get()
+        self.acc = None if held is None else tuple(held)
+
+    def save(self) -> None:
+        self.state.update(self.acc)
 
     def step(self, key, row) -> Iterator[Row]:
-        held = self.acc.get()
-        acc = self.start(row) if held is None else self.fold(tuple(held), row)
-        self.acc.update(acc)
-        yield self.row(*key, *self.emit(acc, row))
+        self.acc = self.start(row) if self.acc is None else self.fold(self.acc, row)
+        yield self.row(*key, *self.emit(self.acc, row))
 
 
 class CountChangelog(ArrivalOrdered):
     """Count per key as a changelog: (key, step, added, ct)."""
 
     def setup(self, handle) -> None:
-        self.count = handle.getValueState("count", struct("n long"))
+        self.state = handle.getValueState("count", struct("n long"))
+
+    def load(self) -> None:
+        held = self.state.get()
+        self.count = held[0] if held else 0
+
+    def save(self) -> None:
+        self.state.update((self.count,))
 
     def step(self, key, row) -> Iterator[Row]:
-        held = self.count.get()
-        before = held[0] if held else 0
-        self.count.update((before + 1,))
-        if before:
-            yield self.row(*key, before + 1, False, before)
-        yield self.row(*key, before + 1, True, before + 1)
+        self.count += 1
+        if self.count > 1:
+            yield self.row(*key, self.count, False, self.count - 1)
+        yield self.row(*key, self.count, True, self.count)
 
 
 class CountWindow(ArrivalOrdered):
@@ -141,17 +171,23 @@ class CountWindow(ArrivalOrdered):
         self.full_only = full_only
 
     def setup(self, handle) -> None:
-        self.tail = handle.getListState("tail", struct("v long"))
-        self.count = handle.getValueState("count", struct("n long"))
+        self.tail_state = handle.getListState("tail", struct("v long"))
+        self.count_state = handle.getValueState("count", struct("n long"))
+
+    def load(self) -> None:
+        held = self.count_state.get()
+        self.count = held[0] if held else 0
+        self.tail = deque((t[0] for t in self.tail_state.get()), maxlen=self.size)
+
+    def save(self) -> None:
+        self.count_state.update((self.count,))
+        self.tail_state.put([(v,) for v in self.tail])
 
     def step(self, key, row) -> Iterator[Row]:
-        held = self.count.get()
-        n = (held[0] if held else 0) + 1
-        tail = ([t[0] for t in self.tail.get()] + [row[self.value]])[-self.size :]
-        self.count.update((n,))
-        self.tail.put([(v,) for v in tail])
-        if n % self.slide == 0 and (n >= self.size or not self.full_only):
-            yield self.row(*key, n, sum(tail))
+        self.count += 1
+        self.tail.append(row[self.value])
+        if self.count % self.slide == 0 and (self.count >= self.size or not self.full_only):
+            yield self.row(*key, self.count, sum(self.tail))
 
 
 class TopList(ArrivalOrdered):
@@ -162,12 +198,17 @@ class TopList(ArrivalOrdered):
         self.value, self.n = value, n
 
     def setup(self, handle) -> None:
-        self.best = handle.getListState("best", struct("v long"))
+        self.state = handle.getListState("best", struct("v long"))
+
+    def load(self) -> None:
+        self.best = [t[0] for t in self.state.get()]
+
+    def save(self) -> None:
+        self.state.put([(v,) for v in self.best])
 
     def step(self, key, row) -> Iterator[Row]:
-        best = sorted([t[0] for t in self.best.get()] + [row[self.value]], reverse=True)[: self.n]
-        self.best.put([(v,) for v in best])
-        yield self.row(*key, row["_seq"], best)
+        self.best = sorted([*self.best, row[self.value]], reverse=True)[: self.n]
+        yield self.row(*key, row["_seq"], self.best)
 
 
 class JumpAlert(ArrivalOrdered):
@@ -178,13 +219,19 @@ class JumpAlert(ArrivalOrdered):
         self.value, self.limit = value, limit
 
     def setup(self, handle) -> None:
-        self.last = handle.getValueState("last", struct("v long"))
+        self.state = handle.getValueState("last", struct("v long"))
+
+    def load(self) -> None:
+        held = self.state.get()
+        self.last = held[0] if held else None
+
+    def save(self) -> None:
+        self.state.update((self.last,))
 
     def step(self, key, row) -> Iterator[Row]:
-        held, value = self.last.get(), row[self.value]
-        self.last.update((value,))
-        if held is not None and abs(value - held[0]) > self.limit:
-            yield self.row(*key, row["_seq"], held[0], value)
+        before, self.last = self.last, row[self.value]
+        if before is not None and abs(self.last - before) > self.limit:
+            yield self.row(*key, row["_seq"], before, self.last)
 
 
 class FirstSeen(ArrivalOrdered):
@@ -211,14 +258,21 @@ class ControlSwitch(ArrivalOrdered):
     """
 
     def setup(self, handle) -> None:
-        self.current = handle.getValueState("current", struct("v string"))
+        self.state = handle.getValueState("current", struct("v string"))
+
+    def load(self) -> None:
+        held = self.state.get()
+        self.current = held[0] if held else None
+
+    def save(self) -> None:
+        if self.current is not None:
+            self.state.update((self.current,))
 
     def step(self, key, row) -> Iterator[Row]:
         if row["control"] is not None:
-            self.current.update((row["control"],))
+            self.current = row["control"]
             return
-        held = self.current.get()
-        yield self.row(*key, row["_seq"], held[0] if held else None)
+        yield self.row(*key, row["_seq"], self.current)
 
 
 class DailyLimit(ArrivalOrdered):
@@ -237,13 +291,21 @@ class DailyLimit(ArrivalOrdered):
     def setup(self, handle) -> None:
         self.counts = handle.getMapState("counts", struct("day long"), struct("n long"))
 
+    def load(self) -> None:
+        self.today: dict[int, int] = {}
+
+    def save(self) -> None:
+        for day, n in self.today.items():
+            self.counts.updateValue((day,), (n,))
+
     def step(self, key, row) -> Iterator[Row]:
         day = (row["_us"] // 1000 + self.offset) // self.DAY
-        held = self.counts.getValue((day,))
-        if held is None:
-            self.handle.registerTimer((day + 1) * self.DAY - self.offset)
-        n = (held[0] if held else 0) + 1
-        self.counts.updateValue((day,), (n,))
+        if day not in self.today:
+            held = self.counts.getValue((day,))
+            if held is None:
+                self.handle.registerTimer((day + 1) * self.DAY - self.offset)
+            self.today[day] = held[0] if held else 0
+        n = self.today[day] = self.today[day] + 1
         if n < self.limit:
             yield self.row(*key, row["_seq"], "pass")
         elif n == self.limit:
@@ -499,16 +561,9 @@ class RangeCount(EventOrdered):
         self.count = handle.getValueState("count", struct("n long"))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        upto = timerValues.getCurrentWatermarkInMs() * 1000
-        held = [tuple(r) for r in self.buffer.get()]
-        ready = sorted(r for r in held if r[0] <= upto)
+        ready = self.take_ready(timerValues.getCurrentWatermarkInMs() * 1000)
         if not ready:
             return
-        waiting = [r for r in held if r[0] > upto]
-        if waiting:
-            self.buffer.put(waiting)
-        else:
-            self.buffer.clear()
         state = self.count.get()
         n = state[0] if state else 0
         for _, same_time in groupby(ready, key=lambda r: r[0]):
