@@ -205,3 +205,52 @@ def test_watermark_drops_only_after_the_delay(spark, folder):
     counts = one.unionByName(two).groupBy(F.window("ts", "1 minute").alias("w")).agg(F.count(F.lit(1)).alias("n"))
     got = latest_rows(counts, keys=["w"])
     assert got.agg(F.sum("n")).first()[0] == 4
+
+
+def test_left_join_retracts_the_padded_row(spark, folder):
+    """Tagged rows (vc 0 = left, 1 = right) over three micro-batches."""
+    plan = [[(0, "a", 0), (1, "b", 0)], [(2, "a", 1), (3, "c", 1)], [(4, "a", 1), (5, "c", 0), (6, "b", 0)]]
+    batches = [[(seq, key, START, side) for seq, key, side in part] for part in plan]
+    stream = shaped(feed(spark, f"{folder}/in", batches)).select(
+        "id", "_seq", F.when(F.col("vc") == 0, "left").otherwise("right").alias("side"), F.col("seq").cast("string").alias("value")
+    )
+    out = "id string, added boolean, left_value string, right_value string"
+    got = run(stream, S.LeftJoinChangelog(out), out)
+    assert tuples(got, "id", "added", "left_value", "right_value") == sorted(
+        [
+            ("a", True, "0", None), ("b", True, "1", None), ("a", False, "0", None), ("a", True, "0", "2"),
+            ("a", True, "0", "4"), ("c", True, "5", "3"), ("b", True, "6", None),
+        ],
+        key=str,
+    )
+
+
+def test_late_rows_refire_or_go_to_the_side(spark, folder):
+    from data import us
+    from weirstone.operators.windows import count_rows, sum_of
+    from weirstone.streaming.late import LateSplit, RefiringWindows
+
+    rows = skewed(300, disorder=300)
+    parts = split(rows, 6)
+    windows = RefiringWindows(
+        f"{folder}/win", keys=["id"], ts="ts", size="5 seconds", measures={"n": count_rows(), "s": sum_of("vc")}
+    )
+    job = LateSplit(
+        f"{folder}/marks", ts="ts", size="5 seconds", delay="2 seconds", lateness="60 seconds", main=windows.write,
+        side=lambda b, i: b.write.mode("overwrite").parquet(f"{folder}/side/b={i}"),
+    )
+    drain(feed(spark, f"{folder}/in", parts), job, mode="append")
+    seen, late, kept = None, [], {}
+    for part in parts:
+        wm = None if seen is None else seen - 2_000_000
+        for r in part:
+            start = us(r[2]) // 5_000_000 * 5_000_000
+            if wm is not None and start + 65_000_000 <= wm:
+                late.append((r[0],))
+            else:
+                n, s = kept.get((r[1], start), (0, 0))
+                kept[r[1], start] = (n + 1, s + r[3])
+        seen = max([us(r[2]) for r in part] + ([seen] if seen is not None else []))
+    got = windows.read(spark).select("id", F.unix_micros(F.col("window_start").cast("timestamp")).alias("w"), "n", "s")
+    assert late and tuples(spark.read.parquet(f"{folder}/side"), "seq") == sorted(late, key=str)
+    assert tuples(got, "id", "w", "n", "s") == sorted(((k, w, n, s) for (k, w), (n, s) in kept.items()), key=str)

@@ -2,9 +2,9 @@
 
 A plain `Window.partitionBy(key).orderBy(seq)` sorts every row of a key in one
 task, so a key holding a third of the data decides the run time. Here small
-statistics are taken first: the row count, the keys holding more than 1/1024 of
-the rows (fewer than 1024 keys, whatever the data), and quantiles of the order
-column. Without such keys the plain window is planned. With them, only their rows
+statistics are taken first: the keys holding more than 1/1024 of the rows (fewer
+than 1024 keys, whatever the data) and, if there are any, quantiles of the order
+column over their rows. Without such keys the plain window is planned. With them, only their rows
 are cut into blocks of the order column: the window runs inside (key, block), one
 total per (key, block) is folded over the earlier blocks, and the carried value is
 joined back:
@@ -60,9 +60,11 @@ def order_number(df: DataFrame, name: str) -> Column:
     return F.col(name).cast("long")
 
 
-def _steps(df: DataFrame, x: Column, rows: int, blocks: Blocks) -> DataFrame:
+def _steps(df: DataFrame, cut: DataFrame, x: Column, rows: int, blocks: Blocks) -> DataFrame:
     """Add the block number of every row: a non-decreasing step function of `x`.
 
+    `cut` are the rows of `df` (`rows` in number) that the blocks have to divide.
+
     Cells between quantiles follow bursts; each is then cut evenly. Quantiles come
     from a sample, as Spark's own range partitioning takes its bounds: they decide
     how even the blocks are, not what comes out.
@@ -70,7 +72,7 @@ def _steps(df: DataFrame, x: Column, rows: int, blocks: Blocks) -> DataFrame:
     pieces = min(-(-rows // blocks.rows), blocks.limit)
     cells = min(pieces, CELLS)
     shares = [i / cells for i in range(cells + 1)]
-    values = df.select(x.alias("x"))
+    values = cut.select(x.alias("x"))
     if rows > SAMPLE:
         values = values.sample(SAMPLE / rows)
     found = values.agg(F.percentile_approx("x", shares, 10_000).alias("b")).first().b
@@ -78,10 +80,10 @@ def _steps(df: DataFrame, x: Column, rows: int, blocks: Blocks) -> DataFrame:
     inner = bounds[1:-1]
     if not inner:
         return df.withColumn(BLOCK, F.lit(0).cast("long"))
-    cut = Bucketizer(
+    cells_of = Bucketizer(
         splits=[float("-inf"), *map(float, inner), float("inf")], inputCol="_x", outputCol="_cell", handleInvalid="keep"
     )
-    placed = cut.transform(df.withColumn("_x", x.cast("double")))
+    placed = cells_of.transform(df.withColumn("_x", x.cast("double")))
     parts = -(-pieces // cells)
     cell = F.col("_cell").cast("int")
     if parts == 1:
@@ -104,24 +106,25 @@ def cut_rows(
     if blocks is None or BLOCK in df.columns:
         return df, blocks
     keys = list(keys)
-    n = df.count()
-    if n <= blocks.rows:
-        return df, None
     x = order_number(df, order)
     if not keys:
-        return _steps(df, x, n, blocks), blocks
-    # More than n / HOT_SHARE rows each, so fewer than HOT_SHARE keys.
-    enough = max(blocks.rows, n // HOT_SHARE)
-    hot = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > enough)
-    found = hot.select(*keys).collect()
+        n = df.count()
+        return (_steps(df, df, x, n, blocks), blocks) if n > blocks.rows else (df, None)
+    # One pass: the total over the same counts shares their shuffle.
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    total = counts.agg(F.sum("_n").alias("_n")).scalar()
+    # More than total / HOT_SHARE rows each, so fewer than HOT_SHARE keys.
+    enough = F.greatest(F.lit(blocks.rows), F.floor(total / HOT_SHARE))
+    found = counts.where(F.col("_n") > enough).collect()
     if not found:
         return df, None
     if len(keys) == 1:
         flagged = df.withColumn("_hot", F.col(keys[0]).isin([r[0] for r in found]))
     else:
-        marks = df.sparkSession.createDataFrame(found, hot.select(*keys).schema).withColumn("_hot", F.lit(True))
+        marks = df.sparkSession.createDataFrame([tuple(r)[:-1] for r in found], counts.select(*keys).schema)
+        marks = marks.withColumn("_hot", F.lit(True))
         flagged = df.join(F.broadcast(marks), keys, "left").select(*df.columns, "_hot")
-    stepped = _steps(flagged, x, n, blocks)
+    stepped = _steps(flagged, flagged.where("_hot"), x, sum(r["_n"] for r in found), blocks)
     block = F.when(F.col("_hot"), F.col(BLOCK)).otherwise(F.lit(WHOLE).cast("long"))
     return stepped.withColumn(BLOCK, block).drop("_hot"), blocks
 

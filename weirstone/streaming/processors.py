@@ -572,3 +572,45 @@ class RangeCount(EventOrdered):
             for r in peers:
                 yield self.row(*key, r[1], n)
         self.count.update((n,))
+
+
+class LeftJoinChangelog(ArrivalOrdered):
+    """Left join of two tagged inputs (`side` left or right) as a changelog.
+
+    A left row without a partner is put out padded with null, and retracted when
+    its first partner arrives. `keep_ms` is the retention of the state, which
+    needs `time_mode="ProcessingTime"` and a query that keeps running (such a query
+    has no end of its own under `availableNow`). Yields (key, added, left value, right value); a null `left`
+    never occurs.
+    """
+
+    def __init__(self, out: str, value: str = "value", keep_ms: int | None = None) -> None:
+        super().__init__(out)
+        self.value, self.keep = value, keep_ms
+
+    def setup(self, handle) -> None:
+        one = struct("v string")
+        self.states = {side: handle.getListState(side, one, self.keep) for side in ("left", "right")}
+
+    def load(self) -> None:
+        self.held = {side: [t[0] for t in state.get()] for side, state in self.states.items()}
+        self.fresh = {side: [] for side in self.states}
+
+    def save(self) -> None:
+        for side, values in self.fresh.items():
+            if values:
+                self.states[side].appendList([(v,) for v in values])
+
+    def step(self, key, row) -> Iterator[Row]:
+        side, value = row["side"], row[self.value]
+        lefts = self.held["left"] + self.fresh["left"]
+        rights = self.held["right"] + self.fresh["right"]
+        if side == "left":
+            for right in rights or [None]:
+                yield self.row(*key, True, value, right)
+        else:
+            for left in lefts:
+                if not rights:
+                    yield self.row(*key, False, left, None)
+                yield self.row(*key, True, left, value)
+        self.fresh[side].append(value)
