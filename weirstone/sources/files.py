@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from weirstone.schemas import TABLES
@@ -35,9 +35,20 @@ def delimited(
     """Delimited lines to typed rows; blank lines are dropped.
 
     A malformed line fails the job unless `malformed` is DROPMALFORMED or PERMISSIVE.
+    Lines are parsed whole: the CSV reader converts only the fields a query uses,
+    so it would miss a bad value in another one.
     """
-    reader = _reader(spark, stream, files_per_trigger)
-    return reader.schema(schema).option("sep", sep).option("mode", malformed).csv(path)
+    lines = text_lines(spark, path, stream=stream, files_per_trigger=files_per_trigger)
+    lines = lines.where(F.trim("value") != "")
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    options = {"sep": sep, "mode": "FAILFAST"}
+    if malformed != "FAILFAST":
+        ddl += ", _bad string"
+        options = {"sep": sep, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}
+    rows = lines.select(F.from_csv("value", ddl, options).alias("r")).select("r.*")
+    if malformed == "DROPMALFORMED":
+        rows = rows.where(F.col("_bad").isNull())
+    return rows.select(*schema.fieldNames())
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:

@@ -7,7 +7,10 @@ from pyspark.sql.types import StructType
 
 
 def declare_csv(spark: SparkSession, name: str, path: str, schema: StructType, sep: str = ",") -> None:
-    """Register a CSV path under a name usable in SQL (DDL)."""
+    """Register a CSV path under a name usable in SQL (DDL).
+
+    Spark's reader checks the fields a query uses; `files.delimited` checks all.
+    """
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
     spark.sql(
         f"CREATE OR REPLACE TEMPORARY VIEW `{name}` ({columns}) USING csv "
