@@ -13,6 +13,7 @@ from weirstone.operators.running import (
     Blocks,
     Fold,
     cut_rows,
+    same_keys,
     first_value,
     numbered,
     running,
@@ -188,7 +189,9 @@ def running_top(
     carried = per_block.select(
         *keys, BLOCK, F.lag("_upto").over(Window.partitionBy(*keys).orderBy(BLOCK)).alias("_c")
     )
-    merged = local.join(carried, [*keys, BLOCK], "left")
+    names = [f"_j{i}" for i in range(len(keys))]
+    carried = carried.select(*[F.col(k).alias(n) for k, n in zip(keys, names)], F.col(BLOCK).alias("_jb"), "_c")
+    merged = local.join(carried, same_keys(keys, names) & (F.col(BLOCK) == F.col("_jb")), "left")
     pool = F.array_compact(F.array(*tops, *[F.col(f"_c._c{i}") for i in range(1, n + 1)]))
     top = F.slice(F.sort_array(pool, asc=False), 1, n)
     return merged.select(*df.columns, F.transform(top, lambda t: t["v"]).alias(name))

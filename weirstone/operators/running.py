@@ -1,23 +1,23 @@
 """Running (rolling) values per key without putting a hot key into one task.
 
 A plain `Window.partitionBy(key).orderBy(seq)` sorts every row of a key in one
-task, so a key holding a third of the data decides the run time. Here small
-statistics are taken first: the keys holding more than 1/1024 of the rows (fewer
-than 1024 keys, whatever the data) and, if there are any, quantiles of the order
-column over their rows. Without such keys the plain window is planned. With them, only their rows
-are cut into blocks of the order column: the window runs inside (key, block), one
-total per (key, block) is folded over the earlier blocks, and the carried value is
-joined back:
+task, so a key holding a third of the data decides the run time. Here the rows of
+the keys are counted first, in one pass. Without a key of more rows than one task
+should sort (`Blocks.rows`) the plain window is planned. With such keys, only their
+rows are cut into blocks of the order column, each key by quantiles of its own rows:
+the window runs inside (key, block), one total per (key, block) is folded over the
+earlier blocks, and the carried value is joined back:
 
     rows ----exchange(key, block)--> window ----------------+--> join --> merge
     hot rows --partial agg--exchange--> totals --> prefix --+
 
 The rows are shuffled once; the totals are map-side combined and a key has no more
-of them than there are blocks. The carry side is joined without a hint: Spark
-broadcasts it only below its own size threshold, and otherwise sort-merges on the
-partitioning and order the window already has.
+of them than there are blocks. The hot keys, their bounds and the carry side are
+DataFrames joined without a hint: Spark broadcasts them only below its own size
+threshold.
 
-Statistics only balance the work; any block bounds give the same result.
+Bounds only balance the work; any give the same result. A null in a key column is a
+key like any other; a null in the order column comes first, as Spark sorts it.
 """
 
 from __future__ import annotations
@@ -25,8 +25,8 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import NumericType
 
 from weirstone.functions.timecols import epoch_micros
 
@@ -35,16 +35,18 @@ BLOCK = "_blk"
 # Block of every row whose key is not hot.
 WHOLE = -1
 
-HOT_SHARE = 1024
-CELLS = 4096
-SAMPLE = 1 << 20
+# Quantiles of a hot key; each cell between two is cut evenly.
+CELLS = 64
+ACCURACY = 1000
+# Hot keys up to this number become a local table instead of a second pass over the counts.
+LISTED = 1000
 
 
 @dataclass(frozen=True)
 class Blocks:
-    """About `rows` rows a block, `limit` blocks at most; smaller keys stay whole."""
+    """About `rows` rows a block, some `limit` blocks a key at most; keys of up to `rows` rows stay whole."""
 
-    rows: int = 1 << 10
+    rows: int = 1 << 20
     limit: int = 1 << 16
 
 
@@ -52,47 +54,56 @@ DEFAULT_BLOCKS = Blocks()
 
 
 def order_number(df: DataFrame, name: str) -> Column:
-    kind = df.schema[name].dataType.typeName()
-    if kind in ("timestamp", "timestamp_ntz"):
-        return epoch_micros(name)
-    if kind == "date":
-        return F.unix_date(name).cast("long")
-    return F.col(name).cast("long")
-
-
-def _steps(df: DataFrame, cut: DataFrame, x: Column, rows: int, blocks: Blocks) -> DataFrame:
-    """Add the block number of every row: a non-decreasing step function of `x`.
-
-    `cut` are the rows of `df` (`rows` in number) that the blocks have to divide.
-
-    Cells between quantiles follow bursts; each is then cut evenly. Quantiles come
-    from a sample, as Spark's own range partitioning takes its bounds: they decide
-    how even the blocks are, not what comes out.
-    """
-    pieces = min(-(-rows // blocks.rows), blocks.limit)
-    cells = min(pieces, CELLS)
-    shares = [i / cells for i in range(cells + 1)]
-    values = cut.select(x.alias("x"))
-    if rows > SAMPLE:
-        values = values.sample(SAMPLE / rows)
-    found = values.agg(F.percentile_approx("x", shares, 10_000).alias("b")).first().b
-    bounds = sorted(set(found or []))
-    inner = bounds[1:-1]
-    if not inner:
-        return df.withColumn(BLOCK, F.lit(0).cast("long"))
-    cells_of = Bucketizer(
-        splits=[float("-inf"), *map(float, inner), float("inf")], inputCol="_x", outputCol="_cell", handleInvalid="keep"
-    )
-    placed = cells_of.transform(df.withColumn("_x", x.cast("double")))
-    parts = -(-pieces // cells)
-    cell = F.col("_cell").cast("int")
-    if parts == 1:
-        return placed.withColumn(BLOCK, cell.cast("long")).drop("_x", "_cell")
-    edges = F.array(*[F.lit(float(b)) for b in bounds])
-    low, high = F.element_at(edges, cell + 1), F.element_at(edges, cell + 2)
-    inside = F.floor((F.col("_x") - low) / (high - low) * parts)
-    inside = F.least(F.greatest(inside, F.lit(0)), F.lit(parts - 1))
-    return placed.withColumn(BLOCK, cell.cast("long") * parts + inside).drop("_x", "_cell")
+    """A double that never falls as the column grows; null stays null. TypeError for types without such a number."""
+    kind = df.schema[name].dataType
+    if kind.typeName() in ("timestamp", "timestamp_ntz"):
+        return epoch_micros(name).cast("double")
+    if kind.typeName() == "date":
+        return F.unix_date(name).cast("double")
+    if isinstance(kind, NumericType):
+        return F.col(name).cast("double")
+    if kind.typeName() == "boolean":
+        return F.col(name).cast("int").cast("double")
+    if kind.typeName() in ("string", "varchar", "char"):
+        # The first six bytes, as Spark compares strings by their bytes.
+        head = F.hex(F.substring(F.col(name).cast("binary"), 1, 6))
+        return F.conv(F.rpad(head, 12, "0"), 16, 10).cast("double")
+    raise TypeError(f"rows can't be ordered by {name}: {kind.simpleString()}")
+
+
+def same_keys(left: Sequence[str], right: Sequence[str]) -> Column:
+    """Join condition on key columns in which null equals null."""
+    found = F.lit(True)
+    for a, b in zip(left, right):
+        found = found & F.col(a).eqNullSafe(F.col(b))
+    return found
+
+
+def _quantiles(x: Column) -> Column:
+    return F.percentile_approx(F.when(~F.isnan(x), x), [i / CELLS for i in range(CELLS + 1)], ACCURACY)
+
+
+def _with_bounds(df: DataFrame, keys: list[str], hot: DataFrame, x: Column) -> DataFrame:
+    """`df` with `_n` and `_bounds`, the rows and quantiles of its key where that is hot, else null."""
+    marked, bound = [f"_k{i}" for i in range(len(keys))], [f"_b{i}" for i in range(len(keys))]
+    marks = hot.select(*[F.col(k).alias(n) for k, n in zip(keys, marked)])
+    hot_rows = df.join(marks, same_keys(keys, marked), "left_semi")
+    bounds = hot_rows.groupBy(*[F.col(k).alias(n) for k, n in zip(keys, bound)]).agg(F.count(F.lit(1)).alias("_n"), _quantiles(x).alias("_bounds"))
+    return df.join(bounds, same_keys(keys, bound), "left").drop(*bound)
+
+
+def _stepped(df: DataFrame, x: Column, blocks: Blocks) -> DataFrame:
+    """Add the block number: a non-decreasing step function of `x`, from 0 for null."""
+    bounds, last = F.col("_bounds"), CELLS - 1
+    pieces = F.least(F.ceil(F.col("_n") / blocks.rows), F.lit(blocks.limit))
+    parts = F.greatest(F.ceil(pieces / CELLS), F.lit(1))
+    cell = F.coalesce(F.size(F.filter(F.slice(bounds, 2, last), lambda b: b <= x)), F.lit(0))
+    low, high = F.element_at(bounds, cell + 1), F.element_at(bounds, cell + 2)
+    wide = (high > low) & (high < float("inf")) & (low > float("-inf"))
+    inside = F.when(F.isnan(x), parts - 1).when(wide, F.floor((x - low) / (high - low) * parts))
+    inside = F.least(F.greatest(F.coalesce(inside, F.lit(0)), F.lit(0)), parts - 1)
+    block = F.when(F.col("_n").isNull(), F.lit(WHOLE)).when(x.isNull(), F.lit(0)).otherwise(1 + cell * parts + inside)
+    return df.withColumn(BLOCK, block.cast("long")).drop("_n", "_bounds")
 
 
 def cut_rows(
@@ -100,33 +111,27 @@ def cut_rows(
 ) -> tuple[DataFrame, Blocks | None]:
     """Add the block column if some key needs it; else return (df, None).
 
-    Runs the statistics jobs. A frame that has the column already is not cut
-    again.
+    Counts the rows of the keys, in one job. A frame that has the column already is
+    not cut again.
     """
     if blocks is None or BLOCK in df.columns:
         return df, blocks
     keys = list(keys)
     x = order_number(df, order)
     if not keys:
-        n = df.count()
-        return (_steps(df, df, x, n, blocks), blocks) if n > blocks.rows else (df, None)
-    # One pass: the total over the same counts shares their shuffle.
+        n, bounds = df.agg(F.count(F.lit(1)), _quantiles(x)).first()
+        if n <= blocks.rows:
+            return df, None
+        known = F.array(*map(F.lit, bounds)) if bounds else F.lit(None).cast("array<double>")
+        return _stepped(df.withColumns({"_n": F.lit(n), "_bounds": known}), x, blocks), blocks
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    total = counts.agg(F.sum("_n").alias("_n")).scalar()
-    # More than total / HOT_SHARE rows each, so fewer than HOT_SHARE keys.
-    enough = F.greatest(F.lit(blocks.rows), F.floor(total / HOT_SHARE))
-    found = counts.where(F.col("_n") > enough).collect()
-    if not found:
+    hot = counts.where(F.col("_n") > blocks.rows)
+    first = hot.limit(LISTED + 1).collect()
+    if not first:
         return df, None
-    if len(keys) == 1:
-        flagged = df.withColumn("_hot", F.col(keys[0]).isin([r[0] for r in found]))
-    else:
-        marks = df.sparkSession.createDataFrame([tuple(r)[:-1] for r in found], counts.select(*keys).schema)
-        marks = marks.withColumn("_hot", F.lit(True))
-        flagged = df.join(F.broadcast(marks), keys, "left").select(*df.columns, "_hot")
-    stepped = _steps(flagged, flagged.where("_hot"), x, sum(r["_n"] for r in found), blocks)
-    block = F.when(F.col("_hot"), F.col(BLOCK)).otherwise(F.lit(WHOLE).cast("long"))
-    return stepped.withColumn(BLOCK, block).drop("_hot"), blocks
+    if len(first) <= LISTED:
+        hot = df.sparkSession.createDataFrame(first, hot.schema)
+    return _stepped(_with_bounds(df, keys, hot, x), x, blocks), blocks
 
 
 @dataclass(frozen=True)
@@ -250,8 +255,7 @@ def running(
 
     `order` must be unique within a key unless `peers` is set; blocks are cut on
     its first column. `peers` lets rows equal in that order share a value (the SQL
-    default RANGE frame). `reverse` runs from the last row backwards. Keys must not
-    be null, as for any keyed operator here.
+    default RANGE frame). `reverse` runs from the last row backwards.
 
     For two passes over the same order call `cut_rows` first and hand its result to
     both, the first with `keep_block`: the second then needs no shuffle of the
@@ -284,7 +288,9 @@ def running(
     carried = totals.select(
         *keys, BLOCK, *[f.carry(F.col(f"_t_{n}"), earlier).alias(f"_c_{n}") for n, f in folds.items()]
     )
-    merged = local.join(carried, [*keys, BLOCK], "left")
+    names = [f"_j{i}" for i in range(len(keys))]
+    carried = carried.select(*[F.col(k).alias(n) for k, n in zip(keys, names)], F.col(BLOCK).alias("_jb"), *[f"_c_{n}" for n in folds])
+    merged = local.join(carried, same_keys(keys, names) & (F.col(BLOCK) == F.col("_jb")), "left")
     if keep_block:
         kept.append(BLOCK)
     return merged.select(

@@ -11,6 +11,7 @@ from dataclasses import dataclass
 from math import gcd
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import DecimalType, FractionalType
 
 from weirstone.functions.timecols import epoch_micros, floor_to, from_micros, micros_of
 from weirstone.operators.running import (
@@ -21,19 +22,27 @@ from weirstone.operators.running import (
     Fold,
     cut_rows,
     running,
+    same_keys,
 )
 
 
+# Slides in a stretch of the running sum of `dense_hop`.
+TIME_STEPS = 1 << 14
+
+
 @dataclass(frozen=True)
 class Measure:
     """A mergeable aggregate: `partial` over rows, `final` over partials.
 
-    `subtract` tells whether a running difference gives the window value.
+    `subtract` tells whether a running difference gives the window value, where the
+    partial is of an exact type; `held` counts the rows that have a value, without
+    which the value is null.
     """
 
     partial: Column
     final: str
     subtract: bool = False
+    held: Column | None = None
 
     def merge(self, name: str) -> Column:
         return getattr(F, self.final)(name)
@@ -48,7 +57,7 @@ def count_of(x: Column | str) -> Measure:
 
 
 def sum_of(x: Column | str) -> Measure:
-    return Measure(F.sum(x), "sum", subtract=True)
+    return Measure(F.sum(x), "sum", subtract=True, held=F.count(x))
 
 
 def max_of(x: Column | str) -> Measure:
@@ -95,21 +104,24 @@ def dense_hop(
     """Sliding windows with many panes per row (1 h every 5 s is 720).
 
     Rows are never copied per pane. They are first reduced to one row per key and
-    span of panes; for counts and sums each span then enters at its first pane and leaves
-    after its last, a running sum over those change points gives the value, and it
-    holds until the next change point. Cost: spans plus the windows put out. After
-    the reduction a key has at most one row per slide step, whatever its row count,
-    so the per-key window is bounded by the time range.
-
-    A measure without a difference (max, min) copies the spans, not the rows.
+    span of panes; for counts and exact sums each span then enters at its first pane
+    and leaves after its last, a running sum over those change points gives the value,
+    and it holds until the next change point. Cost: spans plus the windows put out.
+    The running sum is made per key and stretch of TIME_STEPS slides, with what came
+    before carried over, so a few keys over a long time use many tasks.
+
+    A measure without a difference (max, min, and sums of doubles, where differences
+    would leave rounding errors behind) copies the spans, not the rows. A pane without
+    any value of a sum has null, either way.
     `open_after` (microseconds, null for none) keeps a row out of the panes that
     start at or before it: the windows a late row finds closed.
     """
     size_us, slide_us = micros_of(size), micros_of(slide)
     unit = gcd(size_us, slide_us)
     keys = list(keys)
-    # Non-null helper counting rows: a pane is put out only while it holds some.
-    parts = {**measures, "_rows": count_rows()}
+    # Helpers: rows of a pane, which is put out only while it holds some; values of a sum.
+    held_names = {n: f"_held_{n}" for n, m in measures.items() if m.held is not None}
+    parts = {**measures, "_rows": count_rows(), **{h: Measure(measures[n].held, "sum", subtract=True) for n, h in held_names.items()}}
     us = floor_to(epoch_micros(ts), unit)
     # Panes start at multiples of slide in (slice - size, slice]; slices lie on the unit grid.
     first = floor_to(us - size_us + slide_us, slide_us)
@@ -122,7 +134,8 @@ def dense_hop(
         .agg(*[m.partial.alias(n) for n, m in parts.items()])
     )
 
-    if all(m.subtract for m in measures.values()):
+    exact = all(not isinstance(slices.schema[n].dataType, FractionalType) or isinstance(slices.schema[n].dataType, DecimalType) for n in measures)
+    if exact and all(m.subtract for m in measures.values()):
         def signed(sign: int, at: Column) -> Column:
             return F.struct(
                 at.alias("pane"),
@@ -133,13 +146,21 @@ def dense_hop(
             *keys, F.explode(F.array(signed(1, F.col("_first")), signed(-1, F.col("_last") + slide_us))).alias("m")
         ).select(*keys, "m.*")
         points = moves.groupBy(*keys, "pane").agg(*[F.sum(n).alias(n) for n in parts])
-        w = Window.partitionBy(*keys).orderBy("pane")
+        points = points.withColumn("_stretch", F.floor(F.col("pane") / (slide_us * TIME_STEPS)))
+        w = Window.partitionBy(*keys, "_stretch").orderBy("pane")
         upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        held = points.select(
-            *keys,
-            "pane",
-            F.lead("pane").over(w).alias("_next"),
-            *[F.sum(n).over(upto).alias(n) for n in parts],
+        local = points.select(*keys, "_stretch", "pane", F.lead("pane").over(w).alias("_next"), *[F.sum(n).over(upto).alias(n) for n in parts])
+        along = Window.partitionBy(*keys).orderBy("_stretch")
+        before = along.rowsBetween(Window.unboundedPreceding, -1)
+        names = [f"_j{i}" for i in range(len(keys))]
+        totals = points.groupBy(*keys, "_stretch").agg(F.min("pane").alias("_opens"), *[F.sum(n).alias(n) for n in parts])
+        carried = totals.select(
+            *[F.col(k).alias(j) for k, j in zip(keys, names)], F.col("_stretch").alias("_at"), F.lead("_opens").over(along).alias("_after"),
+            *[F.sum(n).over(before).alias(f"_c_{n}") for n in parts],
+        )
+        joined = local.join(carried, same_keys(keys, names) & (F.col("_stretch") == F.col("_at")))
+        held = joined.select(
+            *keys, "pane", F.coalesce("_next", "_after").alias("_next"), *[(F.col(n) + F.coalesce(F.col(f"_c_{n}"), F.lit(0))).alias(n) for n in parts]
         ).where(F.col("_rows") > 0)
         panes = held.withColumn(
             "pane", F.explode(F.sequence(F.col("pane"), F.col("_next") - slide_us, F.lit(slide_us)))
@@ -154,7 +175,7 @@ def dense_hop(
         *keys,
         from_micros(F.col("pane")).alias("window_start"),
         from_micros(F.col("pane") + size_us).alias("window_end"),
-        *measures,
+        *[F.when(F.col(held_names[n]) > 0, F.col(n)).alias(n) if n in held_names else F.col(n) for n in measures],
     )
 
 
@@ -209,8 +230,10 @@ def session_windows(
         )
         .select(*keys, BLOCK, F.coalesce("_own", "_carried").alias("_entry"))
     )
+    names = [f"_j{i}" for i in range(len(keys))]
+    entries = entries.select(*[F.col(k).alias(n) for k, n in zip(keys, names)], F.col(BLOCK).alias("_jb"), "_entry")
     whole = (
-        pieces.join(entries, [*keys, BLOCK], "left")
+        pieces.join(entries, same_keys(keys, names) & (F.col(BLOCK) == F.col("_jb")), "left")
         .groupBy(*keys, F.coalesce("_start", "_entry", "_from").alias("_begin"))
         .agg(F.max("_to").alias("_to"), *[m.merge(n).alias(n) for n, m in measures.items()])
     )
