@@ -119,7 +119,7 @@ def write(
                     out = None
                 if out is None:
                     name = f"{uuid.uuid4().hex}.warc.gz"
-                    out, records = store.open_output_stream(f"{base}/{name}"), 0
+                    out, records = store.open_output_stream(f"{base}/{name}", compression=None), 0
                     done = out.write(info())
                 done += out.write(record(page, url, text.encode(), refers_to))
                 records += 1
@@ -245,7 +245,7 @@ def read(manifest: DataFrame, *, id_type: str = "bigint", payloads: bool = False
         for batch in batches:
             for path in batch.column(0).to_pylist():
                 store, place = pyarrow.fs.FileSystem.from_uri(path)
-                with store.open_input_stream(place) as stream:
+                with store.open_input_stream(place, compression=None) as stream:
                     rows, held = [], 0
                     for r in records(stream, payloads):
                         f = r.fields
