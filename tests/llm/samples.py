@@ -1,0 +1,41 @@
+"""Small document tables with the cases every operator has to define."""
+
+from __future__ import annotations
+
+import random
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def words(rng: random.Random, n: int, vocabulary: int = 400) -> list[str]:
+    return [f"w{rng.randrange(vocabulary)}" for _ in range(n)]
+
+
+def corpus(n: int = 60, seed: int = 3) -> list[tuple]:
+    """Plain texts, plus nulls, empties, a very long text, copies, repeated rows and a hot source."""
+    rng = random.Random(seed)
+    rows = []
+    for i in range(n):
+        text = "\n".join(" ".join(words(rng, rng.randrange(5, 40))) + "." for _ in range(rng.randrange(1, 8)))
+        rows.append((i, text, "en", "hot" if i % 3 == 0 else f"s{i % 5}", len(text)))
+    copy = rows[4][1]
+    rows += [(n + i, copy, None, "hot", None) for i in range(5)]
+    rows += [(n + 10, None, None, None, None), (n + 11, "", "en", "s1", 0), (n + 12, " \n\t ", "en", None, 4), (None, "no id here", "en", "s2", 10)]
+    rows.append((n + 13, " ".join(words(rng, 30_000)), "en", "s3", None))
+    rows += [rows[7], rows[7]]
+    return rows
+
+
+def frame(spark, rows, extra: bool = False):
+    """With `extra`, columns whose names clash with what operators call things inside."""
+    df = spark.createDataFrame(rows, DOCS)
+    if extra:
+        from pyspark.sql import functions as F
+
+        for name in ("hits", "key", "ranges", "rows", "copies", "score", "base", "near", "mark", "place", "group", "fp", "size", "target", "my.col"):
+            df = df.withColumn(name, F.lit(1))
+    return df
+
+
+def pick(df, *columns) -> list[tuple]:
+    return sorted((tuple(r[c] for c in columns) for r in df.collect()), key=str)
