@@ -31,7 +31,7 @@ from weirstone.llm.common import col, fresh, saved
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 MOST = 2
-CELL_ROWS = 50_000
+CELL_ROWS = 2_000
 LEAST_QUALITY = 0.1
 WORD = r"[^\x20\x09-\x0D]+"
 JUNK = "#$%&*<=>[\\]^_{|}~"
