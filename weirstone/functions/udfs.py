@@ -29,7 +29,7 @@ def register_length(spark: SparkSession, name: str = "mylen") -> Callable:
 def register_split(spark: SparkSession, name: str = "split_words", sep: str = "_") -> None:
     """Table function: one `word` row per part of its argument."""
 
-    @F.udtf(returnType="word string")
+    @F.udtf(returnType="word string", useArrow=True)
     class SplitWords:
         def eval(self, text: str) -> Iterator[tuple[str]]:
             if text is not None:

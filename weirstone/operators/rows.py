@@ -86,7 +86,8 @@ def rescale(df: DataFrame, n: int) -> DataFrame:
 
 def to_single_task(aggregated: DataFrame) -> DataFrame:
     """All rows in one partition; for results that were already aggregated."""
-    return aggregated.coalesce(1)
+    # Not coalesce, which would pull the aggregation itself into one task.
+    return aggregated.repartition(1)
 
 
 def replicate(df: DataFrame, copies: int, name: str = "copy") -> DataFrame:

@@ -7,7 +7,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from weirstone.sources.files import table, table_stream
+from weirstone.sources.files import table
+from weirstone.streaming.feed import Feed
 
 # Readings as whole numbers, so that sums do not depend on the order of adding.
 SENSOR = (
@@ -26,14 +27,14 @@ def sensor(spark: SparkSession, folder: str) -> DataFrame:
     return shape_sensor(table(spark, folder, "events"))
 
 
-def sensor_stream(spark: SparkSession, folder: str, files_per_trigger: int = 64) -> DataFrame:
-    """Streaming sensor rows; `ts` becomes TIMESTAMP, which watermarks need.
+def sensor_stream(spark: SparkSession, folder: str) -> tuple[DataFrame, Feed]:
+    """Streaming sensor rows in order of arrival, and the feed that runs them.
 
-    A key's rows of one micro-batch pass through one task of a stateful processor,
-    so the batch is bounded by files; arrival follows the files' own order.
+    `ts` becomes TIMESTAMP, which watermarks need. A micro-batch is one slice of
+    arrivals, as a key's rows of it may all pass through one task.
     """
-    events = table_stream(spark, folder, "events", files_per_trigger=files_per_trigger)
-    return shape_sensor(events).withColumn("ts", F.col("ts").cast("timestamp"))
+    feed = Feed(spark, folder, "events", "event_id")
+    return shape_sensor(feed.stream).withColumn("ts", F.col("ts").cast("timestamp")), feed
 
 
 # Arrival disturbed on purpose: the table itself is in time order. Unique, since a

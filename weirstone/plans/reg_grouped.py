@@ -17,8 +17,9 @@ from weirstone.operators.rolling import (
 from weirstone.operators.running import first_value, last_known, numbered, running_max
 from weirstone.plans.inputs import SENSOR, WORDS, sensor, word_rows
 from weirstone.plans.registry import query
-from weirstone.sources.files import table, table_stream
+from weirstone.sources.files import table
 from weirstone.sources.tables import as_view
+from weirstone.streaming.feed import Feed
 from weirstone.streaming.runner import latest_rows
 
 _W = "WINDOW w AS (PARTITION BY id ORDER BY seq ROWS UNBOUNDED PRECEDING)"
@@ -40,9 +41,10 @@ def wordcount_running(spark, folder):
 
 @query("wordcount_stream", _WORDCOUNT)
 def wordcount_stream(spark, folder):
-    words = table_stream(spark, folder, "documents").select(F.explode(F.split("text", "[ \n]")).alias("word"))
+    feed = Feed(spark, folder, "documents", "doc_id")
+    words = feed.stream.select(F.explode(F.split("text", "[ \n]")).alias("word"))
     counts = words.where("word <> ''").groupBy("word").agg(F.count(F.lit(1)).alias("ct"))
-    return latest_rows(counts, keys=["word"])
+    return latest_rows(counts, keys=["word"], feed=feed)
 
 
 def _plain(spark, folder):

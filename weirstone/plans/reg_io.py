@@ -17,7 +17,7 @@ from weirstone.sources.codecs import decode_csv, decode_json, encode_csv, encode
 from weirstone.sources.files import delimited, table, table_stream, text_lines
 from weirstone.sources.lines import LineSource
 from weirstone.sources.tables import as_view, declare_csv, save_to_catalog, scan_catalog
-from weirstone.streaming.runner import latest_rows
+from weirstone.streaming.runner import latest_rows, run_available
 
 LINE_ROWS = "SELECT id, CAST(epoch_us(ts) // 1000000 AS BIGINT) AS ts, CAST(vc AS INTEGER) AS vc FROM sensor"
 
@@ -87,18 +87,20 @@ def decode_csv_lines(spark, folder):
 
 @query(
     "view_sql",
-    f"WITH {SENSOR} SELECT id, count(*) AS ct, max(vc) AS max_vc FROM sensor WHERE vc >= 1000 GROUP BY id",
+    f"WITH {SENSOR} SELECT id, count(*) AS ct, max(vc) AS max_vc FROM sensor GROUP BY id",
 )
 def view_sql(spark, folder):
     as_view(sensor(spark, folder), "sensor_view")
-    return spark.sql("SELECT id, count(*) AS ct, max(vc) AS max_vc FROM sensor_view WHERE vc >= 1000 GROUP BY id")
+    return spark.sql("SELECT id, count(*) AS ct, max(vc) AS max_vc FROM sensor_view GROUP BY id")
 
 
 @query("catalog_scan", "SELECT o_orderstatus, count(*) AS ct FROM orders GROUP BY o_orderstatus")
 def catalog_scan(spark, folder):
     rows = table(spark, folder, "orders").select("o_orderkey", "o_orderstatus")
-    save_to_catalog(rows, "weirstone_orders", scratch(spark, "catalog"))
-    return scan_catalog(spark, "weirstone_orders").groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("ct"))
+    path = scratch(spark, "catalog")
+    name = "weirstone_" + path.rpartition("-")[2]
+    save_to_catalog(rows, name, path)
+    return scan_catalog(spark, name).groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("ct"))
 
 
 @query("custom_source", f"WITH {SENSOR} {LINE_ROWS}")
@@ -151,18 +153,13 @@ def jdbc_upsert_rows(spark, folder):
 
 @query(
     "sink_foreach",
-    f"WITH {SENSOR} SELECT seq, id, vc FROM sensor WHERE vc >= 5000",
+    f"WITH {SENSOR} SELECT seq, id, vc FROM sensor",
 )
 def sink_foreach(spark, folder):
     path = scratch(spark, "foreach")
-    rows = sensor_stream(spark, folder).where("vc >= 5000").select("seq", "id", "vc")
-    started = (
-        rows.writeStream.foreach(JsonLineWriter(path, ["seq", "id", "vc"]))
-        .option("checkpointLocation", scratch(spark, "checkpoint"))
-        .trigger(availableNow=True)
-        .start()
-    )
-    started.awaitTermination()
+    rows, feed = sensor_stream(spark, folder)
+    writer = rows.select("seq", "id", "vc").writeStream.foreach(JsonLineWriter(path, ["seq", "id", "vc"]))
+    run_available(writer.option("checkpointLocation", scratch(spark, "checkpoint")), feed)
     return spark.read.schema("seq long, id string, vc long").json(path)
 
 
@@ -186,5 +183,6 @@ def doc_rows(spark, folder):
     SELECT id || '-' || CAST(user_id AS VARCHAR) AS _id, '{{"ct":' || CAST(ct AS VARCHAR) || '}}' AS _source FROM g""",
 )
 def upsert_agg_docs(spark, folder):
-    counts = sensor_stream(spark, folder).groupBy("id", "user_id").agg(F.count(F.lit(1)).alias("ct"))
-    return documents(latest_rows(counts, keys=["id", "user_id"]), ["ct"], id_columns=["id", "user_id"])
+    rows, feed = sensor_stream(spark, folder)
+    counts = rows.groupBy("id", "user_id").agg(F.count(F.lit(1)).alias("ct"))
+    return documents(latest_rows(counts, keys=["id", "user_id"], feed=feed), ["ct"], id_columns=["id", "user_id"])

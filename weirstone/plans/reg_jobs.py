@@ -51,9 +51,16 @@ def uv_hourly_bitmap(spark, folder):
     return page_views.uv_hourly_bitmap(_views(spark, folder), "user_id")
 
 
-@query("uv_hourly_hll")
+@query(
+    "uv_hourly_hll",
+    f"WITH {_VIEWS} SELECT {_HOUR_END} AS window_end, count(DISTINCT user_id) AS uv, true AS near FROM views GROUP BY 1",
+)
 def uv_hourly_hll(spark, folder):
-    return page_views.uv_hourly_sketch(_views(spark, folder), "user_id")
+    """The exact count, and whether the sketch lies within three standard errors of it."""
+    views, error = _views(spark, folder), 0.02
+    told = page_views.uv_hourly_sketch(views, "user_id", error=error).withColumnRenamed("uv", "told")
+    near = F.abs(F.col("told") - F.col("uv")) <= F.greatest(3 * error * F.col("uv"), F.lit(1.0))
+    return page_views.uv_hourly(views, "user_id").join(told, "window_end").select("window_end", "uv", near.alias("near"))
 
 
 @query(

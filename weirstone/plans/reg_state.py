@@ -28,9 +28,10 @@ _NTZ = "timestamp_ntz"
 @query("watermark_bounded", tumble_sql("id", HOUR, "CAST(sum(vc) AS BIGINT) AS vc_sum"))
 def watermark_bounded(spark, folder):
     """Event-time windows of a watermarked stream; update mode keeps the open ones."""
-    rows = sensor_stream(spark, folder).withWatermark("ts", "2 seconds")
+    rows, feed = sensor_stream(spark, folder)
+    rows = rows.withWatermark("ts", "2 seconds")
     sums = window_aggregate(rows, keys=["id"], ts="ts", size="1 hour", aggs={"vc_sum": F.sum("vc")})
-    final = latest_rows(sums, keys=["id", "window_start", "window_end"])
+    final = latest_rows(sums, keys=["id", "window_start", "window_end"], feed=feed)
     return final.select(
         "id", F.col("window_start").cast(_NTZ).alias("window_start"), F.col("window_end").cast(_NTZ).alias("window_end"),
         "vc_sum",

@@ -5,16 +5,15 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from weirstone.functions.timecols import epoch_micros
-from weirstone.operators.joins import interval_join
+from weirstone.operators.joins import control_switch, interval_join
 from weirstone.plans.inputs import HOUR, PAYS, SENSOR, pays, receipts, sensor_stream
 from weirstone.plans.reg_grouped import CHANGELOG_SQL
 from weirstone.plans.reg_joins import SWITCH_SQL, outcome
 from weirstone.plans.reg_windows import hop_sql
 from weirstone.plans.registry import query
 from weirstone.operators.windows import window_aggregate
-from weirstone.sources.files import table_stream
+from weirstone.session import scratch
 from weirstone.streaming.processors import (
-    ControlSwitch,
     CountChangelog,
     CountWindow,
     DailyLimit,
@@ -22,22 +21,25 @@ from weirstone.streaming.processors import (
     JumpAlert,
     stateful,
 )
-from weirstone.streaming.runner import appended_rows, latest_rows
+from weirstone.streaming.feed import Feed
+from weirstone.streaming.runner import appended_rows, drain, latest_rows
 
 _NTZ = "timestamp_ntz"
 
 
 def _arrivals(spark, folder, *columns):
-    return sensor_stream(spark, folder).withColumn("_seq", F.col("seq")).select("_seq", *columns)
+    rows, feed = sensor_stream(spark, folder)
+    return rows.withColumn("_seq", F.col("seq")).select("_seq", *columns), feed
 
 
 @query("stream_hop", hop_sql("id", 6 * HOUR, 2 * HOUR, "count(*) AS ct"))
 def stream_hop(spark, folder):
-    rows = sensor_stream(spark, folder).withWatermark("ts", "2 seconds")
+    rows, feed = sensor_stream(spark, folder)
+    rows = rows.withWatermark("ts", "2 seconds")
     counts = window_aggregate(
         rows, keys=["id"], ts="ts", size="6 hours", slide="2 hours", aggs={"ct": F.count(F.lit(1))}
     )
-    final = latest_rows(counts, keys=["id", "window_start", "window_end"])
+    final = latest_rows(counts, keys=["id", "window_start", "window_end"], feed=feed)
     return final.select(
         "id", F.col("window_start").cast(_NTZ).alias("window_start"), F.col("window_end").cast(_NTZ).alias("window_end"), "ct"
     )
@@ -49,27 +51,28 @@ def stream_hop(spark, folder):
     f" AND epoch_us(receipt_ts) - epoch_us(pay_ts) BETWEEN {-2 * HOUR} AND {4 * HOUR}",
 )
 def stream_interval_join(spark, folder):
-    def stream():
-        return table_stream(spark, folder, "events").withColumn("ts", F.col("ts").cast("timestamp"))
-
+    feed = Feed(spark, folder, "events", "event_id")
+    events = feed.stream.withColumn("ts", F.col("ts").cast("timestamp"))
     joined = interval_join(
-        pays(stream()).withWatermark("pay_ts", "10 seconds"),
-        receipts(stream()).withWatermark("receipt_ts", "10 seconds"),
+        pays(events).withWatermark("pay_ts", "10 seconds"),
+        receipts(events).withWatermark("receipt_ts", "10 seconds"),
         keys=["tx"], left_ts="pay_ts", right_ts="receipt_ts", lower="-2 hours", upper="4 hours",
     )
-    return appended_rows(joined.select("tx", "pay_id", "receipt_id"))
+    return appended_rows(joined.select("tx", "pay_id", "receipt_id"), feed=feed)
 
 
 @query("stream_distinct", f"WITH {SENSOR} SELECT DISTINCT id, vc FROM sensor")
 def stream_distinct(spark, folder):
-    return appended_rows(sensor_stream(spark, folder).select("id", "vc").dropDuplicates(["id", "vc"]))
+    rows, feed = sensor_stream(spark, folder)
+    return appended_rows(rows.select("id", "vc").dropDuplicates(["id", "vc"]), feed=feed)
 
 
 @query("stream_changelog", CHANGELOG_SQL)
 def stream_changelog(spark, folder):
     out = "id string, step long, added boolean, ct long"
-    rows = stateful(_arrivals(spark, folder, "id"), keys=["id"], processor=CountChangelog(out), output=out)
-    return appended_rows(rows, mode="update")
+    rows, feed = _arrivals(spark, folder, "id")
+    steps = stateful(rows, keys=["id"], processor=CountChangelog(out), output=out)
+    return appended_rows(steps, mode="update", feed=feed)
 
 
 @query(
@@ -80,10 +83,9 @@ def stream_changelog(spark, folder):
 )
 def stream_count_slide(spark, folder):
     out = "user_id long, fired_at long, vc_sum long"
-    rows = stateful(
-        _arrivals(spark, folder, "user_id", "vc"), keys=["user_id"], processor=CountWindow(out, "vc", 5, 2), output=out
-    )
-    return appended_rows(rows, mode="update")
+    rows, feed = _arrivals(spark, folder, "user_id", "vc")
+    fired = stateful(rows, keys=["user_id"], processor=CountWindow(out, "vc", 5, 2), output=out)
+    return appended_rows(fired, mode="update", feed=feed)
 
 
 @query(
@@ -93,10 +95,9 @@ def stream_count_slide(spark, folder):
 )
 def stream_vc_jump(spark, folder):
     out = "user_id long, seq long, prev_vc long, vc long"
-    rows = stateful(
-        _arrivals(spark, folder, "user_id", "vc"), keys=["user_id"], processor=JumpAlert(out, "vc", 5000), output=out
-    )
-    return appended_rows(rows, mode="update")
+    rows, feed = _arrivals(spark, folder, "user_id", "vc")
+    jumps = stateful(rows, keys=["user_id"], processor=JumpAlert(out, "vc", 5000), output=out)
+    return appended_rows(jumps, mode="update", feed=feed)
 
 
 @query(
@@ -105,34 +106,31 @@ def stream_vc_jump(spark, folder):
 )
 def stream_first_seen(spark, folder):
     out = "user_id long, seq long, v long"
-    rows = _arrivals(spark, folder, "user_id", F.expr("vc div 100").alias("v"))
+    rows, feed = _arrivals(spark, folder, "user_id", F.expr("vc div 100").alias("v"))
     return appended_rows(
-        stateful(rows, keys=["user_id"], processor=FirstSeen(out, "v"), output=out), mode="update"
+        stateful(rows, keys=["user_id"], processor=FirstSeen(out, "v"), output=out), mode="update", feed=feed
     )
 
 
 @query("stream_switch", SWITCH_SQL)
 def stream_switch(spark, folder):
-    """Control rows go to every bucket, data rows to one: broadcast state on a stream."""
-    buckets = 8
-    is_control = F.col("id") == "signup"
-    every = F.sequence(F.lit(0), F.lit(buckets - 1))
-    own = F.array(F.pmod(F.xxhash64("_seq"), F.lit(buckets)).cast("int"))
-    rows = _arrivals(
-        spark, folder, "id", F.when(is_control, (F.col("user_id") % 3).cast("string")).alias("control")
-    ).withColumn("bucket", F.explode(F.when(is_control, every).otherwise(own)))
-    out = "bucket int, seq long, switch string"
-    switched = appended_rows(
-        stateful(rows.drop("id"), keys=["bucket"], processor=ControlSwitch(out), output=out), mode="update"
-    )
-    events = table_ids(spark, folder)
-    return switched.join(events, "seq").select("seq", "id", outcome("switch").alias("outcome"))
-
+    """The as-of form on each micro-batch, which begins with the last control value of those before."""
+    rows, feed = sensor_stream(spark, folder)
+    target, state = scratch(spark, "rows"), scratch(spark, "control")
+    kept = "seq long, ctl string"
+    spark.createDataFrame([], kept).write.parquet(f"{state}/batch_id=-1")
 
-def table_ids(spark, folder):
-    from weirstone.plans.inputs import sensor
+    def step(batch, batch_id):
+        known = spark.read.schema(f"{kept}, batch_id int").option("basePath", state).parquet(f"{state}/batch_id=*")
+        last = known.where(F.col("batch_id") < batch_id).drop("batch_id").orderBy(F.desc("seq")).limit(1)
+        control = batch.where("id = 'signup'").select("seq", (F.col("user_id") % 3).cast("string").alias("ctl")).union(last)
+        out = control_switch(batch.where("id <> 'signup'").select("seq", "id"), control, seq="seq", value="ctl", name="ctl")
+        out.write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
+        control.orderBy(F.desc("seq")).limit(1).write.mode("overwrite").parquet(f"{state}/batch_id={batch_id}")
 
-    return sensor(spark, folder).select("seq", "id")
+    drain(rows, step, mode="append", feed=feed)
+    switched = spark.read.schema("seq long, id string, ctl string").parquet(f"{target}/batch_id=*")
+    return switched.select("seq", "id", outcome("ctl").alias("outcome"))
 
 
 @query(
@@ -143,12 +141,12 @@ def table_ids(spark, folder):
 )
 def stream_daily_limit(spark, folder):
     out = "user_id long, seq long, tag string"
+    rows, feed = sensor_stream(spark, folder)
     rows = (
-        sensor_stream(spark, folder)
-        .withWatermark("ts", "2 seconds")
+        rows.withWatermark("ts", "2 seconds")
         .select("user_id", F.col("seq").alias("_seq"), epoch_micros("ts").alias("_us"), "ts")
     )
     judged = stateful(
         rows, keys=["user_id"], processor=DailyLimit(out, limit=3, offset_hours=8), output=out, time_mode="EventTime"
     )
-    return appended_rows(judged, mode="update")
+    return appended_rows(judged, mode="update", feed=feed)

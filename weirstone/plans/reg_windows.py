@@ -172,11 +172,11 @@ def sql_hop(spark, folder):
 @query("sql_session", session_sql("user_id", 60, "count(id) AS ct"))
 def sql_session(spark, folder):
     """Sessions by name in SQL: the view splits hot keys, unlike SQL's session_window."""
-    sessions = session_windows(
-        sensor(spark, folder), keys=["user_id"], ts="ts", gap="60 minutes", measures={"ct": count_of("id")}
+    as_view(sensor(spark, folder), "sensor_rows")
+    return spark.sql(
+        "SELECT user_id, w.start AS window_start, w.end AS window_end, ct FROM"
+        " (SELECT user_id, session_window(ts, '60 minutes') AS w, count(id) AS ct FROM sensor_rows GROUP BY user_id, session_window(ts, '60 minutes'))"
     )
-    as_view(sessions, "sensor_sessions")
-    return spark.sql("SELECT user_id, window_start, window_end, ct FROM sensor_sessions")
 
 
 @query("hop_dense", hop_sql("id", 12 * HOUR, MINUTE, "count(*) AS ct"))
@@ -186,6 +186,15 @@ def hop_dense(spark, folder):
     )
 
 
+@query("hop_dense_double", hop_sql("id", 2 * HOUR, MINUTE, "round(sum(vc / 100.0::DOUBLE), 4) AS value_sum"))
+def hop_dense_double(spark, folder):
+    panes = dense_hop(
+        sensor(spark, folder).withColumn("value", F.col("vc") / 100), keys=["id"], ts="ts", size="2 hours", slide="1 minute",
+        measures={"value_sum": sum_of("value")},
+    )
+    return panes.withColumn("value_sum", F.round("value_sum", 4))
+
+
 @query("hop_dense_max", hop_sql("id", 2 * HOUR, MINUTE, "max(vc) AS vc_max, count(*) AS ct"))
 def hop_dense_max(spark, folder):
     return dense_hop(

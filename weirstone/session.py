@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -36,8 +38,30 @@ def build_session(app: str = "weirstone", master: str | None = None, **conf: str
     return builder.getOrCreate()
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the workers, once per application.
+
+    Spark serves the archive to every executor that joins, so workers need no
+    installed copy and no PYTHONPATH.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    source = Path(__file__).parent
+    archive = Path(tempfile.mkdtemp(prefix="weirstone-package-")) / "weirstone.zip"
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        for path in sorted(source.rglob("*.py")):
+            out.write(path, path.relative_to(source.parent))
+    context.addPyFile(str(archive))
+    _shipped.add(context.applicationId)
+
+
 def prepare(spark: SparkSession) -> SparkSession:
-    """Apply the runtime defaults to a session somebody else made."""
+    """Apply the runtime defaults to a session somebody else made, and ship the package."""
+    ship(spark)
     for key, value in DEFAULTS.items():
         if spark.conf.isModifiable(key) and spark.conf.get(key, None) != value:
             spark.conf.set(key, value)

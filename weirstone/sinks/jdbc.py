@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
@@ -10,7 +11,11 @@ from weirstone.operators.rolling import last_per_key
 
 
 def append(url: str, table: str, properties: dict[str, str], batch_rows: int = 10_000) -> Callable[[DataFrame, int], None]:
-    """`foreachBatch` function appending each batch."""
+    """`foreachBatch` function appending each batch.
+
+    At least once: a batch that is repeated after a failure is appended again. Use
+    `upsert` where that matters.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.option("batchsize", batch_rows).jdbc(url, table, mode="append", properties=properties)
@@ -46,10 +51,12 @@ def upsert(
     """`foreachBatch` function: executors load the staging table, the driver merges once.
 
     Repeating a batch stages and merges the same rows again, which changes nothing.
+    Each writer and batch has a staging table of its own, which goes after the merge.
     """
-    stage = f"{table}_stage"
+    writer = uuid.uuid4().hex[:12]
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        stage = f"{table}_stage_{writer}_{batch_id}"
         rows = upsert_rows(batch, keys, order).select(*columns)
         rows.write.jdbc(url, stage, mode="overwrite", properties=properties)
         jvm = batch.sparkSession._jvm
@@ -59,6 +66,7 @@ def upsert(
         try:
             statement = connection.createStatement()
             statement.executeUpdate(merge_sql(table, stage, keys, columns))
+            statement.executeUpdate(f"DROP TABLE {stage}")
             statement.close()
         finally:
             connection.close()

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from weirstone.operators.rolling import last_per_key
 from weirstone.sources.codecs import encode_json
@@ -26,7 +27,10 @@ class UpsertLog:
         rows = last_per_key(batch, keys=self.keys, order=self.order) if self.order else batch
         rows.write.mode("overwrite").parquet(f"{self.path}/{BATCH}={batch_id}")
 
-    def read(self, spark: SparkSession) -> DataFrame:
+    def read(self, spark: SparkSession, schema: StructType | None = None) -> DataFrame:
+        """Newest row per key; with a schema, no rows where nothing was written yet."""
+        if schema is not None:
+            spark.createDataFrame([], schema).write.mode("overwrite").parquet(f"{self.path}/{BATCH}=-1")
         log = spark.read.option("basePath", self.path).parquet(self.path)
         return last_per_key(log, keys=self.keys, order=[BATCH, *self.order]).drop(BATCH)
 

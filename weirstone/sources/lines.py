@@ -2,8 +2,10 @@
 
 Usage: `spark.dataSource.register(LineSource)` and
 `spark.read.format("lines_of").schema(...).option("path", folder).load()`.
-Each task reads a byte range of one file, so no file is too large for a task. The
-stream form takes files in name order; a new file has to sort after the old ones.
+Each task reads a byte range of one file, so no file is too large for a task, and puts
+out Arrow batches. The stream form remembers the files it has taken, by name and size, so
+a file is read once whenever it comes and however it is called; a file that grows after
+it was taken is an error.
 """
 
 from __future__ import annotations
@@ -11,16 +13,20 @@ from __future__ import annotations
 import io
 from collections.abc import Iterator
 from datetime import datetime, timezone
+from itertools import islice
 
+import pyarrow as pa
 from pyspark.sql.datasource import (
     DataSource,
     DataSourceReader,
     DataSourceStreamReader,
     InputPartition,
 )
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 SPLIT_BYTES = 64 << 20
+BATCH_ROWS = 10_000
 
 
 class LineRange(InputPartition):
@@ -44,6 +50,7 @@ def _parse(text: str, kind: str):
 class _Lines:
     def __init__(self, schema: StructType, options: dict) -> None:
         self.kinds = [f.dataType.typeName() for f in schema.fields]
+        self.arrow = to_arrow_schema(schema)
         self.path = options["path"]
         self.sep = options.get("sep", ",")
         self.split = int(options.get("splitbytes", options.get("splitBytes", SPLIT_BYTES)))
@@ -73,7 +80,7 @@ class _Lines:
             for at in range(0, size, self.split)
         ]
 
-    def rows(self, part: LineRange) -> Iterator[tuple]:
+    def rows(self, part: LineRange) -> Iterator[list]:
         system, _ = self._fs(self.path)
         with io.BufferedReader(system.open_input_file(part.path)) as source:
             at = part.start
@@ -91,29 +98,40 @@ class _Lines:
                     fields = text.split(self.sep)
                     if len(fields) != len(self.kinds):
                         raise ValueError(f"{part.path}: {len(fields)} fields, expected {len(self.kinds)}")
-                    yield tuple(_parse(v, k) for v, k in zip(fields, self.kinds))
+                    yield [_parse(v, k) for v, k in zip(fields, self.kinds)]
+
+    def batches(self, part: LineRange) -> Iterator[pa.RecordBatch]:
+        if not part.path:
+            return
+        rows = self.rows(part)
+        while some := list(islice(rows, BATCH_ROWS)):
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*some), self.arrow)], schema=self.arrow)
 
 
 class _Batch(_Lines, DataSourceReader):
     def partitions(self):
         return self.ranges(self.files()) or [LineRange("", 0, 0)]
 
-    def read(self, partition: LineRange) -> Iterator[tuple]:
-        return self.rows(partition) if partition.path else iter(())
+    def read(self, partition: LineRange) -> Iterator[pa.RecordBatch]:
+        return self.batches(partition)
 
 
 class _Stream(_Lines, DataSourceStreamReader):
     def initialOffset(self) -> dict:
-        return {"files": 0}
+        return {"files": {}}
 
     def latestOffset(self) -> dict:
-        return {"files": len(self.files())}
+        return {"files": dict(self.files())}
 
     def partitions(self, start: dict, end: dict):
-        return self.ranges(self.files()[start["files"] : end["files"]])
-
-    def read(self, partition: LineRange) -> Iterator[tuple]:
-        return self.rows(partition)
+        taken, seen = start["files"], end["files"]
+        grown = [path for path, size in taken.items() if seen.get(path, size) != size]
+        if grown:
+            raise ValueError(f"files changed after they were read: {grown[:3]}")
+        return self.ranges(sorted((path, size) for path, size in seen.items() if path not in taken)) or [LineRange("", 0, 0)]
+
+    def read(self, partition: LineRange) -> Iterator[pa.RecordBatch]:
+        return self.batches(partition)
 
 
 class LineSource(DataSource):

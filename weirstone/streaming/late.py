@@ -71,7 +71,10 @@ class RefiringWindows:
         parts = batch.groupBy(*self.keys, start).agg(*[m.partial.alias(n) for n, m in self.measures.items()])
         parts.write.mode("overwrite").parquet(f"{self.path}/{BATCH}={batch_id}")
 
-    def read(self, spark: SparkSession) -> DataFrame:
+    def read(self, spark: SparkSession, empty: DataFrame | None = None) -> DataFrame:
+        """All windows; `empty`, a frame like the input, gives the columns where nothing was written yet."""
+        if empty is not None:
+            self.write(empty.limit(0), -1)
         parts = spark.read.option("basePath", self.path).parquet(self.path)
         whole = parts.groupBy(*self.keys, "_start").agg(*[m.merge(n).alias(n) for n, m in self.measures.items()])
         return whole.select(

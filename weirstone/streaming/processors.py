@@ -10,15 +10,22 @@ key is a value, a short list or a map; a micro-batch's size is set by the source
 
 from __future__ import annotations
 
+import sys
 from collections import deque
 from collections.abc import Callable, Iterator, Sequence
 from itertools import groupby
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Row
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
+from weirstone import schemas
 from weirstone.schemas import struct
 
+# Spark starts a processor in a process of the driver too, which gets no shipped packages: send these classes whole.
+for _module in (sys.modules[__name__], schemas):
+    cloudpickle.register_pickle_by_value(_module)
+
 
 def stateful(
     df: DataFrame,

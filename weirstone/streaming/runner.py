@@ -8,9 +8,35 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from weirstone.session import scratch
 from weirstone.sinks.keyed import UpsertLog
+from weirstone.streaming.feed import Feed
+
+
+class RowsDropped(RuntimeError):
+    """A watermark dropped rows that nothing put to a side output."""
+
+
+def dropped(query: StreamingQuery) -> int:
+    """Rows that stateful operators of a finished query dropped as late."""
+    return sum(s["numRowsDroppedByWatermark"] for p in query.recentProgress for s in p["stateOperators"])
+
+
+def run_available(writer: DataStreamWriter, feed: Feed | None = None, *, late: str = "raise") -> None:
+    """Process what is available, slice by slice with a feed, then stop.
+
+    `late` tells what rows beyond the watermark mean: "raise" RowsDropped, or "drop".
+    The writer needs a checkpoint location; a slice goes on from the one before.
+    """
+    while feed is None or feed.advance():
+        query = writer.trigger(availableNow=True).start()
+        query.awaitTermination()
+        if late == "raise" and (n := dropped(query)):
+            raise RowsDropped(f"{n} rows came after the watermark: raise the delay, or split late rows off first")
+        if feed is None:
+            return
 
 
 def drain(
@@ -19,37 +45,35 @@ def drain(
     *,
     mode: str,
     checkpoint: str | None = None,
+    feed: Feed | None = None,
+    late: str = "raise",
 ) -> None:
     """Process everything available through `foreachBatch`, then stop."""
-    query = (
-        df.writeStream.foreachBatch(write)
-        .outputMode(mode)
-        .option("checkpointLocation", checkpoint or scratch(df.sparkSession, "checkpoint"))
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
+    writer = df.writeStream.foreachBatch(write).outputMode(mode)
+    run_available(writer.option("checkpointLocation", checkpoint or scratch(df.sparkSession, "checkpoint")), feed, late=late)
 
 
 def latest_rows(df: DataFrame, *, keys: Sequence[str], checkpoint: str | None = None,
-                path: str | None = None) -> DataFrame:
+                path: str | None = None, feed: Feed | None = None, late: str = "raise") -> DataFrame:
     """Final state of an update-mode aggregate: the newest row per key."""
     spark = df.sparkSession
     log = UpsertLog(path or scratch(spark, "updates"), keys)
-    drain(df, log.write, mode="update", checkpoint=checkpoint)
-    return log.read(spark)
+    drain(df, log.write, mode="update", checkpoint=checkpoint, feed=feed, late=late)
+    return log.read(spark, df.schema)
 
 
 def appended_rows(df: DataFrame, *, mode: str = "append", checkpoint: str | None = None,
-                  path: str | None = None) -> DataFrame:
-    """All rows an append (or per-row update) stream puts out."""
+                  path: str | None = None, feed: Feed | None = None, late: str = "raise") -> DataFrame:
+    """All rows an append (or per-row update) stream puts out; none if no micro-batch ran."""
     spark = df.sparkSession
     target = path or scratch(spark, "rows")
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
 
-    drain(df, write, mode=mode, checkpoint=checkpoint)
+    # An empty entry, so that the folder can be read.
+    spark.createDataFrame([], df.schema).write.mode("overwrite").parquet(f"{target}/batch_id=-1")
+    drain(df, write, mode=mode, checkpoint=checkpoint, feed=feed, late=late)
     return spark.read.schema(df.schema).option("basePath", target).parquet(f"{target}/batch_id=*").select(
         *df.columns
     )
