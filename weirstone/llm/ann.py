@@ -8,10 +8,11 @@ leaves until the calibrated number is reached. That number is found by widening
 for some queries whose true neighbours among all rows are known, until their recall is
 `recall` or more.
 
-Leaves meet their queries as blocks: a leaf with many rows is cut into parts, one with many
-queries too, and each pair of parts is one group of at most BLOCK rows on either side, in
-which inner products are a matrix product; the best `k` of each part go on. What comes close
-to the last place is summed again product by product, so equal vectors have equal scores.
+Leaves meet their queries in shards: neighbouring leaves share one of about BLOCK rows, a leaf
+with more rows is cut into several, and many queries are cut into parts too. A group is one
+shard with one part; it multiplies each leaf with the queries that visit it, and only the best
+`k` rows of a query leave the shard. What comes close to the last place is summed again product
+by product, so equal vectors have equal scores.
 
 Defined cases: vectors that are null, zero, of another length than the most frequent one, or
 hold null or non-finite components take no part, nor do rows with a null id. Equal scores go
@@ -36,10 +37,10 @@ LEAF_ROWS = 512
 MAX_LEAVES = 2048
 BRANCHES = 8
 ROUNDS = 8
-BLOCK = 4096
+BLOCK = 8192
 CALIBRATE = 100
-RECALL = 0.97
-SPREAD = 0.5
+RECALL = 0.95
+SPREAD = 1.0
 SCORES = "query_id long, vec_id long, score double"
 
 
@@ -167,8 +168,16 @@ def top(scores: DataFrame, k: int) -> DataFrame:
     return scores.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
-def parts_of(counts: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    return [(leaf, -(-n // BLOCK)) for leaf, n in counts]
+def shards_of(counts: list[tuple[int, int]]) -> dict[int, list[int]]:
+    """Shards of each leaf: neighbouring leaves share one of about BLOCK rows, a larger leaf has several of its own."""
+    found, shard, room = {}, -1, 0
+    for leaf, n in counts:
+        parts = -(-n // BLOCK)
+        if parts > 1 or n > room:
+            shard, room = shard + 1, BLOCK
+        found[leaf] = list(range(shard, shard + parts))
+        shard, room = shard + parts - 1, room - n if parts == 1 else 0
+    return found
 
 
 def search(
@@ -215,39 +224,52 @@ def search(
     while len(reached) and (reached < visits).mean() < recall:
         visits += 1
 
+    counts = sorted((r["leaf"], r["count"]) for r in index.groupBy("leaf").count().collect())  # a row per leaf at most
+    shards = shards_of(counts)
+    query_parts = max(1, -(-queries.count() // (4 * BLOCK)))
+
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
-                few = batch.slice(at, 1024)
-                seen = tree.value.visits(matrix(few.column(1)), visits)
-                owner = pa.array(np.repeat(np.arange(few.num_rows), [len(s) for s in seen]))
-                leaves = pa.array([leaf for s in seen for leaf in s], pa.int32())
-                yield pa.RecordBatch.from_arrays([few.column(0).take(owner), leaves, few.column(1).take(owner)], names=["query_id", "leaf", "vector"])
-
-    walked = saved(queries.mapInArrow(walk, "query_id long, leaf int, vector array<double>"), "visits")
-
-    def cut(table: DataFrame, name: str) -> DataFrame:
-        counts = [(r["leaf"], r["count"]) for r in table.groupBy("leaf").count().collect()]  # one row per leaf at most
-        return F.broadcast(spark.createDataFrame(parts_of(counts) or [(-1, 1)], f"leaf int, {name} int"))
-
-    row_parts, query_parts = cut(index, "row_parts"), cut(walked, "query_parts")
-    own = index.join(row_parts, "leaf").join(query_parts, "leaf")
-    own = own.select("leaf", F.pmod(F.xxhash64("vec_id"), "row_parts").alias("p"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("query_parts").cast("long") - 1)).alias("q"), "vec_id", "vector")
-    met = walked.join(row_parts, "leaf").join(query_parts, "leaf")
-    met = met.select("leaf", F.explode(F.sequence(F.lit(0).cast("long"), F.col("row_parts").cast("long") - 1)).alias("p"), F.pmod(F.xxhash64("query_id"), "query_parts").alias("q"), "query_id", "vector")
+                few, owner, shard, leaves = batch.slice(at, 1024), [], [], []
+                for i, seen in enumerate(tree.value.visits(matrix(few.column(1)), visits)):
+                    met: dict[int, list[int]] = {}
+                    for leaf in seen:
+                        for s in shards.get(leaf, ()):
+                            met.setdefault(s, []).append(leaf)
+                    owner += [i] * len(met)
+                    shard += met.keys()
+                    leaves += met.values()
+                at_ = pa.array(owner, pa.int64())
+                columns = [few.column(0).take(at_), pa.array(shard, pa.int32()), pa.array(leaves, pa.list_(pa.int32())), few.column(1).take(at_)]
+                yield pa.RecordBatch.from_arrays(columns, names=["query_id", "shard", "leaves", "vector"])
+
+    met = queries.mapInArrow(walk, "query_id long, shard int, leaves array<int>, vector array<double>")
+    met = met.withColumn("part", F.pmod(F.xxhash64("query_id"), F.lit(query_parts)).cast("int"))
+    firsts = F.broadcast(spark.createDataFrame([(leaf, s[0], len(s)) for leaf, s in shards.items()], "leaf int, first int, n int"))
+    own = index.join(firsts, "leaf").withColumn("shard", (F.col("first") + F.pmod(F.xxhash64("vec_id"), F.col("n"))).cast("int"))
+    own = own.select("shard", F.explode(F.sequence(F.lit(0), F.lit(query_parts - 1))).alias("part"), "vec_id", "leaf", "vector")
 
     def compare(left: pa.Table, right: pa.Table) -> pa.Table:
-        found = []
+        held: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
         if left.num_rows and right.num_rows:
-            ids = left.column("vec_id").to_numpy()
-            found = list(best(ids, matrix(left.column("vector")), right.column("query_id").to_numpy(), matrix(right.column("vector")), k))
-        found = [f for f in found if len(f[1])]
-        if not found:
-            return pa.table({"query_id": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
-        return pa.table({
-            "query_id": np.concatenate([np.full(len(p), i) for i, p, _ in found]), "vec_id": ids[np.concatenate([p for _, p, _ in found])],
-            "score": np.concatenate([s for *_, s in found]),
-        })
-
-    scores = own.groupBy("leaf", "p", "q").cogroup(met.groupBy("leaf", "p", "q")).applyInArrow(compare, SCORES)
+            ids, leaf, x = left.column("vec_id").to_numpy(), left.column("leaf").to_numpy(), matrix(left.column("vector"))
+            asked_ids, q = right.column("query_id").to_numpy(), matrix(right.column("vector"))
+            visitors: dict[int, list[int]] = {}
+            for i, seen in enumerate(right.column("leaves").to_pylist()):
+                for one in seen:
+                    visitors.setdefault(one, []).append(i)
+            for one, rows_ in visitors.items():
+                at = np.flatnonzero(leaf == one)
+                for query, near, scores in best(ids[at], x[at], asked_ids[rows_], q[rows_], k):
+                    held.setdefault(query, []).append((ids[at][near], scores))
+        out: list[list[np.ndarray]] = [[np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0)]]
+        for query, parts in held.items():
+            found, scores = (np.concatenate(p) for p in zip(*parts))
+            order = np.lexsort((found, -scores))[:k]
+            for column, values in zip(out, (np.full(len(order), query), found[order], scores[order])):
+                column.append(values)
+        return pa.table(dict(zip(("query_id", "vec_id", "score"), map(np.concatenate, out))))
+
+    scores = own.groupBy("shard", "part").cogroup(met.groupBy("shard", "part")).applyInArrow(compare, SCORES)
     return top(scores, k).select("query_id", "rank", "vec_id", "score")
