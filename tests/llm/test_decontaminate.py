@@ -69,5 +69,5 @@ def test_decontaminate_leaves_no_window_and_clean_texts_alone(spark, block):
 def test_empty_tables(spark):
     docs, bench = frame(spark, []), spark.createDataFrame([], BENCH)
     assert D.find(docs, bench).count() == 0
-    some = frame(spark, corpus(3)[:3])
+    some = frame(spark, corpus()[:3])
     assert pick(D.decontaminate(some, bench), "doc_id", "text") == pick(some, "doc_id", "text")

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructField, StructType
 
 from weirstone.session import scratch
 from weirstone.sources.files import table
@@ -46,6 +47,13 @@ def col(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def mapped(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: StructType) -> DataFrame:
+    """`mapInArrow` for columns of any name, dots included; `run` goes by position."""
+    plain = [f"c{i}" for i in range(len(schema))]
+    out = StructType([StructField(n, f.dataType) for n, f in zip(plain, schema)])
+    return df.toDF(*[f"c{i}" for i in range(len(df.columns))]).mapInArrow(run, out).toDF(*schema.fieldNames())
+
+
 def slices(batch: pa.RecordBatch, column: int, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut a batch into runs of rows with about `limit` bytes in a string column; a longer row stands alone."""
     if not batch.num_rows:

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import ArrayType, BooleanType, IntegerType, LongType, StringType, StructField, StructType
 
-from weirstone.llm.common import as_bytes, col, fresh, saved, slices
+from weirstone.llm.common import as_bytes, col, fresh, mapped, saved, slices
 
 WINDOW = 10
 # (window, item) rows per broadcast block: under 64 MB in a worker.
@@ -183,7 +183,7 @@ def scanned(docs: DataFrame, parts: Sequence[list], text: str, finish: Finish, r
                     else:
                         yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(known, state)], names=part.schema.names)
 
-        df = df.mapInArrow(scan, result if last else df.schema)
+        df = mapped(df, scan, result if last else df.schema)
         df = df if last else saved(df, "leaks")
     return df
 

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
 
-from weirstone.llm.common import as_bytes, col, fresh, slices
+from weirstone.llm.common import as_bytes, col, fresh, mapped, slices
 
 MIN_WORDS = 50
 # A document goes if this share of its words, or more, was deleted.
@@ -146,7 +146,7 @@ def dedup(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", min_wo
                     columns[place] = pa.array(texts, columns[place].type)
                 yield pa.RecordBatch.from_arrays(columns, names=part.schema.names[:-1]).filter(pa.array(keep))
 
-    return with_ranges(docs, doc_id, text, min_words, name).mapInArrow(run, schema)
+    return mapped(with_ranges(docs, doc_id, text, min_words, name), run, schema)
 
 
 def report(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:

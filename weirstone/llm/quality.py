@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import ArrayType, DoubleType, FloatType, IntegerType, StructField, StructType
 
-from weirstone.llm.common import as_bytes, col, fresh, slices
+from weirstone.llm.common import as_bytes, col, fresh, mapped, slices
 
 SAMPLE_ROWS = 4000
 BUCKETS = 1 << 14
@@ -207,4 +207,4 @@ def score(docs: DataFrame, model: Model, *, text: str = "text", n_chars: str | N
                 found = own.scores(*encoded(as_bytes(part.column(place)), part.column(place + 1).to_pylist(), known))
                 yield pa.RecordBatch.from_arrays([*part.columns[:-2], pa.array(found, pa.float64())], names=schema.fieldNames())
 
-    return docs.select("*", *shown).mapInArrow(run, schema)
+    return mapped(docs.select("*", *shown), run, schema)
