@@ -20,19 +20,34 @@ SLICE_ROWS = 1 << 20
 
 
 class Feed:
-    """`stream` is the table as a stream; `advance` makes its next slice readable, False after the last."""
+    """`stream` is the table as a stream; `advance` makes its next slice readable, False after the last.
 
-    def __init__(self, spark: SparkSession, folder: str, name: str, order: str, slice_rows: int | None = None) -> None:
+    With `end`, a time column, one more slice follows: a row long after all others, with
+    `marks` in its other columns. It moves the watermark on, so that the last windows and
+    timers fire; the query tells it by its marks.
+    """
+
+    def __init__(
+        self, spark: SparkSession, folder: str, name: str, order: str, slice_rows: int | None = None, end: str | None = None,
+        marks: dict | None = None,
+    ) -> None:
         self.rows, self.order, self.done = table(spark, folder, name), order, 0
+        self.last = None
+        if end is not None:
+            values = {**dict.fromkeys(self.rows.columns, F.lit(None)), **{k: F.lit(v) for k, v in (marks or {}).items()}}
+            values[end] = F.coalesce(F.max(end), F.lit("2000-01-01").cast("timestamp_ntz")) + F.expr("INTERVAL 4000 DAYS")
+            kinds = {f.name: f.dataType for f in self.rows.schema}
+            self.last = self.rows.agg(values[end].alias(end)).select(*[(F.col(c) if c == end else values[c]).cast(kinds[c]).alias(c) for c in self.rows.columns])
         n = self.rows.count()
         count = max(1, -(-n // (slice_rows or SLICE_ROWS)))
-        self.path = scratch(spark, "feed") if count > 1 else None
+        self.path = scratch(spark, "feed") if count > 1 or end is not None else None
         if self.path is None:
             self.bounds: list = [None]
             self.stream = table_stream(spark, folder, name)
         else:
-            inner = self.rows.agg(F.percentile_approx(order, [i / count for i in range(1, count)], 10_000)).first()[0]
-            self.bounds = [*sorted(set(inner)), None]
+            shares = [i / count for i in range(1, count)]
+            inner = self.rows.agg(F.percentile_approx(order, shares, 10_000)).first()[0] if shares else None
+            self.bounds = [*sorted(set(inner or [])), None]
             self.stream = spark.readStream.schema(self.rows.schema).parquet(f"{self.path}/slice-*")
 
     def slice(self, low, high) -> DataFrame:
@@ -45,9 +60,11 @@ class Feed:
         return self.rows.where(found)
 
     def advance(self) -> bool:
-        if self.done == len(self.bounds):
+        if self.done == len(self.bounds) + (self.last is not None):
             return False
-        if self.path is not None:
+        if self.done == len(self.bounds):
+            self.last.write.mode("overwrite").parquet(f"{self.path}/slice-{self.done:09d}")
+        elif self.path is not None:
             low = self.bounds[self.done - 1] if self.done else None
             self.slice(low, self.bounds[self.done]).write.mode("overwrite").parquet(f"{self.path}/slice-{self.done:09d}")
         self.done += 1
