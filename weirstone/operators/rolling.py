@@ -92,13 +92,19 @@ def rolling_average(df, *, keys, order, value: str, name: str = "mean", blocks=D
 
 
 def changelog_count(
-    df: DataFrame, *, keys: Sequence[str], order: Sequence[str], blocks: Blocks | None = DEFAULT_BLOCKS
+    df: DataFrame, *, keys: Sequence[str], order: Sequence[str], blocks: Blocks | None = DEFAULT_BLOCKS,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Changelog of a count: each row retracts the old value and adds the new one.
 
-    Columns: keys, step (the arrival number), added (False = retraction), ct.
+    Columns: keys, step (the arrival number), added (False = retraction), ct. `counted`
+    (keys, n) tells how many rows of a key came before these, in a stream's earlier batches.
     """
     rows = numbered(df, keys=keys, order=order, name="step", blocks=blocks)
+    if counted is not None:
+        names = [f"_k{i}" for i in range(len(keys))]
+        known = counted.select(*[F.col(k).alias(n) for k, n in zip(keys, names)], F.col("n").alias("_before"))
+        rows = rows.join(known, same_keys(keys, names), "left").withColumn("step", F.col("step") + F.coalesce("_before", F.lit(0)))
     new = F.struct(F.lit(True).alias("added"), F.col("step").alias("ct"))
     old = F.struct(F.lit(False).alias("added"), (F.col("step") - 1).alias("ct"))
     pair = F.when(F.col("step") == 1, F.array(new)).otherwise(F.array(old, new))

@@ -64,6 +64,11 @@ def receipts(events: DataFrame) -> DataFrame:
     )
 
 
+def bare_words(spark: SparkSession, folder: str) -> DataFrame:
+    """Every word of every document, without its place."""
+    return table(spark, folder, "documents").select(F.explode(F.split("text", "[ \n]")).alias("word")).where("word <> ''")
+
+
 def word_rows(spark: SparkSession, folder: str) -> DataFrame:
     """Every word of every document with its place: (doc_id, pos, word)."""
     return (

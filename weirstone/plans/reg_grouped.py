@@ -15,7 +15,7 @@ from weirstone.operators.rolling import (
     running_distinct,
 )
 from weirstone.operators.running import first_value, last_known, numbered, running_max
-from weirstone.plans.inputs import SENSOR, WORDS, sensor, word_rows
+from weirstone.plans.inputs import SENSOR, WORDS, bare_words, sensor, word_rows
 from weirstone.plans.registry import query
 from weirstone.sources.files import table
 from weirstone.sources.tables import as_view
@@ -28,7 +28,7 @@ _WORDCOUNT = f"WITH {WORDS} SELECT word, count(*) AS ct FROM words GROUP BY word
 
 @query("wordcount_batch", _WORDCOUNT)
 def wordcount_batch(spark, folder):
-    return word_rows(spark, folder).groupBy("word").agg(F.count(F.lit(1)).alias("ct"))
+    return bare_words(spark, folder).groupBy("word").agg(F.count(F.lit(1)).alias("ct"))
 
 
 @query(
@@ -122,7 +122,7 @@ def changelog(spark, folder):
 
 @query("distinct_words", f"WITH {WORDS} SELECT DISTINCT word FROM words")
 def distinct_words(spark, folder):
-    return word_rows(spark, folder).select("word").dropDuplicates(["word"])
+    return bare_words(spark, folder).dropDuplicates(["word"])
 
 
 @query(

@@ -11,10 +11,10 @@ from weirstone.plans.reg_grouped import CHANGELOG_SQL
 from weirstone.plans.reg_joins import SWITCH_SQL, outcome
 from weirstone.plans.reg_windows import hop_sql
 from weirstone.plans.registry import query
+from weirstone.operators.rolling import changelog_count
 from weirstone.operators.windows import window_aggregate
 from weirstone.session import scratch
 from weirstone.streaming.processors import (
-    CountChangelog,
     CountWindow,
     DailyLimit,
     FirstSeen,
@@ -69,10 +69,20 @@ def stream_distinct(spark, folder):
 
 @query("stream_changelog", CHANGELOG_SQL)
 def stream_changelog(spark, folder):
-    out = "id string, step long, added boolean, ct long"
-    rows, feed = _arrivals(spark, folder, "id")
-    steps = stateful(rows, keys=["id"], processor=CountChangelog(out), output=out)
-    return appended_rows(steps, mode="update", feed=feed)
+    """The bounded form on each micro-batch, on top of the counts of those before."""
+    rows, feed = sensor_stream(spark, folder)
+    target, state = scratch(spark, "rows"), scratch(spark, "counts")
+    spark.createDataFrame([], "id string, n long").write.parquet(f"{state}/batch_id=-1")
+
+    def step(batch, batch_id):
+        known = spark.read.schema("id string, n long, batch_id int").option("basePath", state).parquet(f"{state}/batch_id=*")
+        counted = known.where(F.col("batch_id") < batch_id).groupBy("id").agg(F.sum("n").alias("n"))
+        out = changelog_count(batch.select("id", "seq"), keys=["id"], order=["seq"], counted=counted)
+        out.write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
+        batch.groupBy("id").agg(F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(f"{state}/batch_id={batch_id}")
+
+    drain(rows, step, mode="append", feed=feed)
+    return spark.read.schema("id string, step long, added boolean, ct long").parquet(f"{target}/batch_id=*")
 
 
 @query(
