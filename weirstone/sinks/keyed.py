@@ -30,7 +30,7 @@ class UpsertLog:
     def read(self, spark: SparkSession, schema: StructType | None = None) -> DataFrame:
         """Newest row per key; with a schema, no rows where nothing was written yet."""
         if schema is not None:
-            spark.createDataFrame([], schema).write.mode("overwrite").parquet(f"{self.path}/{BATCH}=-1")
+            spark.createDataFrame([], schema).write.mode("ignore").parquet(f"{self.path}/{BATCH}=-1")
         log = spark.read.option("basePath", self.path).parquet(self.path)
         return last_per_key(log, keys=self.keys, order=[BATCH, *self.order]).drop(BATCH)
 

@@ -72,7 +72,7 @@ def appended_rows(df: DataFrame, *, mode: str = "append", checkpoint: str | None
         batch.write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
 
     # An empty entry, so that the folder can be read.
-    spark.createDataFrame([], df.schema).write.mode("overwrite").parquet(f"{target}/batch_id=-1")
+    spark.createDataFrame([], df.schema).write.mode("ignore").parquet(f"{target}/batch_id=-1")
     drain(df, write, mode=mode, checkpoint=checkpoint, feed=feed, late=late)
     return spark.read.schema(df.schema).option("basePath", target).parquet(f"{target}/batch_id=*").select(
         *df.columns
