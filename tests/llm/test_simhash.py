@@ -103,3 +103,15 @@ def test_one_of_each_component_stays(spark):
 
 def test_empty(spark):
     assert S.near_duplicates(frame(spark, [])).count() == 0 and S.keep_one(frame(spark, [])).count() == 0
+
+
+def test_one_of_each_component_by_its_own_label(spark):
+    """Documents without id, and different texts under one id, keep a row for each component."""
+    rng = random.Random(12)
+    texts = [" ".join(words(rng, 60, 5000)) for _ in range(24)]
+    rows = [(None, t, "en", "s", 1) for t in texts[:20]] + [(None, texts[0], "en", "s", 1)]
+    rows += [(7, texts[20], "en", "s", 1), (None, texts[20], "en", "s", 1), (8, texts[20], "en", "s", 1)]
+    rows += [(3, texts[21], "en", "s", 1), (3, texts[22], "en", "s", 1), (3, texts[22], "en", "s", 1), (None, None, None, None, None)]
+    kept = S.keep_one(frame(spark, rows, extra=True))
+    want = [(None, t) for t in [*texts[:20], None]] + [(7, texts[20]), (3, texts[21]), (3, texts[22])]
+    assert pick(kept, "doc_id", "text") == sorted(want, key=str)

@@ -71,3 +71,29 @@ def slices(batch: pa.RecordBatch, column: int, limit: int = SLICE_BYTES) -> Iter
 def as_bytes(array: pa.Array) -> list[bytes]:
     """UTF-8 of a string array, null as empty."""
     return [x or b"" for x in array.cast(pa.large_binary() if pa.types.is_large_string(array.type) else pa.binary()).to_pylist()]
+
+
+def text_mark(text: Column) -> Column:
+    """128 bits that stand for a text; a null text has its own."""
+    return F.coalesce(F.unhex(F.md5(text)), F.unhex(F.lit("00")))
+
+
+def one_of_each(docs: DataFrame, labels: DataFrame, *, doc_id: str, text: str) -> DataFrame:
+    """One document per label of `labels` (doc_id, mark, c): the smallest id, null last, then the least mark; columns as given.
+
+    `mark` is the text's `text_mark`. Rows with equal id and text are one document; the first that Spark meets stays.
+    """
+    key, mark, rows = fresh(docs.columns, "key", "mark", "rows")
+    # Aggregated per document, then per label: no task sorts the documents without id or those of a large group.
+    counted = labels.groupBy("c", "doc_id", "mark").agg(F.count("*").alias("rows"))
+    place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "mark", "rows")
+    heads = counted.groupBy("c").agg(F.min(place).alias("head"))
+    heads = saved(heads.select(F.col("head.doc_id").alias(key), F.col("head.mark").alias(mark), F.col("head.rows").alias(rows)), "heads")
+    same = col(doc_id).eqNullSafe(col(key)) & (text_mark(col(text)) == col(mark))
+    kept = docs.join(heads.where(col(rows) == 1), same, "left_semi")
+    again = heads.where(col(rows) > 1)
+    if again.isEmpty():
+        return kept
+    first = F.first(F.struct(*map(col, docs.columns))).alias(rows)
+    more = docs.join(again.drop(rows), same).groupBy(col(key), col(mark)).agg(first)
+    return kept.unionByName(more.select(*[col(rows).getField(c).alias(c) for c in docs.columns]))

@@ -32,10 +32,10 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from weirstone.llm.common import as_bytes, col, fresh, saved, slices
+from weirstone.llm.common import as_bytes, col, fresh, one_of_each, saved, slices, text_mark
 
 SHINGLE = 3
 SEED = 42
@@ -198,30 +198,25 @@ def components(edges: DataFrame) -> DataFrame:
     return labels
 
 
+def labelled(slim: DataFrame, groups: int | None) -> DataFrame:
+    """(fp, first, c) for every fingerprint of `slim` (doc_id, fp): its smallest id, and a fingerprint common to its component."""
+    marks = saved(slim.groupBy("fp").agg(F.min("doc_id").alias("first")), "marks")
+    labels = components(links(marks, groups or groups_for(marks.count())))
+    return marks.join(labels, marks.fp == labels.v, "left").select("fp", "first", F.coalesce("c", "fp").alias("c"))
+
+
 def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", n: int = SHINGLE, groups: int | None = None) -> DataFrame:
     """(doc_id, fp, component_id) for every document."""
     slim = saved(fingerprints(docs, doc_id=doc_id, text=text, n=n), "fingerprints")
-    marks = saved(slim.groupBy("fp").agg(F.min("doc_id").alias("first")), "marks")
-    labels = components(links(marks, groups or groups_for(marks.count())))
-    named = marks.join(labels, marks.fp == labels.v, "left").select("fp", "first", F.coalesce("c", "fp").alias("c"))
+    named = labelled(slim, groups)
     least = named.groupBy("c").agg(F.min("first").alias("component_id"))
     return slim.join(named.join(least, "c").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
 
 
 def keep_one(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", n: int = SHINGLE) -> DataFrame:
-    """One document of each component: that with the component's id; columns as given.
-
-    Of repeated rows with that id one stays, the first by text; documents without id
-    stay only if their component has no id at all, one of them.
-    """
-    key, rows, place = fresh(docs.columns, "key", "rows", "place")
-    found = near_duplicates(docs, doc_id=doc_id, text=text, n=n).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    heads = saved(found.groupBy(F.col("doc_id").alias(key)).agg(F.count("*").alias(rows)), "heads")
-    same = col(doc_id).eqNullSafe(col(key))
-    kept = docs.join(heads.where(col(rows) == 1), same, "left_semi")
-    again = heads.where(col(rows) > 1)
-    if again.isEmpty():
-        return kept
-    least = Window.partitionBy(col(doc_id)).orderBy(F.xxhash64(col(text)), col(text))
-    more = docs.join(again, same, "left_semi").withColumn(place, F.row_number().over(least)).where(col(place) == 1).drop(place)
-    return kept.unionByName(more)
+    """One document of each component: that with the smallest id, null last, then the first by a hash of the text; columns as given."""
+    name, mark = fresh([doc_id, text], "name", "mark")
+    pairs = docs.select(F.struct(col(doc_id).alias("doc_id"), text_mark(col(text)).alias("mark")).alias(name), col(text).alias(mark))
+    slim = saved(fingerprints(pairs, doc_id=name, text=mark, n=n).select("doc_id.*", "fp"), "fingerprints")
+    found = slim.join(labelled(slim, None).select("fp", "c"), "fp")
+    return one_of_each(docs, found.select("doc_id", "mark", "c"), doc_id=doc_id, text=text)
