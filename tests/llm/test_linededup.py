@@ -67,3 +67,10 @@ def test_dedup_drops_what_is_mostly_repeated(spark):
 
 def test_empty(spark):
     assert L.report(frame(spark, [])).count() == 0 and L.dedup(frame(spark, [])).count() == 0
+
+
+def test_dedup_keeps_the_words_that_stand_nowhere_else(spark):
+    rng = random.Random(6)
+    shared, own = " ".join(words(rng, 60, 5000)), " ".join(words(rng, 15, 5000))
+    docs = [(1, shared, "en", "s", 1), (2, f"{own}\n{shared}", "en", "s", 1), (3, f"{shared}\none", "en", "s", 1), (4, f"{shared}\n\n {shared}", "en", "s", 1)]
+    assert pick(L.dedup(frame(spark, docs, extra=True)), "doc_id", "text") == [(1, shared), (2, own), (3, "one")]

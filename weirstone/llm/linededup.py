@@ -35,8 +35,6 @@ from pyspark.sql.types import IntegerType, LongType, StringType, StructField, St
 from weirstone.llm.common import as_bytes, col, fresh, mapped, slices
 
 MIN_WORDS = 50
-# A document goes if this share of its words, or more, was deleted.
-DROP_SHARE = 0.8
 
 
 def line_stats(text: bytes) -> tuple[list[bytes], np.ndarray]:
@@ -124,8 +122,8 @@ def deleted(n_lines: int, ranges: list[dict] | None) -> np.ndarray:
     return np.cumsum(mask)[:n_lines] > 0
 
 
-def dedup(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS, drop_share: float = DROP_SHARE) -> DataFrame:
-    """The documents without later repeated runs; one that loses `drop_share` of its words goes."""
+def dedup(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
+    """The documents without later repeated runs; one that loses all its words goes."""
     (name,) = fresh(docs.columns, "ranges")
     place, schema = docs.columns.index(text), docs.schema
 
@@ -141,7 +139,7 @@ def dedup(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", min_wo
                             lines = texts[i].split("\n")
                             gone = deleted(len(lines), own)
                             words = np.array([len(x.encode().split()) for x in lines])
-                            keep[i] = words[gone].sum() < drop_share * words.sum()
+                            keep[i] = words[~gone].any()
                             texts[i] = "\n".join(x for x, g in zip(lines, gone) if not g)
                     columns[place] = pa.array(texts, columns[place].type)
                 yield pa.RecordBatch.from_arrays(columns, names=part.schema.names[:-1]).filter(pa.array(keep))
