@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from weirstone.llm import decontaminate, linededup, mixing, neardup, quality
+from weirstone.llm import decontaminate, linededup, mixing, quality, simhash
 from weirstone.llm.common import fresh, saved
 from weirstone.session import prepare
 from weirstone.sources.files import table
@@ -28,8 +28,8 @@ def no_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def no_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group that is tied by Jaccard similarities of 0.8 or more over five-word shingles."""
-    return neardup.keep_one(docs)
+    """One document of each group that SimHash links: three-word shingles, three differing bits at most."""
+    return simhash.keep_one(docs)
 
 
 def no_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,7 +50,7 @@ STAGES = [
     ("mixing sources", mix),
 ]
 
-# The first stage fits a classifier and the third joins groups of similar texts: no SQL for them.
+# The first stage fits a classifier and the third links fingerprints into groups: no SQL for them.
 ORACLE_SQL = None
 
 
