@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from samples import corpus, frame, pick
 from weirstone.llm import mixing as M
@@ -69,6 +70,16 @@ def test_mixed_rows(spark):
     assert {(k[0], k[2]): n for k, n in counted.items()} == {k: sum(v) for k, v in want.items() if sum(v)}
 
 
+def test_columns_that_clash(spark):
+    df = frame(spark, corpus(), extra=True)
+    for name in ("key_", "copy", "Own", "from", "times", "id"):
+        df = df.withColumn(name, F.lit(5))
+    out = M.mixed(df)
+    assert out.columns == [*df.columns, "copy_"]
+    assert pick(out, "doc_id", "text", "copy_") == pick(M.mixed(frame(spark, corpus())), "doc_id", "text", "copy")
+    assert {r["copy"] for r in out.select("copy").collect()} == {5}
+
+
 def test_empty(spark):
     assert M.plan(frame(spark, [])).count() == 0 and M.mixed(frame(spark, [])).count() == 0
     none = frame(spark, [(1, None, None, None, None), (2, "", "en", "a", 0)])

@@ -129,28 +129,28 @@ def plan(
 
 def mixed(
     docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", source: str = "source", quality: Column | None = None,
-    share: float = SHARE, most: int = MOST, weights: tuple[int, ...] = WEIGHTS, cell_rows: int = CELL_ROWS,
+    share: float = SHARE, most: int = MOST, weights: tuple[int, ...] = WEIGHTS, cell_rows: int = CELL_ROWS, copy: str = "copy",
 ) -> DataFrame:
-    """The documents as often as the mix takes them, and a column for which copy a row is (`copy`, from 1).
+    """The documents as often as the mix takes them, and a column for which copy a row is (from 1).
 
+    That column is `copy`, with underscores appended where the documents have one of that name.
     Rows that agree in id, source, size and key have the same text up to a hash; they are
     counted together, and their copies spread over them.
     """
-    names = fresh([*docs.columns, "copy"], "id", "from", "mark", "times", "place", "rows")
-    id_, from_, mark, times, place, rows = names
+    copy, id_, from_, mark, own, times, place, rows = fresh(docs.columns, copy, "id", "from", "mark", "own", "times", "place", "rows")
     q = text_quality(col(text)) if quality is None else F.when(quality > 0, quality.cast("double")).otherwise(F.lit(LEAST_QUALITY))
     keyed = docs.withColumn(mark, -F.log(uniform(col(doc_id), col(text))) / q)
     chosen = plan(docs, doc_id=doc_id, text=text, source=source, quality=quality, share=share, most=most, weights=weights, cell_rows=cell_rows)
     taken = (
         chosen.groupBy("doc_id", "source", "key").agg(F.sum("copies").alias(times), F.count("*").alias(rows)).where(col(times) > 0)
-        .select(F.col("doc_id").alias(id_), F.col("source").alias(from_), F.col("key").alias("key_"), times, rows)
+        .select(F.col("doc_id").alias(id_), F.col("source").alias(from_), F.col("key").alias(own), times, rows)
     )
-    same = col(doc_id).eqNullSafe(col(id_)) & col(source).eqNullSafe(col(from_)) & (col(mark) == F.col("key_"))
+    same = col(doc_id).eqNullSafe(col(id_)) & col(source).eqNullSafe(col(from_)) & (col(mark) == col(own))
     found = keyed.join(taken, same)
-    order = Window.partitionBy(col(id_), col(from_), col("key_")).orderBy(F.lit(0))
+    order = Window.partitionBy(col(id_), col(from_), col(own)).orderBy(F.lit(0))
     once = found.where(col(rows) == 1).withColumn(place, F.lit(0).cast("long"))
     more = found.where(col(rows) > 1).withColumn(place, (F.row_number().over(order) - 1).cast("long"))
     # Of k copies over r equal rows each row gets k / r, the first k % r one more.
     each = F.floor((col(times) + col(rows) - 1 - col(place)) / col(rows))
-    copies = F.explode(F.when(each > 0, F.sequence(F.lit(1), each)).otherwise(F.array().cast("array<bigint>"))).alias("copy")
+    copies = F.explode(F.when(each > 0, F.sequence(F.lit(1), each)).otherwise(F.array().cast("array<bigint>"))).alias(copy)
     return once.unionByName(more).select(*map(col, docs.columns), copies)
