@@ -109,7 +109,7 @@ def test_dense_longs_over_many_stretches(spark, monkeypatch):
 
 
 STREAMS = ["stream_hop", "stream_interval_join", "stream_distinct", "stream_changelog", "stream_count_slide", "stream_vc_jump", "stream_first_seen",
-           "stream_switch", "stream_daily_limit", "watermark_bounded", "wordcount_stream", "upsert_agg_docs", "sink_foreach", "stream_order_timeout", "stream_session"]
+           "stream_switch", "stream_daily_limit", "watermark_bounded", "wordcount_stream", "upsert_agg_docs", "sink_foreach", "stream_order_timeout", "stream_session", "stream_late_firings"]
 
 
 @pytest.fixture(scope="module")

@@ -38,15 +38,18 @@ def classify_lateness(
     delay: str,
     lateness: str = "0 seconds",
     blocks: Blocks | None = DEFAULT_BLOCKS,
+    seen_before: int | None = None,
 ) -> DataFrame:
     """Add `_wm` (microseconds) and `lateness`: on_time, late (refires) or too_late.
 
     The last window that covers the row decides, so a row of a sliding window is
-    too late only when all its windows are closed for good.
+    too late only when all its windows are closed for good. `seen_before` is the largest
+    event time (microseconds) of rows that came before the table's.
     """
     size_us, slide_us = micros_of(size), micros_of(slide or size)
     seen = running(df, keys=[], order=order, folds={"_seen": running_max_before(epoch_micros(ts))}, blocks=blocks)
-    wm = F.col("_seen") - micros_of(delay)
+    known = F.col("_seen") if seen_before is None else F.greatest("_seen", F.lit(seen_before))
+    wm = known - micros_of(delay)
     end = floor_to(epoch_micros(ts), slide_us) + size_us
     status = (
         F.when(wm.isNull() | (end > wm), "on_time")

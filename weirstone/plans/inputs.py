@@ -5,7 +5,7 @@ Each view has a DataFrame and an SQL form (a CTE body) with the same columns.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from weirstone.sources.files import table
 from weirstone.streaming.feed import Feed
@@ -42,6 +42,10 @@ def sensor_stream(spark: SparkSession, folder: str) -> tuple[DataFrame, Feed]:
 JITTER = "jitter AS (SELECT event_id + 40 * (event_id % 5) AS seq, event_type AS id, user_id, ts, CAST(round(value * 100) AS BIGINT) AS vc FROM events)"
 
 
+def jittered_id() -> Column:
+    return F.col("event_id") + 40 * (F.col("event_id") % 5)
+
+
 def jittered(spark: SparkSession, folder: str) -> DataFrame:
     return sensor(spark, folder).withColumn("seq", F.col("seq") + 40 * (F.col("seq") % 5))
 

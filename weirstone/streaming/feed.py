@@ -2,14 +2,17 @@
 
 A stream over a table's files takes them in the order of their names or times, which
 says nothing about when the rows arrived: with a watermark, rows of a file that comes
-late are dropped. Here the arrival column is cut into slices of about `slice_rows` rows
-(quantiles, one statistics pass), each micro-batch is one slice, and the outcome is the
-same however the table is laid out. Slices are written to the shared folder one at a time,
-as the stream reaches them. A table of one slice is read where it lies.
+late are dropped. Here the rows are dealt into slices of about `slice_rows` rows by ranges of
+the arrival column, each micro-batch is one slice, and the outcome is the same however the
+table is laid out. One range shuffle writes all slices to the shared folder, a folder each, so
+the table is not read again however many slices it has; `advance` brings the next one into the
+folder that the stream watches. A table of one slice is read where it lies.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from weirstone.session import scratch
@@ -17,55 +20,66 @@ from weirstone.sources.files import table, table_stream
 
 # Rows of a micro-batch: one task may get them all, if they have one key.
 SLICE_ROWS = 1 << 20
+# Slice numbers that the driver takes from the manifest at a time.
+LISTED = 1000
 
 
 class Feed:
     """`stream` is the table as a stream; `advance` makes its next slice readable, False after the last.
 
-    With `end`, a time column, one more slice follows: a row long after all others, with
-    `marks` in its other columns. It moves the watermark on, so that the last windows and
-    timers fire; the query tells it by its marks.
+    `shape` adds columns to the table before it is cut. With `end`, a time column, one more
+    slice follows: a row long after all others, with `marks` in its other columns. It moves the
+    watermark on, so that the last windows and timers fire; the query tells it by its marks.
     """
 
     def __init__(
         self, spark: SparkSession, folder: str, name: str, order: str, slice_rows: int | None = None, end: str | None = None,
-        marks: dict | None = None,
+        marks: dict | None = None, shape: Callable[[DataFrame], DataFrame] | None = None,
     ) -> None:
-        self.rows, self.order, self.done = table(spark, folder, name), order, 0
-        self.last = None
+        shape = shape or (lambda df: df)
+        self.spark, self.order, self.done = spark, order, 0
+        rows = shape(table(spark, folder, name))
+        self.schema, self.last = rows.schema, None
         if end is not None:
-            values = {**dict.fromkeys(self.rows.columns, F.lit(None)), **{k: F.lit(v) for k, v in (marks or {}).items()}}
+            values = {**dict.fromkeys(rows.columns, F.lit(None)), **{k: F.lit(v) for k, v in (marks or {}).items()}}
             values[end] = F.coalesce(F.max(end), F.lit("2000-01-01").cast("timestamp_ntz")) + F.expr("INTERVAL 4000 DAYS")
-            kinds = {f.name: f.dataType for f in self.rows.schema}
-            self.last = self.rows.agg(values[end].alias(end)).select(*[(F.col(c) if c == end else values[c]).cast(kinds[c]).alias(c) for c in self.rows.columns])
-        n = self.rows.count()
-        count = max(1, -(-n // (slice_rows or SLICE_ROWS)))
-        self.path = scratch(spark, "feed") if count > 1 or end is not None else None
-        if self.path is None:
-            self.bounds: list = [None]
-            self.stream = table_stream(spark, folder, name)
+            kinds = {f.name: f.dataType for f in rows.schema}
+            self.last = rows.agg(values[end].alias(end)).select(*[(F.col(c) if c == end else values[c]).cast(kinds[c]).alias(c) for c in rows.columns])
+        count = max(1, -(-table(spark, folder, name).count() // (slice_rows or SLICE_ROWS)))
+        if count == 1 and end is None:
+            self.path, self.slices = None, iter([None])
+            self.stream = shape(table_stream(spark, folder, name))
+            return
+        self.path = scratch(spark, "feed")
+        self.stream = spark.readStream.schema(self.schema).parquet(f"{self.path}/shown/slice-*")
+        if count == 1:
+            rows.write.parquet(f"{self.path}/cut/_slice=0")
+            self.slices = iter([0])
         else:
-            shares = [i / count for i in range(1, count)]
-            inner = self.rows.agg(F.percentile_approx(order, shares, 10_000)).first()[0] if shares else None
-            self.bounds = [*sorted(set(inner or [])), None]
-            self.stream = spark.readStream.schema(self.rows.schema).parquet(f"{self.path}/slice-*")
+            dealt = rows.repartitionByRange(count, order).withColumn("_slice", F.spark_partition_id())
+            dealt.write.partitionBy("_slice").parquet(f"{self.path}/cut")
+            self.slices = self._listed()
+
+    def _listed(self) -> Iterator[int]:
+        """Numbers of the slices that hold rows, in order, some at a time."""
+        manifest = f"{self.path}/manifest"
+        self.spark.read.parquet(f"{self.path}/cut").select("_slice").distinct().write.parquet(manifest)
+        numbers, last = self.spark.read.schema("_slice int").parquet(manifest), -1
+        while some := [r[0] for r in numbers.where(F.col("_slice") > last).orderBy("_slice").limit(LISTED).collect()]:
+            yield from some
+            last = some[-1]
 
-    def slice(self, low, high) -> DataFrame:
-        """Rows after `low` up to `high`; without order value first of all."""
-        x, found = F.col(self.order), F.lit(True)
-        if low is not None:
-            found = found & (x > low)
-        if high is not None:
-            found = found & ((x <= high) | (x.isNull() if low is None else F.lit(False)))
-        return self.rows.where(found)
+    def _show(self, rows: DataFrame) -> None:
+        rows.write.mode("overwrite").parquet(f"{self.path}/shown/slice-{self.done:09d}")
 
     def advance(self) -> bool:
-        if self.done == len(self.bounds) + (self.last is not None):
-            return False
-        if self.done == len(self.bounds):
-            self.last.write.mode("overwrite").parquet(f"{self.path}/slice-{self.done:09d}")
-        elif self.path is not None:
-            low = self.bounds[self.done - 1] if self.done else None
-            self.slice(low, self.bounds[self.done]).write.mode("overwrite").parquet(f"{self.path}/slice-{self.done:09d}")
+        number = next(self.slices, -1)
+        if number is not None and number >= 0:
+            self._show(self.spark.read.schema(self.schema).parquet(f"{self.path}/cut/_slice={number}"))
+        elif number == -1:
+            if self.last is None:
+                return False
+            self._show(self.last)
+            self.last = None
         self.done += 1
         return True
