@@ -1,0 +1,155 @@
+"""The left join's changelog against two plain lists, and visitors by bitmaps and sketches."""
+
+import random
+from collections import Counter
+from datetime import timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from data import START, us
+from weirstone.functions.hashing import bitmap_offset
+from weirstone.operators.joins import left_join_changelog
+from weirstone.plans import page_views
+from weirstone.streaming.joins import LeftJoinLog
+from weirstone.streaming.runner import RowsDropped
+
+NAMES = {"keys": ["k"], "left_id": "a", "right_id": "b", "left_ts": "at", "right_ts": "bt", "keep": "10 minutes"}
+KEEP = 600_000_000
+
+
+def arrivals(n=400, seed=4, disorder=0):
+    """(seq, side, key, ts): half of them of one key, now and then a null key."""
+    rng, rows, at = random.Random(seed), [], START
+    for seq in range(n):
+        at += timedelta(seconds=rng.choice([1, 20, 90, 400]))
+        key = None if rng.random() < 0.03 else "hot" if rng.random() < 0.5 else f"k{rng.randrange(9)}"
+        rows.append((seq, rng.choice(["left", "right", "right"]), key, at - timedelta(seconds=rng.randrange(disorder + 1) if disorder else 0)))
+    return rows
+
+
+def model(rows):
+    lefts, rights, out = [], [], []
+    for seq, side, key, ts in rows:
+        if side == "left":
+            met = [r for r in rights if key is not None and r[1] == key and abs(us(r[2]) - us(ts)) <= KEEP]
+            out += [(key, seq, True, seq, r[0]) for r in met] or [(key, seq, True, seq, None)]
+            lefts.append([seq, key, ts, not met])
+        else:
+            for left in lefts:
+                if key is not None and left[1] == key and abs(us(left[2]) - us(ts)) <= KEEP:
+                    if left[3]:
+                        out.append((key, seq, False, left[0], None))
+                        left[3] = False
+                    out.append((key, seq, True, left[0], seq))
+            rights.append((seq, key, ts))
+    return Counter(out)
+
+
+def split(df):
+    left = df.where("side = 'left'").select("k", F.col("seq").alias("a"), F.col("ts").alias("at"))
+    return left, df.where("side = 'right'").select("k", F.col("seq").alias("b"), F.col("ts").alias("bt"))
+
+
+def frame(spark, rows):
+    return spark.createDataFrame(rows, "seq long, side string, k string, ts timestamp")
+
+
+@pytest.mark.parametrize("disorder", [0, 900])
+def test_bounded(spark, disorder):
+    rows = arrivals(disorder=disorder)
+    got = left_join_changelog(*split(frame(spark, rows).repartition(3)), **NAMES)
+    want = model(rows)
+    assert Counter(tuple(r) for r in got.collect()) == want
+    assert sum(1 for r in want if not r[2]) > 10 and any(r[4] is None and r[2] for r in want)
+
+
+@pytest.mark.parametrize("cuts", [[], [100, 101, 250], list(range(25, 400, 25))])
+def test_stream(spark, cuts):
+    rows, out = arrivals(disorder=120), {}
+
+    def write(df, i):
+        out[i] = [tuple(r) for r in df.collect()]
+
+    job = LeftJoinLog(spark, split, frame(spark, rows[:1]), delay="5 minutes", write=write, **NAMES)
+    for i, (a, b) in enumerate(zip([0, *cuts], [*cuts, len(rows)])):
+        for _ in range(2):  # again, as after a failure
+            job(frame(spark, rows[a:b]), i)
+    assert Counter(r for part in out.values() for r in part) == model(rows)
+    # Kept is what lies within the retention.
+    least = max(us(r[3]) for r in rows) - KEEP - 300_000_000
+    last = len(cuts) + 1
+    kept = [us(r["at"]) for r in job.lefts.before(spark, last).collect()] + [us(r["bt"]) for r in job.rights.before(spark, last).collect()]
+    assert kept and min(kept) >= least and len(kept) < len(rows) / 4
+
+
+def test_rows_too_old_are_an_error(spark):
+    rows = arrivals(60)
+    job = LeftJoinLog(spark, split, frame(spark, rows[:1]), delay="1 second", write=lambda df, i: df.count(), **NAMES)
+    job(frame(spark, rows[30:]), 0)
+    with pytest.raises(RowsDropped):
+        job(frame(spark, rows[:30]), 1)
+
+
+def test_no_rows(spark):
+    assert left_join_changelog(*split(frame(spark, [])), **NAMES).count() == 0
+
+
+def views(spark, n, users):
+    rng = random.Random(n)
+    rows = [(START + timedelta(seconds=rng.randrange(3 * 86_400)), rng.randrange(users)) for _ in range(n)]
+    return rows + [(START, None)], spark.createDataFrame([*rows, (START, None)], "ts timestamp, user long")
+
+
+def offset(user):
+    acc = 0
+    for c in str(user):
+        acc = (acc * 32 + ord(c)) & ((1 << 30) - 1)
+    return acc
+
+
+def by_time(rows, width, value):
+    held = {}
+    for ts, user in rows:
+        if user is not None:
+            end = us(ts) - us(ts) % width + width
+            held.setdefault(end, set()).add(value(user))
+    return {k: len(v) for k, v in held.items()}
+
+
+def told(df):
+    return {us(r["window_end"]): r["uv"] for r in df.collect()}
+
+
+def test_bitmaps_of_hours_and_days(spark, folder):
+    rows, df = views(spark, 4000, 600)
+    hours = page_views.hourly_bitmaps(df, "user").cache()
+    assert told(page_views.counted_bitmaps(hours)) == by_time(rows, 3_600_000_000, offset)
+    assert told(page_views.counted_bitmaps(page_views.united_bitmaps(hours, "day"), "1 day")) == by_time(rows, 86_400_000_000, offset)
+    # A piece is as large as it is however many users it holds.
+    assert {r[0] for r in hours.select(F.length("bits")).distinct().collect()} == {4096}
+    log = page_views.VisitorLog(f"{folder}/log", "user")
+    for i, part in enumerate(df.randomSplit([1.0] * 4, 3)):
+        log.write(part, i)
+        log.write(part, i)
+    assert told(page_views.counted_bitmaps(log.read(spark))) == by_time(rows, 3_600_000_000, offset)
+
+
+def test_colliding_users_share_a_bit(spark):
+    # 32 * 'a' + 'a' and 32 * 'b' + 'A' have the same code.
+    df = spark.createDataFrame([(START, "aa"), (START, "bA"), (START, "zz")], "ts timestamp, user string")
+    assert [r[0] for r in df.select(bitmap_offset(F.col("user"))).distinct().collect()] != [] and set(told(page_views.uv_hourly_bitmap(df, "user")).values()) == {2}
+
+
+def test_sketches_keep_their_bound(spark):
+    df = spark.range(300_000).select((F.lit(START) + F.expr("make_interval(0, 0, 0, 0, id % 48)")).alias("ts"), (F.col("id") * 7919 % 200_000).alias("user"))
+    hours = page_views.hourly_sketches(df, "user").cache()
+    exact = {us(r["window_end"]): r["uv"] for r in page_views.uv_hourly(df, "user").collect()}
+    error = 0.83 / 2**6
+    for end, uv in told(page_views.counted_sketches(hours)).items():
+        assert abs(uv - exact[end]) <= 4 * error * exact[end] and exact[end] > 1000
+    days = told(page_views.counted_sketches(page_views.united_sketches(hours, "day"), "1 day"))
+    whole = {us(r["d"]): r["n"] for r in df.groupBy((F.date_trunc("day", "ts") + F.expr("INTERVAL 1 DAY")).alias("d")).agg(F.count_distinct("user").alias("n")).collect()}
+    assert set(days) == set(whole) and all(abs(days[d] - whole[d]) <= 4 * error * whole[d] for d in days)
+    few = df.where("user < 40")
+    assert told(page_views.counted_sketches(page_views.hourly_sketches(few, "user"))) == told(page_views.uv_hourly(few, "user"))

@@ -133,3 +133,37 @@ def control_switch(
     both = tagged.withColumn("_data", F.lit(True)).unionByName(marks.withColumn("_data", F.lit(False)))
     out = running(both, keys=[], order=[seq], folds={name: last_known(F.col("_ctl"))}, blocks=blocks)
     return out.where("_data").drop("_data", "_ctl")
+
+
+def changelog_rows(keys: Sequence[str], pairs: DataFrame, padded: DataFrame, left_id: str, right_id: str) -> DataFrame:
+    """Changelog (keys, step, added, left id, right id) of pairs and of padded left rows with their `_first` partner."""
+    none = F.lit(None).cast(pairs.schema[right_id].dataType).alias(right_id)
+    made = pairs.select(*keys, F.greatest(left_id, right_id).alias("step"), F.lit(True).alias("added"), left_id, right_id)
+    alone = padded.where("_own").select(*keys, F.col(left_id).alias("step"), F.lit(True).alias("added"), left_id, none)
+    back = padded.where(F.col("_first").isNotNull()).select(*keys, F.col("_first").alias("step"), F.lit(False).alias("added"), left_id, none)
+    return made.unionByName(alone).unionByName(back)
+
+
+def first_partners(left: DataFrame, pairs: DataFrame, left_id: str, right_id: str) -> DataFrame:
+    """`left` with `_first`, the partner of a row that came first, null without one."""
+    firsts = pairs.groupBy(F.col(left_id).alias("_left")).agg(F.min(right_id).alias("_first"))
+    return left.join(firsts, F.col(left_id) == F.col("_left"), "left").drop("_left")
+
+
+def left_join_changelog(
+    left: DataFrame, right: DataFrame, *, keys: Sequence[str], left_id: str, right_id: str, left_ts: str, right_ts: str, keep: str
+) -> DataFrame:
+    """Left join as a changelog: (keys, step, added, left id, right id), a null right id being the padded row.
+
+    The ids are arrival numbers, unique over both inputs; `step` is the arrival that puts a
+    row out. A left row that finds no partner is put out padded, and retracted (`added`
+    False) when the first one arrives. A row is kept for `keep` of event time: two rows
+    farther apart never meet, in whichever order they come. The pairs come from
+    `interval_join`, so a hot key is spread over its time; first partners are minima.
+    """
+    keys = list(keys)
+    own = left.select(*keys, left_id, left_ts)
+    pairs = interval_join(own, right.select(*keys, right_id, right_ts), keys=keys, left_ts=left_ts, right_ts=right_ts, lower=f"-{keep}", upper=keep)
+    found = first_partners(own, pairs, left_id, right_id)
+    padded = found.where(F.col("_first").isNull() | (F.col("_first") > F.col(left_id))).withColumn("_own", F.lit(True))
+    return changelog_rows(keys, pairs, padded, left_id, right_id)

@@ -106,6 +106,22 @@ def sql_left_join(spark, folder):
     )
 
 
+KEEP = 12 * HOUR
+LEFT_JOIN_SQL = f"""WITH {PAYS}, pairs AS (SELECT p.tx, pay_id, receipt_id FROM pays p JOIN receipts r ON p.tx = r.tx
+      AND abs(epoch_us(receipt_ts) - epoch_us(pay_ts)) <= {KEEP}),
+    firsts AS (SELECT pay_id, min(receipt_id) AS first FROM pairs GROUP BY pay_id)
+    SELECT tx, greatest(pay_id, receipt_id) AS step, true AS added, pay_id, receipt_id FROM pairs
+    UNION ALL SELECT tx, pay_id, true, pay_id, NULL FROM pays LEFT JOIN firsts USING (pay_id) WHERE first IS NULL OR first > pay_id
+    UNION ALL SELECT tx, first, false, pay_id, NULL FROM pays JOIN firsts USING (pay_id) WHERE first > pay_id"""
+LEFT_JOIN = {"keys": ["tx"], "left_id": "pay_id", "right_id": "receipt_id", "left_ts": "pay_ts", "right_ts": "receipt_ts", "keep": "12 hours"}
+
+
+@query("left_join_changelog", LEFT_JOIN_SQL)
+def left_join_changelog(spark, folder):
+    events = table(spark, folder, "events")
+    return J.left_join_changelog(pays(events), receipts(events), **LEFT_JOIN)
+
+
 SWITCH_SQL = f"""WITH {SENSOR}, both_rows AS (
       SELECT seq, id, true AS is_data, NULL AS ctl FROM sensor WHERE id <> 'signup'
       UNION ALL SELECT seq, NULL, false, CAST(user_id % 3 AS VARCHAR) FROM sensor WHERE id = 'signup'),

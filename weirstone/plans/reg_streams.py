@@ -8,7 +8,7 @@ from weirstone.functions.timecols import epoch_micros
 from weirstone.operators.joins import control_switch, interval_join
 from weirstone.plans.inputs import HOUR, PAYS, SENSOR, pays, receipts, sensor_stream
 from weirstone.plans.reg_grouped import CHANGELOG_SQL
-from weirstone.plans.reg_joins import SWITCH_SQL, outcome
+from weirstone.plans.reg_joins import LEFT_JOIN, LEFT_JOIN_SQL, SWITCH_SQL, outcome
 from weirstone.plans.reg_windows import hop_sql
 from weirstone.plans.registry import query
 from weirstone.operators.rolling import changelog_count
@@ -22,7 +22,9 @@ from weirstone.streaming.processors import (
     stateful,
 )
 from weirstone.streaming.feed import Feed
+from weirstone.streaming.joins import LeftJoinLog
 from weirstone.streaming.runner import appended_rows, drain, latest_rows
+from weirstone.streaming.state import Versions
 
 _NTZ = "timestamp_ntz"
 
@@ -61,6 +63,21 @@ def stream_interval_join(spark, folder):
     return appended_rows(joined.select("tx", "pay_id", "receipt_id"), feed=feed)
 
 
+@query("stream_left_join", LEFT_JOIN_SQL)
+def stream_left_join(spark, folder):
+    """The changelog of the left join, each micro-batch against the rows that are still kept."""
+    feed = Feed(spark, folder, "events", "event_id")
+    events = feed.stream.withColumn("ts", F.col("ts").cast("timestamp"))
+    target = scratch(spark, "rows")
+
+    def write(out, batch_id):
+        out.write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
+
+    job = LeftJoinLog(spark, lambda rows: (pays(rows), receipts(rows)), events, delay="10 seconds", write=write, **LEFT_JOIN)
+    drain(events, job, mode="append", feed=feed)
+    return spark.read.schema("tx long, step long, added boolean, pay_id long, receipt_id long").parquet(f"{target}/batch_id=*")
+
+
 @query("stream_distinct", f"WITH {SENSOR} SELECT DISTINCT id, vc FROM sensor")
 def stream_distinct(spark, folder):
     rows, feed = sensor_stream(spark, folder)
@@ -71,15 +88,14 @@ def stream_distinct(spark, folder):
 def stream_changelog(spark, folder):
     """The bounded form on each micro-batch, on top of the counts of those before."""
     rows, feed = sensor_stream(spark, folder)
-    target, state = scratch(spark, "rows"), scratch(spark, "counts")
-    spark.createDataFrame([], "id string, n long").write.parquet(f"{state}/batch_id=-1")
+    target, state = scratch(spark, "rows"), Versions(spark, "id string, n long")
 
     def step(batch, batch_id):
-        known = spark.read.schema("id string, n long, batch_id int").option("basePath", state).parquet(f"{state}/batch_id=*")
-        counted = known.where(F.col("batch_id") < batch_id).groupBy("id").agg(F.sum("n").alias("n"))
+        counted = state.before(spark, batch_id)
         out = changelog_count(batch.select("id", "seq"), keys=["id"], order=["seq"], counted=counted)
         out.write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
-        batch.groupBy("id").agg(F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(f"{state}/batch_id={batch_id}")
+        fresh = batch.groupBy("id").agg(F.count(F.lit(1)).alias("n"))
+        state.write(counted.union(fresh).groupBy("id").agg(F.sum("n").alias("n")), batch_id)
 
     drain(rows, step, mode="append", feed=feed)
     return spark.read.schema("id string, step long, added boolean, ct long").parquet(f"{target}/batch_id=*")
@@ -126,17 +142,14 @@ def stream_first_seen(spark, folder):
 def stream_switch(spark, folder):
     """The as-of form on each micro-batch, which begins with the last control value of those before."""
     rows, feed = sensor_stream(spark, folder)
-    target, state = scratch(spark, "rows"), scratch(spark, "control")
-    kept = "seq long, ctl string"
-    spark.createDataFrame([], kept).write.parquet(f"{state}/batch_id=-1")
+    target, state = scratch(spark, "rows"), Versions(spark, "seq long, ctl string")
 
     def step(batch, batch_id):
-        known = spark.read.schema(f"{kept}, batch_id int").option("basePath", state).parquet(f"{state}/batch_id=*")
-        last = known.where(F.col("batch_id") < batch_id).drop("batch_id").orderBy(F.desc("seq")).limit(1)
-        control = batch.where("id = 'signup'").select("seq", (F.col("user_id") % 3).cast("string").alias("ctl")).union(last)
+        fresh = batch.where("id = 'signup'").select("seq", (F.col("user_id") % 3).cast("string").alias("ctl"))
+        control = fresh.union(state.before(spark, batch_id))
         out = control_switch(batch.where("id <> 'signup'").select("seq", "id"), control, seq="seq", value="ctl", name="ctl")
         out.write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
-        control.orderBy(F.desc("seq")).limit(1).write.mode("overwrite").parquet(f"{state}/batch_id={batch_id}")
+        state.write(control.orderBy(F.desc("seq")).limit(1), batch_id)
 
     drain(rows, step, mode="append", feed=feed)
     switched = spark.read.schema("seq long, id string, ctl string").parquet(f"{target}/batch_id=*")
