@@ -3,9 +3,10 @@
 import pytest
 from pyspark.sql import functions as F
 
-from data import by_key, frame, skewed, tuples
+from data import by_key, frame, skewed, tuples, us
 from weirstone.functions import timecols as T, udfs
 from weirstone.functions.hashing import bitmap_offset
+from weirstone.operators.running import Blocks
 from weirstone.operators.rows import map_with_lifecycle, rebalance, replicate, words
 from weirstone.plans.ads import judge_clicks
 from weirstone.plans.hot_lists import parse_access_line
@@ -116,3 +117,65 @@ def test_blacklist(spark):
         want.append((r[0], "pass" if n < 5 else "alert" if n == 5 else "drop"))
     assert tuples(got, "seq", "verdict") == sorted(want, key=str)
     assert len(by_key(ROWS)["hot"]) > 100
+
+
+PRIME = 10_007
+
+
+def user():
+    """Functions made here are sent to workers whole."""
+    prime = PRIME
+
+    def lift(vc):
+        return (int(vc) % prime + 1, 1)
+
+    def merge(a, b):
+        return (int(a[0]) * int(b[0]) % prime, int(a[1]) + int(b[1]))
+
+    def fold(rows):
+        acc = (1, 0)
+        for v in rows["vc"].tolist():
+            acc = merge(acc, lift(v))
+        return acc
+
+    return lift, fold, {"columns": ["vc"], "state": "product long, n long", "merge": merge, "name": "product", "result": F.col("product")}
+
+
+def product(values):
+    acc = 1
+    for v in values:
+        acc = acc * (v % PRIME + 1) % PRIME
+    return acc
+
+
+@pytest.mark.parametrize("size, slide", [(600, None), (600, 120), (90, 60)])
+def test_user_aggregate_in_windows(spark, monkeypatch, size, slide):
+    monkeypatch.setattr(udfs, "TASK_GROUPS", 20)
+    held = {}
+    for _, key, ts, vc in ROWS:
+        step = (slide or size) * 10**6
+        start = us(ts) // step * step
+        while start > us(ts) - size * 10**6:
+            held.setdefault((key, start), []).append(vc)
+            start -= step
+    _, fold, rest = user()
+    got = udfs.aggregate_windows(
+        frame(spark, ROWS).repartition(5), keys=["id"], ts="ts", size=f"{size} seconds", slide=slide and f"{slide} seconds", accumulate=fold, **rest
+    )
+    assert {(r["id"], us(r["window_start"])): r["product"] for r in got.collect()} == {k: product(v) for k, v in held.items()}
+
+
+@pytest.mark.parametrize("rows", [1 << 20, 20])
+@pytest.mark.parametrize("keys", [["id"], []])
+def test_running_user_aggregate(spark, rows, keys):
+    """Also where hot keys are cut into blocks, and a key is null."""
+    data = [(s, None if k == "k3" else k, t, v) for s, k, t, v in ROWS]
+    seen, want = {}, {}
+    for seq, key, _, vc in data:
+        own = key if keys else ""
+        seen[own] = seen.get(own, 1) * (vc % PRIME + 1) % PRIME
+        want[seq] = seen[own]
+    lift, _, rest = user()
+    got = udfs.running_aggregate(frame(spark, data).repartition(6), keys=keys, order=["seq"], lift=lift, blocks=Blocks(rows=rows), **rest)
+    assert got.columns == ["seq", "id", "ts", "vc", "product"]
+    assert {r["seq"]: r["product"] for r in got.collect()} == want

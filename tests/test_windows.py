@@ -115,3 +115,26 @@ def test_early_results(spark):
         seen[hour] += 1
         want.append((r[0], hour, seen[hour]))
     assert tuples(got, "seq", "window_start", "n") == sorted(want, key=str)
+
+
+@pytest.mark.parametrize("make", [count_rows, lambda: max_of("vc"), lambda: sum_of(F.col("vc") / 7)])
+def test_panes_are_put_out_after_the_last_shuffle(spark, make):
+    """Whatever the measure, nothing is copied per pane before an exchange: shuffled rows do not grow with size / slide."""
+    hop = dense_hop(frame(spark, ROWS), keys=["id"], ts="ts", size="1 hour", slide="5 seconds", measures={"n": make()})
+    plan = hop._jdf.queryExecution().executedPlan().toString()
+    assert "sequence" in plan and plan.rindex("sequence") < plan.index("Exchange") and plan.count("Exchange") == 2
+
+
+@pytest.mark.parametrize("size, slide", [(90, 35), (60, 60), (45, 30)])
+def test_panes_of_any_ratio(spark, size, slide):
+    want = panes(ROWS, size * 10**6, slide * 10**6)
+    got = dense_hop(frame(spark, ROWS), keys=["id"], ts="ts", size=f"{size} seconds", slide=f"{slide} seconds",
+                    measures={"n": count_rows(), "hi": max_of("vc"), "mean": sum_of(F.col("vc") / 7)})
+    rows = {(r["id"], us(r["window_start"])): (r["n"], r["hi"], r["mean"]) for r in got.collect()}
+    assert rows.keys() == want.keys()
+    for k, v in want.items():
+        assert rows[k][:2] == (len(v), max(v)) and rows[k][2] == pytest.approx(sum(v) / 7, rel=1e-12)
+
+
+def test_panes_without_rows(spark):
+    assert dense_hop(frame(spark, []), keys=["id"], ts="ts", size="1 hour", slide="1 minute", measures={"n": count_rows()}).count() == 0

@@ -26,7 +26,7 @@ from weirstone.operators.running import (
 )
 
 
-# Slides in a stretch of the running sum of `dense_hop`.
+# Slides in a stretch of the running sum of `_restricted_hop`.
 TIME_STEPS = 1 << 14
 
 
@@ -103,25 +103,95 @@ def dense_hop(
 ) -> DataFrame:
     """Sliding windows with many panes per row (1 h every 5 s is 720).
 
-    Rows are never copied per pane. They are first reduced to one row per key and
-    span of panes; for counts and exact sums each span then enters at its first pane
-    and leaves after its last, a running sum over those change points gives the value,
-    and it holds until the next change point. Cost: spans plus the windows put out.
-    The running sum is made per key and stretch of TIME_STEPS slides, with what came
-    before carried over, so a few keys over a long time use many tasks.
+    Rows are never copied per pane. They are first reduced to slices of the time unit
+    that size and slide have in common. Time is cut into blocks of one window length: a
+    pane begins in one block and ends in the next, so its value is that of the slices from
+    its start to the end of the first (a suffix) merged with those of the second up to its
+    end (a prefix). Suffixes and prefixes are running aggregates within (key, block), which
+    never holds more than twice the slices of a window, so no key is too large for a task. Nothing is
+    subtracted: maxima, minima and sums of doubles work as counts do. A value holds until
+    the next slice enters or leaves, and only there it is put out pane by pane.
 
-    A measure without a difference (max, min, and sums of doubles, where differences
-    would leave rounding errors behind) copies the spans, not the rows. A pane without
-    any value of a sum has null, either way.
+    A pane without any value of a sum has null.
     `open_after` (microseconds, null for none) keeps a row out of the panes that
-    start at or before it: the windows a late row finds closed.
+    start at or before it: the windows a late row finds closed. Then see `_restricted_hop`.
     """
     size_us, slide_us = micros_of(size), micros_of(slide)
+    if open_after is not None or slide_us > size_us:
+        return _restricted_hop(df, keys=keys, ts=ts, size_us=size_us, slide_us=slide_us, measures=measures, open_after=open_after)
+    unit, keys = gcd(size_us, slide_us), list(keys)
+    parts, held_names = _with_helpers(measures)
+    us = floor_to(epoch_micros(ts), unit)
+    slices = df.where(F.col(ts).isNotNull()).groupBy(*keys, us.alias("_t")).agg(*[m.partial.alias(n) for n, m in parts.items()])
+    # A slice counts for the panes of its own block that start up to it, and for those of the
+    # block before that start after the slice a window length earlier.
+    none = [F.lit(None).cast(slices.schema[n].dataType).alias(f"_p{i}") for i, n in enumerate(parts)]
+    own = F.struct(F.col("_t").alias("x"), *[F.col(n).alias(f"_s{i}") for i, n in enumerate(parts)], *none)
+    none = [F.lit(None).cast(slices.schema[n].dataType).alias(f"_s{i}") for i, n in enumerate(parts)]
+    before = F.struct((F.col("_t") - size_us).alias("x"), *none, *[F.col(n).alias(f"_p{i}") for i, n in enumerate(parts)])
+    marks = slices.select(*keys, F.explode(F.array(own, before)).alias("m")).select(*keys, floor_to(F.col("m.x"), size_us).alias("_block"), "m.*")
+    one = lambda c: F.max(c).alias(c)  # noqa: E731 at most one slice stands at a place
+    marks = marks.repartition(*keys, "_block").groupBy(*keys, "_block", "x").agg(*[one(f"{s}{i}") for i in range(len(parts)) for s in ("_s", "_p")])
+    along = Window.partitionBy(*keys, "_block").orderBy("x")
+    back = Window.partitionBy(*keys, "_block").orderBy(F.desc("x"))
+    merges = list(parts.values())
+    # Panes after the place before, up to this one.
+    upto, begin = along.rowsBetween(Window.unboundedPreceding, -1), F.lag("x").over(along)
+    stretches = marks.select(
+        *keys, "_block", F.coalesce(begin, F.col("_block") - 1).alias("_after"), F.col("x").alias("_upto"), F.lead("x").over(along).isNull().alias("_end"),
+        *[getattr(F, m.final)(f"_p{i}").over(upto).alias(f"_pre{i}") for i, m in enumerate(merges)],
+        *[getattr(F, m.final)(f"_p{i}").over(along.rowsBetween(Window.unboundedPreceding, 0)).alias(f"_all{i}") for i, m in enumerate(merges)],
+        *[getattr(F, m.final)(f"_s{i}").over(back.rowsBetween(Window.unboundedPreceding, 0)).alias(f"_suf{i}") for i, m in enumerate(merges)],
+    )
+    up = lambda us: floor_to(us, slide_us) + slide_us  # noqa: E731 the first pane start after a time
+
+    def stretch(first: Column, last: Column, values: list[Column]) -> Column:
+        return F.struct(first.alias("first"), last.alias("last"), *[v.alias(n) for v, n in zip(values, parts)])
+
+    mixed = [_merged(m.final, F.col(f"_pre{i}"), F.col(f"_suf{i}")) for i, m in enumerate(merges)]
+    here = stretch(up(F.col("_after")), floor_to(F.col("_upto"), slide_us), mixed)
+    # After the last place of a block only what has entered counts, up to the block's end.
+    rest = stretch(up(F.col("_upto")), floor_to(F.col("_block") + size_us - 1, slide_us), [F.col(f"_all{i}") for i in range(len(merges))])
+    found = stretches.select(*keys, F.explode(F.when(F.col("_end"), F.array(here, rest)).otherwise(F.array(here))).alias("r")).select(*keys, "r.*")
+    found = found.where("_rows > 0 AND first <= last")
+    panes = found.withColumn("pane", F.explode(F.sequence("first", "last", F.lit(slide_us))))
+    return _pane_rows(panes, keys, size_us, measures, held_names)
+
+
+def _merged(final: str, a: Column, b: Column) -> Column:
+    """Two partial values as one; null is none."""
+    return {"max": F.greatest, "min": F.least}[final](a, b) if final != "sum" else F.coalesce(a + b, a, b)
+
+
+def _with_helpers(measures: dict[str, Measure]) -> tuple[dict[str, Measure], dict[str, str]]:
+    """The measures, the number of rows (a pane is put out while it holds some), and that of a sum's values."""
+    held_names = {n: f"_held_{n}" for n, m in measures.items() if m.held is not None}
+    helpers = {"_rows": count_rows(), **{h: Measure(measures[n].held, "sum", subtract=True) for n, h in held_names.items()}}
+    return {**measures, **helpers}, held_names
+
+
+def _pane_rows(panes: DataFrame, keys: list[str], size_us: int, measures: dict[str, Measure], held_names: dict[str, str]) -> DataFrame:
+    return panes.select(
+        *keys,
+        from_micros(F.col("pane")).alias("window_start"),
+        from_micros(F.col("pane") + size_us).alias("window_end"),
+        *[F.when(F.col(held_names[n]) > 0, F.col(n)).alias(n) if n in held_names else F.col(n) for n in measures],
+    )
+
+
+def _restricted_hop(
+    df: DataFrame, *, keys: Sequence[str], ts: str, size_us: int, slide_us: int, measures: dict[str, Measure], open_after: Column | None
+) -> DataFrame:
+    """Sliding windows whose rows count in some of their panes only, as late rows do.
+
+    Rows are reduced to one per key and span of panes; for counts and exact sums each span
+    enters at its first pane and leaves after its last, and a running sum over those change
+    points gives the value, per key and stretch of TIME_STEPS slides, with what came before
+    carried over. Other measures copy the spans, not the rows.
+    """
     unit = gcd(size_us, slide_us)
     keys = list(keys)
-    # Helpers: rows of a pane, which is put out only while it holds some; values of a sum.
-    held_names = {n: f"_held_{n}" for n, m in measures.items() if m.held is not None}
-    parts = {**measures, "_rows": count_rows(), **{h: Measure(measures[n].held, "sum", subtract=True) for n, h in held_names.items()}}
+    parts, held_names = _with_helpers(measures)
     us = floor_to(epoch_micros(ts), unit)
     # Panes start at multiples of slide in (slice - size, slice]; slices lie on the unit grid.
     first = floor_to(us - size_us + slide_us, slide_us)
@@ -171,12 +241,7 @@ def dense_hop(
             .groupBy(*keys, "pane")
             .agg(*[m.merge(n).alias(n) for n, m in parts.items()])
         )
-    return panes.select(
-        *keys,
-        from_micros(F.col("pane")).alias("window_start"),
-        from_micros(F.col("pane") + size_us).alias("window_end"),
-        *[F.when(F.col(held_names[n]) > 0, F.col(n)).alias(n) if n in held_names else F.col(n) for n in measures],
-    )
+    return _pane_rows(panes, keys, size_us, measures, held_names)
 
 
 def session_windows(

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
-from weirstone.functions.udfs import aggregate_groups, register_length, register_split, split_rows, top_values
-from weirstone.plans.inputs import SENSOR, sensor
+from weirstone.functions.udfs import aggregate_groups, aggregate_windows, register_length, register_split, running_aggregate, split_rows, top_values
+from weirstone.plans.inputs import HOUR, SENSOR, sensor
+from weirstone.plans.reg_windows import hop_sql, tumble_sql
 from weirstone.plans.registry import query
 from weirstone.sources.codecs import encode_json
 from weirstone.sources.files import table
@@ -126,3 +129,55 @@ def udaf_avg(spark, folder):
 )
 def udtaf_top2(spark, folder):
     return top_values(sensor(spark, folder), keys=["id"], value="vc", n=2, ties=["seq"])
+
+
+# A product modulo a prime: no built-in aggregate is one, and partial products merge.
+PRIME = 1_000_003
+_PRODUCT = f"lambda a, x: (a * ((x % {PRIME}) + 1)) % {PRIME}"
+
+
+def _product_sql(values: str) -> str:
+    return f"list_reduce({values}, {_PRODUCT}, CAST(1 AS BIGINT))"
+
+
+def _lift(vc):
+    return (1 if vc is None or vc != vc else (int(vc) % PRIME + 1) % PRIME,)
+
+
+def _multiply(rows):
+    return (reduce(lambda a, b: a * b % PRIME, (_lift(v)[0] for v in rows["vc"].tolist()), 1),)
+
+
+def _times(a, b):
+    return (int(a[0]) * int(b[0]) % PRIME,)
+
+
+_USER = {"columns": ["vc"], "state": "product long", "accumulate": _multiply, "merge": _times, "name": "product"}
+
+
+def _user_aggregate():
+    return {**_USER, "result": F.col("product")}
+
+
+_LISTED = "list(vc) FILTER (vc IS NOT NULL)"
+
+
+@query("udaf_tumble", tumble_sql("id", HOUR, f"{_product_sql(_LISTED)} AS product"))
+def udaf_tumble(spark, folder):
+    return aggregate_windows(sensor(spark, folder), keys=["id"], ts="ts", size="1 hour", **_user_aggregate())
+
+
+@query("udaf_hop", hop_sql("id", 6 * HOUR, 2 * HOUR, f"{_product_sql(_LISTED)} AS product"))
+def udaf_hop(spark, folder):
+    return aggregate_windows(sensor(spark, folder), keys=["id"], ts="ts", size="6 hours", slide="2 hours", **_user_aggregate())
+
+
+@query(
+    "udaf_running",
+    f"""WITH {SENSOR}, held AS (SELECT user_id, seq, list(vc) OVER (PARTITION BY user_id ORDER BY seq ROWS UNBOUNDED PRECEDING) AS vs FROM sensor)
+    SELECT user_id, seq, {_product_sql('vs')} AS product FROM held""",
+)
+def udaf_running(spark, folder):
+    rows = sensor(spark, folder).select("user_id", "seq", "vc")
+    user = {k: v for k, v in _user_aggregate().items() if k != "accumulate"}
+    return running_aggregate(rows, keys=["user_id"], order=["seq"], lift=_lift, **user).select("user_id", "seq", "product")
