@@ -16,14 +16,14 @@ ODD = ["", " ", "  a", "▁", "▁ ▁a▁▁", "a\n\nb", "\x00a\x00", "日本
 
 @pytest.mark.parametrize("text", ODD, ids=range(len(ODD)))
 def test_odd_texts(text):
-    ids = MERGER.encode(text)
+    ids = MERGER.encode([text])[0]
     assert ids == LIB.encode(text) and READER.decode(pa.array([ids], pa.list_(pa.int32()))) == [LIB.decode(ids)]
 
 
 @settings(max_examples=400, deadline=None)
 @given(st.text(alphabet=st.one_of(st.sampled_from(" ▁\nthanierog.,日é"), st.characters(exclude_categories=["Cs"])), max_size=60))
 def test_any_text(text):
-    assert MERGER.encode(text) == LIB.encode(text)
+    assert MERGER.encode([text]) == [LIB.encode(text)]
 
 
 @settings(max_examples=200, deadline=None)
@@ -38,14 +38,25 @@ def test_no_merge_crosses_a_cut():
     rng = random.Random(4)
     for _ in range(200):
         text = "".join(rng.choice(["the", " ", "  ", "ing", "\n", "日", ".", "▁", "q", "é"]) for _ in range(30))
-        assert MERGER.encode(text) == MERGER.merged(LIB.normalize(text))
+        assert MERGER.encode([text])[0] == MERGER.merged(LIB.normalize(text)) == LIB.encode(text)
+
+
+@pytest.mark.parametrize("together", [1, 7, 4096])
+def test_side_by_side_equals_the_heap(monkeypatch, together):
+    monkeypatch.setattr(P, "TOGETHER", together)
+    rng = random.Random(6)
+    units = {"".join(rng.choice("▁abethinrsou.,é日\n😀'") for _ in range(rng.randrange(1, 40))) for _ in range(2000)}
+    own = P.Merger(MODEL)
+    own.learn(units)
+    assert {u: list(own.memo[u]) for u in units} == {u: own.merged(u) for u in units}
 
 
 def test_memory_is_bounded(monkeypatch):
-    monkeypatch.setattr(P, "MEMO", 20)
+    monkeypatch.setattr(P, "MEMO", 400)
     own = P.Merger(MODEL)
-    text = " ".join(f"word{i}" for i in range(300))
-    assert own.encode(text) == LIB.encode(text) and len(own.memo) <= 20
+    for k in range(5):
+        texts = [" ".join(f"word{i * k}" for i in range(300)), "é" * 500 + str(k)]
+        assert own.encode(texts) == LIB.encode(texts) and len(own.memo) <= 400
 
 
 def test_documents(spark):
