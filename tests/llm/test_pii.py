@@ -49,38 +49,80 @@ def test_many_matches_in_one_text(spark):
 
 
 def disclosure():
-    """`zorp` stands by one address only; `hello` is everywhere; `copied` only in copies of one context."""
-    rows = []
-    for i in range(300):
-        rows.append((i, f"hello word{i} and other{i % 7} things", "en", "s", 1))
-    for i in range(6):
-        rows.append((500 + i, f"hello n{i}a zorp wrote boss@corp.example about n{i}b", "en", "s", 1))
-        rows.append((600 + i, "copied text by ann@corp.example here", "en", "s", 1))
+    """Corpus of 300 plain texts and a few with identifiers."""
+    rows = [(i, f"hello word{i} and other{i % 7} things. Said often{i % 3} here.", "en", "s", 1) for i in range(300)]
+    far = "and " * 40
+    rows += [
+        # In one document: rare words of its sentence, also far from it and in another sentence; not those of the next sentence.
+        (500, f"Quibble {far} wrote to boss@corp.example hello things. Nextword stands alone. Again quibble.", "en", "s", 1),
+        # In two documents and two sentences: `zorp` and `flimp` are known for it, wherever they stand.
+        (510, "The zorp flimp called +1 555 123 4567 hello.", "en", "s", 1),
+        (511, "A zorp, a flimp: +1 (555) 123-4567 again things.", "en", "s", 1),
+        (512, "Nobody called, but zorp was here. Hello things.", "en", "s", 1),
+    ]
+    rows += [(600 + i, "Copied snark by ann@corp.example here.", "en", "s", 1) for i in range(6)]
+    rows.append((620, "A snark without its name.", "en", "s", 1))
     return rows
 
 
+def found_terms(df, **options):
+    found = P.find(df, ["doc_id", "text"], **options).where("size(terms) > 0").collect()
+    return sorted({(r["row"]["doc_id"], r["row"]["text"][s["start"] : s["end"]].lower()) for r in found for s in r["terms"]})
+
+
+def brute_terms(rows, support=P.SUPPORT, threshold=P.THRESHOLD):
+    n = len(rows)
+    words = [set(re.findall(r"[^\W_]+", (r[1] or "").lower())) for r in rows]
+    n_t = lambda t: sum(t in w for w in words)
+    near, holders = {}, {}
+    for i, r in enumerate(rows):
+        text = r[1] or ""
+        spans = [(m.start(), m.end(), re.sub("[^0-9]", "", m[0]) if k in ("card", "phone") else m[0].lower()) for k, p in PATTERNS for m in re.finditer(p, text) if passes(k, m[0])]
+        ends = [0, *(m.end() for m in re.finditer(r"[.!?]\s|\n", text)), len(text)]
+        for a, b, e in spans:
+            first, last = max(x for x in ends if x <= a), min(x for x in ends if x >= b)
+            holders.setdefault(e, set()).add(i)
+            for m in re.finditer(r"[^\W_]+", text[first:last]):
+                if len(m[0]) >= 3 and not any(first + m.start() < y and first + m.end() > x for x, y, _ in spans):
+                    near.setdefault((e, m[0].lower()), []).append((i, text[first:last].rstrip(".!? ")))
+    out = set()
+    for (e, t), places in near.items():
+        n_e, n_et = len(holders[e]), len({i for i, _ in places})
+        if n_et * n / (n_e * (n_t(t) + 0.5)) >= (n / n_e) ** threshold:
+            wide = len({c for _, c in places}) >= support
+            out |= {(rows[i][0], t) for i in range(n) if t in words[i] and (wide or i in {j for j, _ in places})}
+    return sorted(out)
+
+
 def test_disclosing_terms(spark):
     rows = disclosure()
-    found = P.find(frame(spark, rows), ["doc_id", "text"]).where("size(terms) > 0").collect()
-    terms = {(r["row"]["doc_id"], r["row"]["text"][s["start"] : s["end"]]) for r in found for s in r["terms"]}
-    n, texts = len(rows), [r[1] for r in rows]
-    told = set()
-    for term in ("hello", "zorp", "wrote", "about"):  # by the formula
-        joint = n_e = 6
-        n_t = sum(term in t.split() for t in texts)
-        if joint * n / (n_e * n_t) >= (n / n_e) ** P.THRESHOLD:
-            told |= {(500 + i, term) for i in range(6)}
-    assert terms == told and {t for _, t in told} == {"zorp", "wrote", "about"}
+    found = found_terms(frame(spark, rows, extra=True).repartition(3))
+    assert found == brute_terms(rows)
+    of = lambda i: {t for j, t in found if j == i}
+    assert of(500) == {"quibble", "wrote"} and {"zorp", "flimp"} <= of(510) & of(511) and of(512) == {"zorp"}
+    # Copies are one sentence: no evidence for other documents.
+    assert "snark" in of(600) and not of(620)
+    assert not any(t in ("hello", "things", "and") for _, t in found) and not any(j < 500 for j, _ in found)
+    text = rows[300][1]
+    row = P.find(frame(spark, rows), ["doc_id"]).where("row.doc_id = 500").first()
+    assert [text[s["start"] : s["end"]] for s in row["terms"]] == ["Quibble", "wrote", "quibble"] and row["terms"][0]["end"] + 61 < row["base"][0]["start"]
+
+
+def test_long_sentences_have_a_width(spark):
+    rows = [(i, f"plain text and number{i}", "en", "s", 1) for i in range(300)]
+    rows.append((900, "outside " + "and " * 200 + "inside a@b.org", "en", "s", 1))
+    assert found_terms(frame(spark, rows)) == [(900, "inside")]
 
 
 def test_sanitise(spark):
-    rows = [*disclosure(), (900, None, None, None, None), (901, "", "en", "s", 0), (None, "mail a@b.org, call +1 555 123 4567!", "en", "s", 1), (902, "card 4111 1111 1111 1111 on 1.2.3.4", "en", "s", 1)]
+    rows = [*disclosure(), (900, None, None, None, None), (901, "", "en", "s", 0), (None, "and a@b.org, hello +1 555 123 0067!", "en", "s", 1), (902, "and 4111 1111 1111 1111 hello 1.2.3.4", "en", "s", 1)]
     df = frame(spark, rows, extra=True)
     out = P.sanitise(df)
     assert out.columns == df.columns
     texts = {r["doc_id"]: r["text"] for r in out.collect()}
-    assert texts[900] is None and texts[901] == "" and texts[None] == "mail [EMAIL], call [PHONE]!" and texts[902] == "card [CARD] on [IP]"
-    assert texts[500] == "hello n0a [TERM] [TERM] [EMAIL] [TERM] n0b" and texts[600] == "copied text by [EMAIL] here" and texts[0] == rows[0][1]
+    assert texts[900] is None and texts[901] == "" and texts[None] == "and [EMAIL], hello [PHONE]!" and texts[902] == "and [CARD] hello [IP]"
+    assert texts[512] == "Nobody called, but [TERM] was here. Hello things." and texts[0] == rows[0][1] and texts[620] == "A snark without its name."
+    assert texts[600] == "[TERM] [TERM] by [EMAIL] here."
 
 
 def test_empty(spark):

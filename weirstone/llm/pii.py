@@ -5,16 +5,21 @@ DataFrame functions only.
 Direct: emails, IPv4 addresses, card numbers (13 to 19 digits, Luhn) and phone numbers (9 to
 15 digits), leftmost and without overlap per kind; a match that fails its test is dropped.
 
-Disclosure: words that stand within CONTEXT characters of an identifier are its candidate
-terms. Over the whole corpus of N documents, with n(e), n(t) and n(e,t) documents that hold
-the identifier, the term, and both next to each other,
+Disclosure: the words that share a sentence with an identifier are its candidate terms (of a
+longer sentence the words within SENTENCE characters on both sides). Over the whole corpus of N
+documents, with n(e), n(t) and n(e,t) documents that hold the identifier, the term, and both in
+one sentence,
 
-    PMI(e,t) = log(n(e,t) N / (n(e) n(t)))        IC(e) = log(N / n(e))
+    PMI(e,t) = log(n(e,t) N / (n(e) (n(t) + 1/2)))        IC(e) = log(N / n(e))
 
 A term gives the identifier away if PMI >= THRESHOLD * IC, that is, if seeing the term tells
-most of what there is to know about it, and if that was seen in at least `support` different
-contexts: copies of one document are one context and prove nothing. Such a term is replaced
-by a general word next to that identifier, the identifiers by the names of their kinds.
+most of what there is to know about it; the half smooths counts of one. For an identifier of a
+single document these are the words of its sentence that at most about N^(1 - THRESHOLD)
+documents hold. Such a term is a span wherever it stands in the texts that told it, however far
+from the identifier. Where the pair was seen in `support` different sentences or more, that is
+evidence beyond one text (copies of a text are one), and the term is a span in every document,
+also in those without the identifier. Spans of terms are replaced by a general word, the
+identifiers by the names of their kinds.
 
 Patterns are written so that a text costs linear time and fixed stack: a match begins where a
 run of its first characters begins, or where the last match ended, and repeats don't backtrack.
@@ -31,7 +36,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from weirstone.llm.common import col, saved
+from weirstone.llm.common import col, saved, text_mark
 
 # What an email, an address, a card and a phone number look like.
 EMAIL = r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
@@ -43,8 +48,9 @@ KINDS = ("email", "ip", "card", "phone")
 TERM_KIND = "term"
 
 WORD = r"[\p{L}\p{N}]+"
-CONTEXT = 60
-SUPPORT = 3
+SENTENCE = 500
+SENTENCE_END = r"[.!?]\s|\n"
+SUPPORT = 2
 THRESHOLD = 0.75
 # Shortest word that can be a term.
 TERM_CHARS = 3
@@ -131,59 +137,71 @@ def base_spans(text: Column) -> Column:
 
 
 def nearby(text: Column, spans: Column) -> Column:
-    """array<struct<entity, context, term, start, end>>: the whole words around each identifier that are part of none."""
-    def around(s: Column) -> Column:
-        entity = F.concat(s["kind"].cast("string"), F.lit(":"), s["value"])
-        left_at, right_at = F.greatest(s["start"] - CONTEXT, F.lit(0)), s["end"]
-        left, right = F.substring(text, left_at + 1, s["start"] - left_at), F.substring(text, right_at + 1, F.lit(CONTEXT))
-        context = F.xxhash64(left, right)
+    """array<struct<entity, term, context>>: the whole words of each identifier's sentence that are part of no identifier."""
+    def of_sentences(ends: Column) -> Column:
+        def around(s: Column) -> Column:
+            entity = F.concat(s["kind"].cast("string"), F.lit(":"), s["value"])
+            opens = F.coalesce(F.array_max(F.transform(F.filter(ends, lambda e: e["end"] <= s["start"]), lambda e: e["end"])), F.lit(0))
+            closes = F.coalesce(F.array_min(F.transform(F.filter(ends, lambda e: e["start"] >= s["end"]), lambda e: e["start"])), F.length(text))
+            first, last = F.greatest(opens, s["start"] - SENTENCE), F.least(closes, s["end"] + SENTENCE)
+            part = F.substring(text, first + 1, last - first)
 
-        def words(part: Column, at: Column, first_cut: Column, last_cut: Column) -> Column:
-            whole = F.filter(occurrences(part, WORD), lambda w: ~((w["start"] == 0) & first_cut) & ~((w["end"] == F.length(part)) & last_cut))
-            long_ = F.filter(whole, lambda w: F.length(w["value"]) >= TERM_CHARS)
-            return F.transform(long_, lambda w: F.struct(
-                entity.alias("entity"), context.alias("context"), F.lower(w["value"]).alias("term"), (w["start"] + at).alias("start"), (w["end"] + at).alias("end")
-            ))
+            def words(body: Column) -> Column:
+                whole = F.filter(occurrences(body, WORD), lambda w: ~((w["start"] == 0) & (first > opens)) & ~((w["end"] == F.length(body)) & (last < closes)))
+                free = F.filter(whole, lambda w: (F.length(w["value"]) >= TERM_CHARS)
+                    & ~F.exists(spans, lambda o: (w["start"] + first < o["end"]) & (w["end"] + first > o["start"])))
+                return F.transform(free, lambda w: F.struct(entity.alias("entity"), F.lower(w["value"]).alias("term"), F.xxhash64(body).alias("context")))
 
-        return F.concat(words(left, left_at, left_at > 0, F.lit(False)), words(right, right_at, F.lit(False), right_at + CONTEXT < F.length(text)))
+            return let(part, words)
 
-    apart = F.filter(F.flatten(F.transform(spans, around)), lambda w: ~F.exists(spans, lambda s: (w["start"] < s["end"]) & (w["end"] > s["start"])))
-    return F.when(F.size(spans) > 0, apart)
+        return F.array_distinct(F.flatten(F.transform(spans, around)))
 
+    return F.when(F.size(spans) > 0, let(occurrences(text, SENTENCE_END), of_sentences))
 
-def disclosing(marked: DataFrame, docs: DataFrame, text: str, support: int, threshold: float) -> DataFrame:
-    """(entity, term): the terms that give an identifier away."""
+
+def words_of(text: Column) -> Column:
+    """The different words of a text."""
+    return F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0)))
+
+
+def disclosing(pairs: DataFrame, docs: DataFrame, text: str, threshold: float) -> DataFrame:
+    """(entity, term, contexts) of `pairs` (rid, entity, term, context): the terms that give an identifier away."""
     n_docs = docs.count()
-    near = marked.where(F.size("near") > 0)
-    entities = near.select(F.explode(F.array_distinct(F.transform("near", lambda w: w["entity"]))).alias("entity")).groupBy("entity").agg(F.count("*").alias("n_e"))
-    together = F.array_distinct(F.transform("near", lambda w: F.struct(w["entity"].alias("entity"), w["term"].alias("term"), w["context"].alias("context"))))
-    seen = near.select("rid", F.inline(together)).groupBy("entity", "term", "context").agg(F.count("*").alias("rows"))
-    pairs = seen.groupBy("entity", "term").agg(F.count("*").alias("contexts"), F.sum("rows").alias("n_et")).where(F.col("contexts") >= support)
-    words = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower(col(text)), F.lit(WORD), F.lit(0)))).alias("term"))
-    counts = words.groupBy("term").agg(F.count("*").alias("n_t"))
-    known = saved(pairs, "pairs").join(counts, "term").join(entities, "entity")
-    # PMI >= threshold * IC without logarithms; a document with two contexts of a pair counts once at most.
+    entities = pairs.groupBy("entity").agg(F.count_distinct("rid").alias("n_e"))
+    # Counted per sentence first: one that stands in many documents is one row from then on.
+    seen = pairs.groupBy("entity", "term", "context").agg(F.count("*").alias("n"))
+    seen = seen.groupBy("entity", "term").agg(F.sum("n").alias("n_et"), F.count("*").alias("contexts"))
+    counts = docs.select(F.explode(words_of(col(text))).alias("term")).groupBy("term").agg(F.count("*").alias("n_t"))
+    known = seen.join(counts, "term").join(entities, "entity")
+    # PMI >= threshold * IC without logarithms; a document with two sentences of a pair counts once at most.
     both = F.least("n_et", "n_e", "n_t").cast("double")
-    tells = both * n_docs / (F.col("n_e") * F.col("n_t")) >= F.pow(F.lit(float(n_docs)) / F.col("n_e"), F.lit(threshold))
-    return known.where(tells).select("entity", "term")
+    tells = both * n_docs / (F.col("n_e") * (F.col("n_t") + 0.5)) >= F.pow(F.lit(float(n_docs)) / F.col("n_e"), F.lit(threshold))
+    return known.where(tells).select("entity", "term", "contexts")
 
 
 def find(docs: DataFrame, carry: list[str], *, text: str = "text", support: int = SUPPORT, threshold: float = THRESHOLD) -> DataFrame:
     """(row, base, terms) for every document; `row` holds the columns `carry`.
 
     `base` lists direct identifiers (kind, start, end, value), `terms` the spans (start, end) of what discloses them.
+    Texts are told apart by 128 bits, so that each is looked through for terms once, however many copies it has.
     """
-    rows = docs.select(F.struct(*map(col, carry)).alias("row"), col(text).alias("text"), F.monotonically_increasing_id().alias("rid"))
-    rows = rows.withColumn("base", base_spans(F.col("text"))).withColumn("near", nearby(F.col("text"), F.col("base"))).drop("text")
-    marked = saved(rows, "identifiers")  # numbers stay what they are once written
-    pairs = disclosing(marked, docs, text, support, threshold)
-    some = F.coalesce(F.size("near"), F.lit(0)) > 0
-    told = marked.where(some).select("rid", F.inline("near")).join(pairs, ["entity", "term"])
-    terms = told.select("rid", "start", "end").distinct().groupBy("rid").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("terms"))
-    none = F.array().cast("array<struct<start:int,end:int>>")
-    plain = marked.where(~some).select("row", "base", none.alias("terms"))
-    rest = marked.where(some).select("rid", "row", "base").join(terms, "rid", "left")
-    return plain.unionByName(rest.select("row", "base", F.coalesce("terms", none).alias("terms")))
+    body = docs.select(F.struct(*map(col, carry)).alias("row"), col(text).alias("text"), text_mark(col(text)).alias("mark"))
+    rows = body.withColumn("base", base_spans(F.col("text"))).withColumn("rid", F.monotonically_increasing_id())
+    marked = saved(rows.withColumn("near", nearby(F.col("text"), F.col("base"))).drop("text"), "identifiers")  # numbers stay what they are once written
+    pairs = saved(marked.where(F.size("near") > 0).select("rid", "mark", F.inline("near")), "pairs")
+    told = saved(disclosing(pairs, docs, text, threshold), "told")
+    own = pairs.join(told, ["entity", "term"]).select("mark", "term")
+    known = told.where(F.col("contexts") >= support).select("term").distinct()
+    texts = docs.select(text_mark(col(text)).alias("mark"), col(text).alias("text"))
+    if not known.isEmpty():
+        own = own.unionByName(texts.select("mark", F.explode(words_of(F.col("text"))).alias("term")).join(known, "term", "left_semi"))
+    chosen = saved(own.distinct().groupBy("mark").agg(F.collect_list("term").alias("chosen")), "terms")
+    spots = texts.join(chosen, "mark").dropDuplicates(["mark"])
+    spots = spots.withColumn("at", F.filter(occurrences(F.col("text"), WORD), lambda w: F.array_contains("chosen", F.lower(w["value"])))).select("mark", "at")
+    found = marked.drop("rid", "near").join(spots, "mark", "left")
+    free = F.filter("at", lambda w: ~F.exists("base", lambda s: (w["start"] < s["end"]) & (w["end"] > s["start"])))
+    terms = F.transform(free, lambda w: F.struct(w["start"].alias("start"), w["end"].alias("end")))
+    return found.select("row", "base", F.coalesce(terms, F.array().cast("array<struct<start:int,end:int>>")).alias("terms"))
 
 
 def listed(spans: Column) -> Column:
