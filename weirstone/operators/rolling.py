@@ -16,6 +16,7 @@ from weirstone.operators.running import (
     same_keys,
     first_value,
     numbered,
+    previous,
     running,
     running_count,
     running_max,
@@ -201,3 +202,25 @@ def running_top(
     pool = F.array_compact(F.array(*tops, *[F.col(f"_c._c{i}") for i in range(1, n + 1)]))
     top = F.slice(F.sort_array(pool, asc=False), 1, n)
     return merged.select(*df.columns, F.transform(top, lambda t: t["v"]).alias(name))
+
+
+def top_changelog(
+    df: DataFrame, *, keys: Sequence[str], order: Sequence[str], value: str, n: int = 2, blocks: Blocks | None = DEFAULT_BLOCKS
+) -> DataFrame:
+    """Changelog of a key's `n` largest values: (keys, step, rank, added, value), ranks from 1.
+
+    A row that changes the list retracts the value of each rank that moved (`added` False)
+    and adds the new one; `step` is its arrival number `order[0]`. Ranks without change put
+    out nothing.
+    """
+    listed = running_top(df, keys=keys, order=order, value=value, n=n, name="_top", blocks=blocks)
+    both = running(listed, keys=keys, order=order, folds={"_held": previous(F.col("_top"))}, blocks=blocks)
+
+    def moves(i: int) -> Column:
+        old, new = F.get("_held", F.lit(i)), F.get("_top", F.lit(i))
+        pair = [F.struct(F.lit(i + 1).alias("rank"), F.lit(added).alias("added"), x.alias("value")) for added, x in ((False, old), (True, new))]
+        moved = F.filter(F.array(*pair), lambda m: m["value"].isNotNull())
+        return F.when(old.eqNullSafe(new), F.slice(moved, 1, 0)).otherwise(moved)
+
+    out = both.select(*keys, F.col(order[0]).alias("step"), F.explode(F.concat(*map(moves, range(n)))).alias("m"))
+    return out.select(*keys, "step", "m.rank", "m.added", "m.value")

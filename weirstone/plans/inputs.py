@@ -17,9 +17,9 @@ SENSOR = (
 )
 
 
-def shape_sensor(events: DataFrame) -> DataFrame:
+def shape_sensor(events: DataFrame, *more: str) -> DataFrame:
     return events.select(
-        F.col("event_id").alias("seq"), F.col("event_type").alias("id"), "user_id", "ts", F.round(F.col("value") * 100).cast("long").alias("vc")
+        F.col("event_id").alias("seq"), F.col("event_type").alias("id"), "user_id", "ts", F.round(F.col("value") * 100).cast("long").alias("vc"), *more
     )
 
 

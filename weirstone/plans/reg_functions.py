@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import functions as F
 
 from weirstone.functions.udfs import aggregate_groups, aggregate_windows, register_length, register_split, running_aggregate, split_rows, top_values
+from weirstone.operators.rolling import top_changelog
 from weirstone.plans.inputs import HOUR, SENSOR, sensor
 from weirstone.plans.reg_windows import hop_sql, tumble_sql
 from weirstone.plans.registry import query
@@ -181,3 +182,18 @@ def udaf_running(spark, folder):
     rows = sensor(spark, folder).select("user_id", "seq", "vc")
     user = {k: v for k, v in _user_aggregate().items() if k != "accumulate"}
     return running_aggregate(rows, keys=["user_id"], order=["seq"], lift=_lift, **user).select("user_id", "seq", "product")
+
+
+@query(
+    "udtaf_top2_changelog",
+    f"""WITH {SENSOR}, l AS (SELECT id, seq, list_reverse_sort(list(vc) OVER (PARTITION BY id ORDER BY seq ROWS UNBOUNDED PRECEDING))[1:2] AS top
+      FROM sensor WHERE vc IS NOT NULL),
+    h AS (SELECT *, lag(top) OVER (PARTITION BY id ORDER BY seq) AS held FROM l),
+    m AS (SELECT id, seq AS step, unnest([1, 2]) AS rank, top, held FROM h),
+    c AS (SELECT id, step, rank, top[rank] AS new, held[rank] AS old FROM m WHERE top[rank] IS DISTINCT FROM held[rank])
+    SELECT id, step, CAST(rank AS INTEGER) AS rank, false AS added, old AS value FROM c WHERE old IS NOT NULL
+    UNION ALL SELECT id, step, CAST(rank AS INTEGER), true, new FROM c WHERE new IS NOT NULL""",
+)
+def udtaf_top2_changelog(spark, folder):
+    rows = sensor(spark, folder).select("id", "seq", "vc").where("vc IS NOT NULL")
+    return top_changelog(rows, keys=["id"], order=["seq"], value="vc")

@@ -23,10 +23,10 @@ from weirstone.streaming.feed import Feed
 from weirstone.streaming.runner import latest_rows
 
 _W = "WINDOW w AS (PARTITION BY id ORDER BY seq ROWS UNBOUNDED PRECEDING)"
-_WORDCOUNT = f"WITH {WORDS} SELECT word, count(*) AS ct FROM words GROUP BY word"
+WORDCOUNT_SQL = f"WITH {WORDS} SELECT word, count(*) AS ct FROM words GROUP BY word"
 
 
-@query("wordcount_batch", _WORDCOUNT)
+@query("wordcount_batch", WORDCOUNT_SQL)
 def wordcount_batch(spark, folder):
     return bare_words(spark, folder).groupBy("word").agg(F.count(F.lit(1)).alias("ct"))
 
@@ -39,7 +39,7 @@ def wordcount_running(spark, folder):
     return numbered(word_rows(spark, folder), keys=["word"], order=["doc_id", "pos"], name="ct")
 
 
-@query("wordcount_stream", _WORDCOUNT)
+@query("wordcount_stream", WORDCOUNT_SQL)
 def wordcount_stream(spark, folder):
     feed = Feed(spark, folder, "documents", "doc_id")
     words = feed.stream.select(F.explode(F.split("text", "[ \n]")).alias("word"))

@@ -16,7 +16,7 @@ SQL: dict[str, str] = {}
 
 MODULES = (
     "reg_io", "reg_rows", "reg_grouped", "reg_joins", "reg_windows", "reg_over", "reg_state",
-    "reg_jobs", "reg_functions", "reg_streams", "reg_watch", "reg_firings",
+    "reg_jobs", "reg_functions", "reg_streams", "reg_watch", "reg_firings", "reg_runs",
 )
 
 

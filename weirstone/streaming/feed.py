@@ -14,6 +14,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructField, StructType, TimestampType
 
 from weirstone.session import scratch
 from weirstone.sources.files import table, table_stream
@@ -30,14 +31,16 @@ class Feed:
     `shape` adds columns to the table before it is cut. With `end`, a time column, one more
     slice follows: a row long after all others, with `marks` in its other columns. It moves the
     watermark on, so that the last windows and timers fire; the query tells it by its marks.
+    `stamp` names a column for the time at which a slice came in: it is written with the slice,
+    so a micro-batch that is repeated sees the same time.
     """
 
     def __init__(
         self, spark: SparkSession, folder: str, name: str, order: str, slice_rows: int | None = None, end: str | None = None,
-        marks: dict | None = None, shape: Callable[[DataFrame], DataFrame] | None = None,
+        marks: dict | None = None, shape: Callable[[DataFrame], DataFrame] | None = None, stamp: str | None = None,
     ) -> None:
         shape = shape or (lambda df: df)
-        self.spark, self.order, self.done = spark, order, 0
+        self.spark, self.order, self.done, self.stamp = spark, order, 0, stamp
         rows = shape(table(spark, folder, name))
         self.schema, self.last = rows.schema, None
         if end is not None:
@@ -46,12 +49,13 @@ class Feed:
             kinds = {f.name: f.dataType for f in rows.schema}
             self.last = rows.agg(values[end].alias(end)).select(*[(F.col(c) if c == end else values[c]).cast(kinds[c]).alias(c) for c in rows.columns])
         count = max(1, -(-table(spark, folder, name).count() // (slice_rows or SLICE_ROWS)))
-        if count == 1 and end is None:
+        if count == 1 and end is None and stamp is None:
             self.path, self.slices = None, iter([None])
             self.stream = shape(table_stream(spark, folder, name))
             return
         self.path = scratch(spark, "feed")
-        self.stream = spark.readStream.schema(self.schema).parquet(f"{self.path}/shown/slice-*")
+        shown = StructType([*self.schema.fields, *([StructField(stamp, TimestampType())] if stamp else [])])
+        self.stream = spark.readStream.schema(shown).parquet(f"{self.path}/shown/slice-*")
         if count == 1:
             rows.write.parquet(f"{self.path}/cut/_slice=0")
             self.slices = iter([0])
@@ -70,6 +74,8 @@ class Feed:
             last = some[-1]
 
     def _show(self, rows: DataFrame) -> None:
+        if self.stamp:
+            rows = rows.withColumn(self.stamp, F.current_timestamp())
         rows.write.mode("overwrite").parquet(f"{self.path}/shown/slice-{self.done:09d}")
 
     def advance(self) -> bool:

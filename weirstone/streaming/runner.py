@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
@@ -24,15 +25,24 @@ def dropped(query: StreamingQuery) -> int:
     return sum(s["numRowsDroppedByWatermark"] for p in query.recentProgress for s in p["stateOperators"])
 
 
-def run_available(writer: DataStreamWriter, feed: Feed | None = None, *, late: str = "raise") -> None:
+def run_available(writer: DataStreamWriter, feed: Feed | None = None, *, late: str = "raise", restarts: int = 0) -> None:
     """Process what is available, slice by slice with a feed, then stop.
 
     `late` tells what rows beyond the watermark mean: "raise" RowsDropped, or "drop".
-    The writer needs a checkpoint location; a slice goes on from the one before.
+    The writer needs a checkpoint location; a slice goes on from the one before. A query that
+    fails is started again from its checkpoint up to `restarts` times in all; it repeats the
+    micro-batch that failed, with the same rows.
     """
     while feed is None or feed.advance():
-        query = writer.trigger(availableNow=True).start()
-        query.awaitTermination()
+        while True:
+            query = writer.trigger(availableNow=True).start()
+            try:
+                query.awaitTermination()
+                break
+            except StreamingQueryException:
+                if not restarts:
+                    raise
+                restarts -= 1
         if late == "raise" and (n := dropped(query)):
             raise RowsDropped(f"{n} rows came after the watermark: raise the delay, or split late rows off first")
         if feed is None:
@@ -47,10 +57,11 @@ def drain(
     checkpoint: str | None = None,
     feed: Feed | None = None,
     late: str = "raise",
+    restarts: int = 0,
 ) -> None:
     """Process everything available through `foreachBatch`, then stop."""
     writer = df.writeStream.foreachBatch(write).outputMode(mode)
-    run_available(writer.option("checkpointLocation", checkpoint or scratch(df.sparkSession, "checkpoint")), feed, late=late)
+    run_available(writer.option("checkpointLocation", checkpoint or scratch(df.sparkSession, "checkpoint")), feed, late=late, restarts=restarts)
 
 
 def latest_rows(df: DataFrame, *, keys: Sequence[str], checkpoint: str | None = None,
