@@ -227,6 +227,18 @@ def test_no_drop(spark, blocks, strict):
     assert want and tuples(stamps(got, "run_start", "alert_at"), "id", "run_start", "alert_at") == want
 
 
+@SMALL
+@pytest.mark.parametrize("hold", [1, 3, 6, 20])
+def test_no_drop_armed_again(spark, blocks, hold):
+    rows = [(s, None if k == "k2" else k, t, v) for s, k, t, v in rises()]
+    got = P.no_drop_alerts(
+        frame(spark, rows).repartition(3), keys=["id"], order=["ts", "seq"], value="vc", hold=f"{hold} seconds", rearm=True, blocks=blocks
+    )
+    want = alerts(rows, hold * SEC, False, rearm=True)
+    assert tuples(stamps(got, "run_start", "alert_at"), "id", "run_start", "alert_at") == want
+    assert hold > 6 or len(want) > len(alerts(rows, hold * SEC, False, rearm=False)) > 0
+
+
 @pytest.mark.parametrize("rearm", [False, True])
 def test_no_drop_stream(spark, folder, rearm):
     rows = rises()

@@ -6,9 +6,11 @@ arrival. Their streaming twins are in `streaming.processors`.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from weirstone.functions.timecols import epoch_micros, from_micros, micros_of
 from weirstone.operators.running import (
@@ -206,6 +208,7 @@ def no_drop_alerts(
     value: str,
     hold: str,
     strict: bool = False,
+    rearm: bool = False,
     blocks: Blocks | None = DEFAULT_BLOCKS,
 ) -> DataFrame:
     """Runs in which `value` does not drop for longer than `hold`, one alert per run.
@@ -213,6 +216,11 @@ def no_drop_alerts(
     A run starts at a key's first row, or at the first row after a drop that is not
     a drop itself, and lasts until the next drop. With `strict`, an equal value
     counts as a drop.
+
+    With `rearm` an alert starts a new wait: at the run's first row later than the alert,
+    which alerts again if the run lasts. `run_start` is then the row that began the wait.
+    Only rows that could alert are brought together, by run; a run passes through a task as a
+    stream that holds one time.
     """
     ts, hold_us = order[0], micros_of(hold)
     rows = df.select(*keys, *order, F.col(value).alias("_v"), epoch_micros(ts).alias("_us"))
@@ -233,14 +241,43 @@ def no_drop_alerts(
         blocks=blocks,
         reverse=True,
     )
+    if rearm:
+        armed = ahead.where(~F.col("_drop") & (F.col("_until").isNull() | (F.col("_until") > F.col("_us") + hold_us)))
+        return _alerts(_chained(armed.select(*keys, "_until", "_us").distinct(), list(keys), hold_us), keys, hold_us)
     start = F.when(F.col("_prev").isNull(), F.col("_us")).when(
         F.col("_drop") & ~F.col("_next._drop"), F.col("_next._us")
     )
     runs = ahead.select(*keys, start.alias("_start"), "_until").where(F.col("_start").isNotNull())
-    return runs.where(
-        F.col("_until").isNull() | (F.col("_until") > F.col("_start") + hold_us)
-    ).select(
-        *keys,
-        from_micros(F.col("_start")).alias("run_start"),
-        from_micros(F.col("_start") + hold_us).alias("alert_at"),
-    )
+    lasting = runs.where(F.col("_until").isNull() | (F.col("_until") > F.col("_start") + hold_us))
+    return _alerts(lasting, keys, hold_us)
+
+
+def _alerts(waits: DataFrame, keys: Sequence[str], hold_us: int) -> DataFrame:
+    return waits.select(*keys, from_micros(F.col("_start")).alias("run_start"), from_micros(F.col("_start") + hold_us).alias("alert_at"))
+
+
+def _chained(rows: DataFrame, keys: list[str], hold_us: int) -> DataFrame:
+    """(keys, _start): of each run its first row, and on and on the first row more than `hold_us` after the one before.
+
+    The next drop (`_until`) tells runs apart: no other run of the key with a row here has the same.
+    """
+    by = [*keys, "_until"]
+    schema = StructType([*[rows.schema[k] for k in keys], StructField("_start", LongType())])
+    places = [rows.columns.index(c) for c in by]
+    at = rows.columns.index("_us")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group = since = None
+        for batch in batches:
+            taken = []
+            groups = zip(*(batch.column(i).to_pylist() for i in places))
+            for i, (own, us) in enumerate(zip(groups, batch.column(at).to_pylist())):
+                if own != group:
+                    group, since = own, None
+                if since is None or us > since + hold_us:
+                    since = us
+                    taken.append(i)
+            kept = batch.take(pa.array(taken, pa.int64()))
+            yield pa.RecordBatch.from_arrays([kept.column(i) for i in (*places[:-1], at)], names=schema.fieldNames())
+
+    return rows.repartition(*by).sortWithinPartitions(*by, "_us").mapInArrow(run, schema)

@@ -127,6 +127,22 @@ def no_drop_alert(spark, folder):
     )
 
 
+@query(
+    "no_drop_rearm",
+    f"""WITH RECURSIVE {SENSOR}, p AS (SELECT *, coalesce(vc < lag(vc) OVER w, false) AS d FROM sensor WINDOW w AS (PARTITION BY user_id ORDER BY ts, seq)),
+    s AS (SELECT *, sum(CASE WHEN d THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY ts, seq) AS seg FROM p),
+    n AS (SELECT user_id, seg, lead(min(ts)) OVER (PARTITION BY user_id ORDER BY seg) AS seg_until FROM s GROUP BY user_id, seg),
+    g AS (SELECT s.user_id, s.seg, s.ts FROM s JOIN n ON s.user_id = n.user_id AND s.seg = n.seg
+      WHERE NOT d AND (seg_until IS NULL OR seg_until > ts + INTERVAL 6 HOUR)),
+    chain AS (SELECT user_id, seg, min(ts) AS armed FROM g GROUP BY user_id, seg
+      UNION ALL SELECT c.user_id, c.seg, min(g.ts) FROM chain c JOIN g ON c.user_id = g.user_id AND c.seg = g.seg AND g.ts > c.armed + INTERVAL 6 HOUR
+      GROUP BY c.user_id, c.seg, c.armed)
+    SELECT user_id, armed AS run_start, armed + INTERVAL 6 HOUR AS alert_at FROM chain""",
+)
+def no_drop_rearm(spark, folder):
+    return no_drop_alerts(sensor(spark, folder), keys=["user_id"], order=["ts", "seq"], value="vc", hold="6 hours", rearm=True)
+
+
 def _fails():
     return F.col("id") == "error"
 

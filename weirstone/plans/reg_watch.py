@@ -79,6 +79,13 @@ def stream_no_drop(spark, folder):
     return _times(found, run_start="start_us", alert_at="alert_us")
 
 
+@query("stream_no_drop_rearm", SQL["no_drop_rearm"])
+def stream_no_drop_rearm(spark, folder):
+    out = "user_id long, start_us long, alert_us long"
+    found = _watched(spark, folder, NoDropAlert(out, "vc", 6 * HOUR), out, [F.col("vc")])
+    return _times(found, run_start="start_us", alert_at="alert_us")
+
+
 @query(
     "stream_reconcile",
     f"""WITH {SENSOR}, p AS (SELECT user_id, ts FROM sensor WHERE id = 'purchase'), r AS (SELECT user_id, ts FROM sensor WHERE id = 'signup')

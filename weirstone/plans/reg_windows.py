@@ -171,7 +171,7 @@ def sql_hop(spark, folder):
 
 @query("sql_session", session_sql("user_id", 60, "count(id) AS ct"))
 def sql_session(spark, folder):
-    """Sessions by name in SQL: the view splits hot keys, unlike SQL's session_window."""
+    """Sessions by name in SQL. `session_window` brings a key's rows into one task; `session_windows` splits hot keys."""
     as_view(sensor(spark, folder), "sensor_rows")
     return spark.sql(
         "SELECT user_id, w.start AS window_start, w.end AS window_end, ct FROM"

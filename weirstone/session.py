@@ -22,6 +22,8 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER,
     "spark.sql.streaming.multipleWatermarkPolicy": "min",
+    # Rows that watermarks drop are summed over the micro-batches of a run.
+    "spark.sql.streaming.numRecentProgressUpdates": "10000",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
