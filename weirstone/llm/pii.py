@@ -183,25 +183,29 @@ def find(docs: DataFrame, carry: list[str], *, text: str = "text", support: int
     """(row, base, terms) for every document; `row` holds the columns `carry`.
 
     `base` lists direct identifiers (kind, start, end, value), `terms` the spans (start, end) of what discloses them.
-    Texts are told apart by 128 bits, so that each is looked through for terms once, however many copies it has.
+    Texts are told apart by 128 bits, so that one is looked through for its own terms once, however many copies it has.
     """
     body = docs.select(F.struct(*map(col, carry)).alias("row"), col(text).alias("text"), text_mark(col(text)).alias("mark"))
     rows = body.withColumn("base", base_spans(F.col("text"))).withColumn("rid", F.monotonically_increasing_id())
-    marked = saved(rows.withColumn("near", nearby(F.col("text"), F.col("base"))).drop("text"), "identifiers")  # numbers stay what they are once written
+    rows = rows.withColumn("near", nearby(F.col("text"), F.col("base")))
+    # Only texts with identifiers are written, and moved later on.
+    rows = rows.withColumn("body", F.when(F.size("base") > 0, F.col("text"))).drop("text")
+    marked = saved(rows, "identifiers")  # numbers stay what they are once written
     pairs = saved(marked.where(F.size("near") > 0).select("rid", "mark", F.inline("near")), "pairs")
     told = saved(disclosing(pairs, docs, text, threshold), "told")
-    own = pairs.join(told, ["entity", "term"]).select("mark", "term")
-    known = told.where(F.col("contexts") >= support).select("term").distinct()
-    texts = docs.select(text_mark(col(text)).alias("mark"), col(text).alias("text"))
+    chosen = pairs.join(told, ["entity", "term"]).select("mark", "term").distinct().groupBy("mark").agg(F.collect_list("term").alias("chosen"))
+    held = marked.where(F.size("base") > 0).select("mark", "body").dropDuplicates(["mark"]).join(chosen, "mark")
+    spots = held.select("mark", F.inline(F.filter(occurrences(F.col("body"), WORD), lambda w: F.array_contains("chosen", F.lower(w["value"])))))
+    spots = spots.select("mark", "start", "end")
+    known = saved(told.where(F.col("contexts") >= support).select("term").distinct(), "known")
     if not known.isEmpty():
-        own = own.unionByName(texts.select("mark", F.explode(words_of(F.col("text"))).alias("term")).join(known, "term", "left_semi"))
-    chosen = saved(own.distinct().groupBy("mark").agg(F.collect_list("term").alias("chosen")), "terms")
-    spots = texts.join(chosen, "mark").dropDuplicates(["mark"])
-    spots = spots.withColumn("at", F.filter(occurrences(F.col("text"), WORD), lambda w: F.array_contains("chosen", F.lower(w["value"])))).select("mark", "at")
-    found = marked.drop("rid", "near").join(spots, "mark", "left")
+        words = docs.select(text_mark(col(text)).alias("mark"), F.inline(occurrences(col(text), WORD)))
+        words = words.select("mark", "start", "end", F.lower("value").alias("term"))
+        spots = spots.unionByName(words.join(known, "term", "left_semi").drop("term"))
+    placed = spots.distinct().groupBy("mark").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("at"))
+    found = marked.select("row", "mark", "base").join(placed, "mark", "left")
     free = F.filter("at", lambda w: ~F.exists("base", lambda s: (w["start"] < s["end"]) & (w["end"] > s["start"])))
-    terms = F.transform(free, lambda w: F.struct(w["start"].alias("start"), w["end"].alias("end")))
-    return found.select("row", "base", F.coalesce(terms, F.array().cast("array<struct<start:int,end:int>>")).alias("terms"))
+    return found.select("row", "base", F.coalesce(free, F.array().cast("array<struct<start:int,end:int>>")).alias("terms"))
 
 
 def listed(spans: Column) -> Column:
