@@ -90,6 +90,15 @@ def test_a_batch_again_changes_nothing(spark):
     assert got == WANT
 
 
+def test_another_object_goes_on_from_the_same_state(spark, folder):
+    rows, out = sorted(ROWS), []
+    for i, part in enumerate((rows[:400], rows[400:])):
+        job = LateFirings(spark, frame(spark, rows[:1]), keys=["id"], ts="ts", order=["seq"], folds=folds(), write=lambda df, _: out.extend(df.collect()), path=folder, **SIZES)
+        job(frame(spark, part), i)
+    job.flush(spark)
+    assert sorted((r["id"], us(r["window_start"]), r["firing"], r["ct"], r["total"], r["top"]) for r in out) == WANT
+
+
 def test_state_forgets_closed_windows(spark):
     rows = sorted(ROWS)
     job = LateFirings(spark, frame(spark, rows[:1]), keys=["id"], ts="ts", order=["seq"], folds=folds(), write=lambda df, i: df.count(), **SIZES)

@@ -83,6 +83,14 @@ def test_stream(spark, cuts):
     assert kept and min(kept) >= least and len(kept) < len(rows) / 4
 
 
+def test_another_object_goes_on_from_the_same_state(spark, folder):
+    rows, out = arrivals(120), []
+    for i in range(3):
+        job = LeftJoinLog(spark, split, frame(spark, rows[:1]), delay="5 minutes", write=lambda df, _: out.extend(tuple(r) for r in df.collect()), path=folder, **NAMES)
+        job(frame(spark, rows[i * 40 : i * 40 + 40]), i)
+    assert Counter(out) == model(rows)
+
+
 def test_rows_too_old_are_an_error(spark):
     rows = arrivals(60)
     job = LeftJoinLog(spark, split, frame(spark, rows[:1]), delay="1 second", write=lambda df, i: df.count(), **NAMES)

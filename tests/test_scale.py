@@ -131,6 +131,20 @@ def test_streams_do_not_depend_on_files(spark, scattered, monkeypatch, name):
     assert oracle.differences(entry_point.queries()[name](spark, scattered), con, entry_point.oracle_sql()[name]) == []
 
 
+def test_strings_with_a_common_beginning_are_cut(spark):
+    rows = [("hot" if i % 4 else f"k{i % 5}", f"https://example.org/2024-01-{i:06d}", i) for i in range(600)]
+    df = spark.createDataFrame(rows, "id string, at string, vc long").repartition(4)
+    for keys in (["id"], []):
+        cut, blocks = cut_rows(df, keys, "at", Blocks(rows=40))
+        assert blocks is not None and cut.where("_blk >= 0").groupBy("_blk").count().agg(F.max("count")).first()[0] < 80
+        got = running(df, keys=keys, order=["at"], folds={"n": running_count()}, blocks=Blocks(rows=40))
+        seen, want = {}, {}
+        for key, at, _ in rows:
+            own = key if keys else ""
+            want[at] = seen[own] = seen.get(own, 0) + 1
+        assert {r["at"]: r["n"] for r in got.collect()} == want
+
+
 def test_dropped_rows_are_an_error(spark, folder):
     rows = skewed(60)
     late = [rows[40:], rows[:20], [(99, "z", START + timedelta(days=9), 1)], rows[20:40]]

@@ -22,6 +22,7 @@ key like any other; a null in the order column comes first, as Spark sorts it.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
@@ -31,6 +32,7 @@ from pyspark.sql.types import NumericType
 from weirstone.functions.timecols import epoch_micros
 
 BLOCK = "_blk"
+STRINGS = ("string", "varchar", "char")
 
 # Block of every row whose key is not hot.
 WHOLE = -1
@@ -53,8 +55,19 @@ class Blocks:
 DEFAULT_BLOCKS = Blocks()
 
 
-def order_number(df: DataFrame, name: str) -> Column:
-    """A double that never falls as the column grows; null stays null. TypeError for types without such a number."""
+def shared_bytes(df: DataFrame, name: str) -> int:
+    """How many bytes all values of a string column begin with: what the least and the greatest share. 0 for other types."""
+    if df.schema[name].dataType.typeName() not in STRINGS:
+        return 0
+    ends = df.agg(F.min(name), F.max(name)).first()
+    return 0 if ends[0] is None else len(os.path.commonprefix([x.encode() for x in ends]))
+
+
+def order_number(df: DataFrame, name: str, skip: int = 0) -> Column:
+    """A double that never falls as the column grows; null stays null. TypeError for types without such a number.
+
+    Of strings the six bytes after the first `skip`, which all have to share.
+    """
     kind = df.schema[name].dataType
     if kind.typeName() in ("timestamp", "timestamp_ntz"):
         return epoch_micros(name).cast("double")
@@ -64,9 +77,9 @@ def order_number(df: DataFrame, name: str) -> Column:
         return F.col(name).cast("double")
     if kind.typeName() == "boolean":
         return F.col(name).cast("int").cast("double")
-    if kind.typeName() in ("string", "varchar", "char"):
-        # The first six bytes, as Spark compares strings by their bytes.
-        head = F.hex(F.substring(F.col(name).cast("binary"), 1, 6))
+    if kind.typeName() in STRINGS:
+        # Spark compares strings by their bytes.
+        head = F.hex(F.substring(F.col(name).cast("binary"), skip + 1, 6))
         return F.conv(F.rpad(head, 12, "0"), 16, 10).cast("double")
     raise TypeError(f"rows can't be ordered by {name}: {kind.simpleString()}")
 
@@ -117,8 +130,9 @@ def cut_rows(
     if blocks is None or BLOCK in df.columns:
         return df, blocks
     keys = list(keys)
-    x = order_number(df, order)
+    x = order_number(df, order)  # also tells a type that cannot be cut, hot keys or not
     if not keys:
+        x = order_number(df, order, shared_bytes(df, order))
         n, bounds = df.agg(F.count(F.lit(1)), _quantiles(x)).first()
         if n <= blocks.rows:
             return df, None
@@ -129,6 +143,7 @@ def cut_rows(
     first = hot.limit(LISTED + 1).collect()
     if not first:
         return df, None
+    x = order_number(df, order, shared_bytes(df, order))
     if len(first) <= LISTED:
         hot = df.sparkSession.createDataFrame(first, hot.schema)
     return _stepped(_with_bounds(df, keys, hot, x), x, blocks), blocks

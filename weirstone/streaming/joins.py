@@ -19,20 +19,22 @@ class LeftJoinLog:
     are the rows of the last `keep` of event time, and of a left row whether it still stands
     padded; a batch joins its own rows with those in time buckets, so no key is loaded whole.
     Rows may come `delay` behind the latest event time of earlier batches; older ones raise
-    RowsDropped, as what they should meet may be gone.
+    RowsDropped, as what they should meet may be gone. State lies below `path`, which a query
+    that goes on from a checkpoint has to name again.
     """
 
     def __init__(
         self, spark: SparkSession, split: Callable[[DataFrame], tuple[DataFrame, DataFrame]], sample: DataFrame, *, keys: Sequence[str], left_id: str,
         right_id: str, left_ts: str, right_ts: str, keep: str, delay: str, write: Callable[[DataFrame, int], None],
+        path: str | None = None,
     ) -> None:
         self.split, self.keys, self.keep, self.write = split, list(keys), keep, write
         self.left, self.right = (left_id, left_ts), (right_id, right_ts)
         self.keep_us, self.delay_us = micros_of(keep), micros_of(delay)
         left, right = split(spark.createDataFrame([], sample.schema))
-        self.lefts = Versions(spark, left.select(*self.keys, *self.left).withColumn("_padded", F.lit(True)).schema)
-        self.rights = Versions(spark, right.select(*self.keys, *self.right).schema)
-        self.seen = Versions(spark, "seen long")
+        self.lefts = Versions(spark, left.select(*self.keys, *self.left).withColumn("_padded", F.lit(True)).schema, path and f"{path}/left")
+        self.rights = Versions(spark, right.select(*self.keys, *self.right).schema, path and f"{path}/right")
+        self.seen = Versions(spark, "seen long", path and f"{path}/seen")
 
     def _pairs(self, left: DataFrame, right: DataFrame) -> DataFrame:
         return interval_join(

@@ -94,19 +94,19 @@ class LateFirings:
 
     The watermark follows single rows in their order of arrival, as `late_firings` has it, so
     the firings do not depend on how the rows are cut into micro-batches. Kept between
-    them are the largest event time and the totals of the windows that may still change.
-    `flush` fires what is left at the end of a bounded input.
+    them are the largest event time and the totals of the windows that may still change, below
+    `path`, which a query that goes on from a checkpoint has to name again. `flush` fires what is left at the end of a bounded input.
     """
 
     def __init__(
         self, spark: SparkSession, sample: DataFrame, *, keys: Sequence[str], ts: str, order: Sequence[str], size: str, delay: str, lateness: str,
-        folds: dict[str, Fold], write: Sink,
+        folds: dict[str, Fold], write: Sink, path: str | None = None,
     ) -> None:
         self.keys, self.ts, self.order, self.folds, self.write = list(keys), ts, list(order), folds, write
         self.size, self.delay, self.lateness = micros_of(size), micros_of(delay), micros_of(lateness)
         empty = window_totals(spark.createDataFrame([], sample.schema).withColumn(START, F.lit(0).cast("long")), keys=self.keys, order=order, folds=folds)
-        self.held = Versions(spark, empty.withColumns({LATE: F.lit(0).cast("long"), "_fired": F.lit(False)}).schema)
-        self.seen = Versions(spark, "seen long")
+        self.held = Versions(spark, empty.withColumns({LATE: F.lit(0).cast("long"), "_fired": F.lit(False)}).schema, path and f"{path}/held")
+        self.seen = Versions(spark, "seen long", path and f"{path}/seen")
 
     def _merged(self, parts: DataFrame) -> DataFrame:
         """Totals of the same window brought together; rows in time come before the late ones."""
