@@ -84,3 +84,30 @@ def test_empty(spark):
     assert M.plan(frame(spark, [])).count() == 0 and M.mixed(frame(spark, [])).count() == 0
     none = frame(spark, [(1, None, None, None, None), (2, "", "en", "a", 0)])
     assert {r["copies"] * r["size"] for r in M.plan(none).collect()} == {0}
+
+
+def low_quality(n=30_000):
+    """A source with nine texts of ten of the least quality."""
+    return [(i, f"w{i} " + ("word " * (i % 7 + 1) if i % 10 == 0 else "#$% " * (i % 7 + 1)), "en", "hot" if i % 3 else "b", 1) for i in range(n)]
+
+
+def test_the_last_cell_is_small_whatever_the_quality(spark):
+    docs = frame(spark, low_quality())
+    slim = M.saved(M.sized(docs, "doc_id", "text", "source", None), "sizes")
+    for share in (0.1, 0.9, 0.999):
+        sums = slim.groupBy(F.col("source").alias("name")).agg(F.count("*").alias("n"), (F.sum("size") * share).alias("budget"))
+        cells = M.narrowed(slim, sums, 100).collect()
+        assert len(cells) == 2
+        for r in cells:
+            own = slim.where((F.col("source") == r["name"]))
+            assert r["rows"] == own.where(F.col("spread").between(r["lo"], r["hi"])).count() <= 400
+            assert r["before"] == (own.where(F.col("spread") < r["lo"]).agg(F.sum("size")).first()[0] or 0)
+            upto = own.where(F.col("spread") <= r["hi"]).agg(F.sum("size")).first()[0]
+            assert r["before"] < r["budget"] <= upto
+
+
+def test_one_key_of_many_rows(spark):
+    """Rows equal in id and text share a key; their cell cannot be cut."""
+    rows = [(1, "a b c", "en", "s", 1)] * 300 + [(2, "d e", "en", "s", 1)]
+    got = M.plan(frame(spark, rows), cell_rows=5).collect()
+    assert len(got) == 301 and abs(sum(r["copies"] * r["size"] for r in got) - 1.5 * 902) <= 1.5

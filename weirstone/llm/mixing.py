@@ -11,9 +11,10 @@ in the order of their keys up to the token budget. The document that crosses the
 is taken if that ends nearer to it, so a source misses its target by half a document at
 most, and none is taken more than `most` times.
 
-The keys of a source are cut into cells of about CELL_ROWS rows; the sums of the cells say
-in which one the budget ends, and only that cell is sorted. A source of any size is thus
-summed in parallel, and its rows are never brought together.
+The keys of a source are cut into at most CELLS cells; the sums of the cells say in which one
+the budget ends. While that cell holds more than 4 x CELL_ROWS rows it is cut again between
+its own least and largest key, whatever the quality weights, and only the last one is sorted.
+A source of any size is thus summed in parallel, and its rows are never brought together.
 
 Defined cases: a null or empty text has size 0 and is taken 0 words; null sources are one
 source; a null id takes part; a null or non-positive quality counts as the least. Ties of
@@ -32,6 +33,7 @@ WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 MOST = 2
 CELL_ROWS = 2_000
+CELLS = 4_096
 LEAST_QUALITY = 0.1
 WORD = r"[^\x20\x09-\x0D]+"
 JUNK = "#$%&*<=>[\\]^_{|}~"
@@ -56,11 +58,15 @@ def uniform(doc_id: Column, text: Column) -> Column:
 
 
 def sized(docs: DataFrame, doc_id: str, text: str, source: str, quality: Column | None) -> DataFrame:
-    """(doc_id, source, size, key, spread): `spread` orders as `key` does, within [0, 1)."""
+    """(doc_id, source, size, key, spread): `spread` orders as `key` does, within [0, 1].
+
+    Every step of 1 - 1 / (1 + key) is monotone in doubles, and for qualities from 0.1 to 1
+    no stretch of it is more than six times as full as the others.
+    """
     q = text_quality(col(text)) if quality is None else F.when(quality > 0, quality.cast("double")).otherwise(F.lit(LEAST_QUALITY))
     key = -F.log(uniform(col(doc_id), col(text))) / q
     slim = docs.select(col(doc_id).alias("doc_id"), col(source).alias("source"), size_of(col(text)).alias("size"), key.alias("key"))
-    return slim.withColumn("spread", F.least(F.lit(1.0) - F.exp(-F.col("key")), F.lit(1.0 - 2**-40)))
+    return slim.withColumn("spread", F.lit(1.0) - F.lit(1.0) / (F.lit(1.0) + F.col("key")))
 
 
 def numbered(names: DataFrame) -> DataFrame:
@@ -95,6 +101,29 @@ def targets(sources: DataFrame, share: float, most: int, weights: tuple[int, ...
     return table.withColumn("target", F.least(limit, F.lit(rate or 0.0) * F.col("weight"))).drop("weight")
 
 
+def narrowed(slim: DataFrame, goals: DataFrame, cell_rows: int) -> DataFrame:
+    """`goals` with the cell of `spread` in which the budget of a source ends: `lo` and `hi`, its `rows`, and the size `before` it."""
+    cell_of = ["lo", "hi", "rows", "before"]
+    goals = goals.withColumns({"lo": F.lit(0.0), "hi": F.lit(1.0), "rows": F.col("n"), "before": F.lit(0).cast("long")}).drop("n")
+    most = 4 * cell_rows
+    while True:
+        cells = F.when(F.col("rows") > most // 2, F.least(F.ceil(2 * F.col("rows") / cell_rows), F.lit(CELLS).cast("long"))).otherwise(F.lit(1).cast("long"))
+        part = F.floor((F.col("spread") - F.col("lo")) / (F.col("hi") - F.col("lo")) * cells)
+        inside = slim.join(goals, F.col("source").eqNullSafe(F.col("name"))).where("spread BETWEEN lo AND hi")
+        inside = inside.withColumn("cell", F.when(F.col("hi") > F.col("lo"), F.least(part, cells - 1)).otherwise(F.lit(0).cast("long")))
+        sums = inside.groupBy("name", "cell", "budget", "before").agg(
+            F.sum("size").alias("held"), F.count("*").alias("rows"), F.min("spread").alias("lo"), F.max("spread").alias("hi")
+        )
+        upto = F.col("before") + F.sum("held").over(Window.partitionBy("name").orderBy("cell"))
+        # The first cell whose running sum reaches the budget, and what lies before it.
+        reached = sums.withColumn("upto", upto).where("upto >= budget").withColumn("before", F.col("upto") - F.col("held"))
+        ends = reached.groupBy(F.col("name").alias("ending")).agg(F.min(F.struct("cell", *cell_of)).alias("end")).select("ending", *[f"end.{c}" for c in cell_of])
+        goals = saved(goals.drop(*cell_of).join(ends, F.col("name").eqNullSafe(F.col("ending")), "left").drop("ending"), "goals")
+        # A cell of one key alone cannot be cut; any other loses rows with every pass.
+        if (goals.where("hi > lo").agg(F.max("rows")).first()[0] or 0) <= most:
+            return goals
+
+
 def plan(
     docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", source: str = "source", quality: Column | None = None,
     share: float = SHARE, most: int = MOST, weights: tuple[int, ...] = WEIGHTS, cell_rows: int = CELL_ROWS,
@@ -103,27 +132,16 @@ def plan(
     slim = saved(sized(docs, doc_id, text, source, quality), "sizes")
     per_source = targets(slim.groupBy("source").agg(F.count("*").alias("n"), F.sum("size").alias("source_size")), share, most, weights)
     epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0))
-    goals = saved(
-        per_source.withColumn("epochs", epochs.cast("long"))
-        .withColumn("budget", F.col("target") - F.col("epochs") * F.col("source_size"))
-        .withColumn("cells", F.ceil(F.col("n") / cell_rows)).withColumnRenamed("source", "name").drop("n"),
-        "goals",
-    )
-    joined = slim.join(goals, F.col("source").eqNullSafe(F.col("name"))).withColumn("cell", F.floor(F.col("spread") * F.col("cells")))
-    sums = joined.groupBy("name", "cell", "budget").agg(F.sum("size").alias("held"))
-    upto = F.sum("held").over(Window.partitionBy("name").orderBy("cell"))
-    # The first cell whose running sum reaches the budget, and what lies before it.
-    ends = sums.withColumn("upto", upto).where("upto >= budget").groupBy("name").agg(F.min(F.struct("cell", (F.col("upto") - F.col("held")).alias("before"))).alias("end"))
-    ends = ends.select(F.col("name").alias("ending"), "end.cell", "end.before").withColumnRenamed("cell", "last_cell")
-    goals = saved(goals.join(ends, F.col("name").eqNullSafe(F.col("ending")), "left").drop("ending"), "goals")
-    placed = slim.join(goals, F.col("source").eqNullSafe(F.col("name"))).withColumn("cell", F.floor(F.col("spread") * F.col("cells")))
-    inner = F.col("cell") == F.coalesce(F.col("last_cell"), F.lit(-1))
+    goals = per_source.withColumn("epochs", epochs.cast("long")).withColumn("budget", F.col("target") - F.col("epochs") * F.col("source_size"))
+    goals = narrowed(slim, goals.withColumnRenamed("source", "name"), cell_rows)
+    placed = slim.join(goals, F.col("source").eqNullSafe(F.col("name")))
+    inner = F.coalesce(F.col("spread").between(F.col("lo"), F.col("hi")), F.lit(False))
     running = F.col("before") + F.sum("size").over(Window.partitionBy("source").orderBy("key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0))
     # Taken if at least half of the document fits: then taking it ends nearer to the budget.
     fits = (F.col("upto") - F.col("size") / 2) <= F.col("budget")
     edge = placed.where(inner).withColumn("upto", running)
     edge = edge.withColumn("extra", (fits & (F.col("upto") - F.col("size") < F.col("budget"))).cast("long")).drop("upto")
-    whole = placed.where(~inner).withColumn("extra", F.coalesce(F.col("cell") < F.col("last_cell"), F.lit(False)).cast("long"))
+    whole = placed.where(~inner).withColumn("extra", F.coalesce(F.col("spread") < F.col("lo"), F.lit(False)).cast("long"))
     return edge.unionByName(whole).select("doc_id", "source", "key", "size", "source_size", "target", (F.col("epochs") + F.col("extra")).alias("copies"))
 
 
