@@ -37,7 +37,7 @@ STRINGS = ("string", "varchar", "char")
 # Block of every row whose key is not hot.
 WHOLE = -1
 
-# Quantiles of a hot key; each cell between two is cut evenly.
+# Quantiles of a hot key, a power of two; each cell between two is cut evenly.
 CELLS = 64
 ACCURACY = 1000
 # Hot keys up to this number become a local table instead of a second pass over the counts.
@@ -106,17 +106,29 @@ def _with_bounds(df: DataFrame, keys: list[str], hot: DataFrame, x: Column) -> D
 
 
 def _stepped(df: DataFrame, x: Column, blocks: Blocks) -> DataFrame:
-    """Add the block number: a non-decreasing step function of `x`, from 0 for null."""
-    bounds, last = F.col("_bounds"), CELLS - 1
+    """Add the block number: a non-decreasing step function of `x`, from 0 for null.
+
+    One expression in which `x` is found once and its cell by halving, both bound by a lambda:
+    Spark puts it into filters and totals too, where columns used twice would be found anew.
+    """
+    bounds = F.col("_bounds")
     pieces = F.least(F.ceil(F.col("_n") / blocks.rows), F.lit(blocks.limit))
-    parts = F.greatest(F.ceil(pieces / CELLS), F.lit(1))
-    cell = F.coalesce(F.size(F.filter(F.slice(bounds, 2, last), lambda b: b <= x)), F.lit(0))
-    low, high = F.element_at(bounds, cell + 1), F.element_at(bounds, cell + 2)
-    wide = (high > low) & (high < float("inf")) & (low > float("-inf"))
-    inside = F.when(F.isnan(x), parts - 1).when(wide, F.floor((x - low) / (high - low) * parts))
-    inside = F.least(F.greatest(F.coalesce(inside, F.lit(0)), F.lit(0)), parts - 1)
-    block = F.when(F.col("_n").isNull(), F.lit(WHOLE)).when(x.isNull(), F.lit(0)).otherwise(1 + cell * parts + inside)
-    return df.withColumn(BLOCK, block.cast("long")).drop("_n", "_bounds")
+    parts = F.greatest(F.ceil(pieces / CELLS), F.lit(1)).cast("long")
+    halves = F.array(*[F.lit(1 << i) for i in reversed(range(CELLS.bit_length() - 1))])
+
+    def placed(v: Column, cell: Column) -> Column:
+        low, high = F.get(bounds, cell), F.get(bounds, cell + 1)
+        wide = (high > low) & (high < float("inf")) & (low > float("-inf"))
+        inside = F.when(F.isnan(v), parts - 1).when(wide, F.floor((v - low) / (high - low) * parts))
+        inside = F.least(F.greatest(F.coalesce(inside, F.lit(0)), F.lit(0)), parts - 1)
+        return F.when(v.isNull(), F.lit(0).cast("long")).otherwise(1 + cell * parts + inside)
+
+    def block(v: Column) -> Column:
+        # The last bound within the cells that is not above v.
+        return F.aggregate(halves, F.lit(0), lambda c, step: F.when(F.get(bounds, c + step) <= v, c + step).otherwise(c), lambda c: placed(v, c))
+
+    found = F.get(F.transform(F.array(x), block), F.lit(0))
+    return df.withColumn(BLOCK, F.when(F.col("_n").isNull(), F.lit(WHOLE)).otherwise(found).cast("long")).drop("_n", "_bounds")
 
 
 def cut_rows(
