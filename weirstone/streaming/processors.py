@@ -10,6 +10,7 @@ key is a value, a short list or a map; a micro-batch's size is set by the source
 
 from __future__ import annotations
 
+import pickle
 import sys
 from collections import deque
 from collections.abc import Callable, Iterator, Sequence
@@ -26,6 +27,9 @@ from weirstone.schemas import struct
 for _module in (sys.modules[__name__], schemas):
     cloudpickle.register_pickle_by_value(_module)
 
+# Rows of a key in one entry of a buffer.
+PACKED = 10_000
+
 
 def stateful(
     df: DataFrame,
@@ -78,53 +82,101 @@ class ArrivalOrdered(StatefulProcessor):
 
 
 class EventOrdered(ArrivalOrdered):
-    """Base: rows buffered by key and stepped in (event time, arrival) order at the watermark."""
+    """Base: rows buffered by key and stepped in (event time, arrival) order at the watermark.
+
+    `load` and `save` run once per key and firing, so steps work on plain values. A key has
+    one timer at a time, for the first waiting row or what `due` tells, whichever is earlier:
+    the buffer is read once per firing however many rows and waits a key has. The buffer holds
+    rows packed by PACKED, as state of a row each costs more than the steps.
+    """
 
     def __init__(self, out: str, buffered: str) -> None:
         super().__init__(out)
         self.fields = struct("_us long, _seq long, " + buffered)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.buffer = handle.getListState("buffer", self.fields)
+        self.buffer = handle.getListState("buffer", struct("rows binary"))
+        self.timer = handle.getValueState("timer", struct("ms long"))
         super().init(handle)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         names = self.fields.fieldNames()
         fresh = [tuple(row[n] for n in names) for row in rows]
         if fresh:
-            self.buffer.appendList(fresh)
-            self.wake_at(min(r[0] for r in fresh))
+            self.buffer.appendList(packed(fresh))
+            at, held = to_millis(min(r[0] for r in fresh)), self.timer.get()
+            if held is None or at < held[0]:
+                if held is not None:
+                    self.handle.deleteTimer(held[0])
+                self.set_timer(at)
         return iter(())
 
-    def wake_at(self, us: int) -> None:
-        self.handle.registerTimer(-(-us // 1000))
+    def set_timer(self, ms: int) -> None:
+        self.handle.registerTimer(ms)
+        self.timer.update((ms,))
 
-    def take_ready(self, upto: int) -> list[tuple]:
-        """Remove and return the rows up to a time, in order; wake again for the rest."""
-        held = [tuple(r) for r in self.buffer.get()]
+    def take_ready(self, upto: int) -> tuple[list[tuple], int | None]:
+        """Remove and return the rows up to a time, in order; and the time of the first that stays."""
+        held = [r for (some,) in self.buffer.get() for r in pickle.loads(some)]
         ready = sorted((r for r in held if r[0] <= upto), key=lambda r: r[:2])
         waiting = [r for r in held if r[0] > upto]
         if ready and waiting:
-            self.buffer.put(waiting)
+            self.buffer.put(packed(waiting))
         elif ready:
             self.buffer.clear()
-        if waiting:
-            self.wake_at(min(r[0] for r in waiting))
-        return ready
+        return ready, min((r[0] for r in waiting), default=None)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         upto = timerValues.getCurrentWatermarkInMs() * 1000
-        names = self.fields.fieldNames()
-        for values in self.take_ready(upto):
-            row = Row(**dict(zip(names, values)))
-            yield from self.expire(key, row["_us"])
-            yield from self.step(key, row)
+        ready, waiting = self.take_ready(upto)
+        self.load()
+        yield from self.fire(key, ready, upto)
+        self.save()
+        wakes = [us for us in (waiting, self.due()) if us is not None]
+        if wakes:
+            self.set_timer(to_millis(min(wakes)))
+        else:
+            self.timer.clear()
+
+    def fire(self, key: tuple, ready: list[tuple], upto: int) -> Iterator[Row]:
+        make = Row(*self.fields.fieldNames())
+        for values in ready:
+            yield from self.expire(key, values[0])
+            yield from self.step(key, make(*values))
         yield from self.expire(key, upto)
 
     def expire(self, key: tuple, upto: int) -> Iterator[Row]:
         """Close what ended before `upto`, ahead of the next row."""
         return iter(())
 
+    def due(self) -> int | None:
+        """When, in microseconds and later than the last `expire`, the next one has something to close."""
+        return None
+
+
+def packed(rows: list[tuple]) -> list[tuple[bytes]]:
+    return [(pickle.dumps(rows[i : i + PACKED]),) for i in range(0, len(rows), PACKED)]
+
+
+def to_millis(us: int) -> int:
+    """The first millisecond that is not before a time."""
+    return -(-us // 1000)
+
+
+def put_value(state, value: tuple | None) -> None:
+    """Write a value state, None clearing it."""
+    if value is None:
+        state.clear()
+    else:
+        state.update(value)
+
+
+def put_list(state, values: list[tuple]) -> None:
+    if values:
+        state.put(values)
+    else:
+        state.clear()
+
 
 class Reduce(ArrivalOrdered):
     """(accumulated, row) -> accumulated, emitted at each row. First row starts it."""
@@ -285,8 +337,8 @@ class ControlSwitch(ArrivalOrdered):
 class DailyLimit(ArrivalOrdered):
     """Pass the first `limit` - 1 rows of a key per local day, alert once, drop the rest.
 
-    Yields (key, _seq, tag). The key's counter is cleared by an event-time timer at
-    the end of the local day.
+    Yields (key, _seq, tag). The key's counters of past days are cleared by an event-time
+    timer at the end of the earliest local day; a key has one timer at a time.
     """
 
     DAY = 86_400_000
@@ -296,33 +348,36 @@ class DailyLimit(ArrivalOrdered):
         self.limit, self.offset = limit, offset_hours * 3_600_000
 
     def setup(self, handle) -> None:
-        self.counts = handle.getMapState("counts", struct("day long"), struct("n long"))
+        self.counts = handle.getListState("counts", struct("day long, n long"))
 
     def load(self) -> None:
-        self.today: dict[int, int] = {}
+        self.days = {day: n for day, n in self.counts.get()}
+        self.watched = min(self.days, default=None)
+
+    def end_of(self, day: int) -> int:
+        return (day + 1) * self.DAY - self.offset
 
     def save(self) -> None:
-        for day, n in self.today.items():
-            self.counts.updateValue((day,), (n,))
+        put_list(self.counts, list(self.days.items()))
+        first = min(self.days, default=None)
+        if first is not None and first != self.watched:
+            if self.watched is not None and first < self.watched:
+                self.handle.deleteTimer(self.end_of(self.watched))
+            self.handle.registerTimer(self.end_of(first))
 
     def step(self, key, row) -> Iterator[Row]:
         day = (row["_us"] // 1000 + self.offset) // self.DAY
-        if day not in self.today:
-            held = self.counts.getValue((day,))
-            if held is None:
-                self.handle.registerTimer((day + 1) * self.DAY - self.offset)
-            self.today[day] = held[0] if held else 0
-        n = self.today[day] = self.today[day] + 1
+        n = self.days[day] = self.days.get(day, 0) + 1
         if n < self.limit:
             yield self.row(*key, row["_seq"], "pass")
         elif n == self.limit:
             yield self.row(*key, row["_seq"], "alert")
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        over = (expiredTimerInfo.getExpiryTimeInMs() + self.offset) // self.DAY
-        for (day,) in list(self.counts.keys()):
-            if day < over:
-                self.counts.removeKey((day,))
+        self.load()
+        now = timerValues.getCurrentWatermarkInMs()
+        self.days = {day: n for day, n in self.days.items() if self.end_of(day) > now}
+        self.save()
         return iter(())
 
 
@@ -363,28 +418,35 @@ class NoDropAlert(EventOrdered):
         self.value, self.hold, self.strict, self.rearm = value, hold_us, strict, rearm
 
     def setup(self, handle) -> None:
-        self.last = handle.getValueState("last", struct("v long"))
-        self.since = handle.getValueState("since", struct("us long, fired boolean"))
+        self.state = handle.getValueState("run", struct("seen boolean, v long, us long, fired boolean"))
+
+    def load(self) -> None:
+        # Whether there was a row, its value, start of the run if one is on, whether it has alerted.
+        self.seen, self.last, self.since, self.fired = tuple(self.state.get() or (False, None, None, False))
+
+    def save(self) -> None:
+        self.state.update((self.seen, self.last, self.since, self.fired))
 
     def step(self, key, row) -> Iterator[Row]:
-        held, value = self.last.get(), row[self.value]
-        self.last.update((value,))
-        fell = held is not None and (value <= held[0] if self.strict else value < held[0])
+        value = row[self.value]
+        fell = self.seen and (value <= self.last if self.strict else value < self.last)
+        self.seen, self.last = True, value
         if fell:
-            self.since.clear()
-        elif self.since.get() is None:
-            self.since.update((row["_us"], False))
-            self.wake_at(row["_us"] + self.hold + 1)
+            self.since, self.fired = None, False
+        elif self.since is None:
+            self.since, self.fired = row["_us"], False
         return iter(())
 
     def expire(self, key, upto) -> Iterator[Row]:
-        held = self.since.get()
-        if held is not None and not held[1] and held[0] + self.hold < upto:
-            yield self.row(*key, held[0], held[0] + self.hold)
+        if self.since is not None and not self.fired and self.since + self.hold < upto:
+            yield self.row(*key, self.since, self.since + self.hold)
             if self.rearm:
-                self.since.clear()
+                self.since = None
             else:
-                self.since.update((held[0], True))
+                self.fired = True
+
+    def due(self) -> int | None:
+        return self.since + self.hold + 1 if self.since is not None and not self.fired else None
 
 
 class StrictRepeat(EventOrdered):
@@ -395,16 +457,21 @@ class StrictRepeat(EventOrdered):
         self.times, self.within = times, within_us
 
     def setup(self, handle) -> None:
-        self.chain = handle.getListState("chain", struct("us long"))
+        self.state = handle.getListState("chain", struct("us long"))
+
+    def load(self) -> None:
+        self.chain = deque((t[0] for t in self.state.get()), maxlen=self.times)
+
+    def save(self) -> None:
+        put_list(self.state, [(us,) for us in self.chain])
 
     def step(self, key, row) -> Iterator[Row]:
         if not row["hit"]:
             self.chain.clear()
             return
-        chain = ([t[0] for t in self.chain.get()] + [row["_us"]])[-self.times :]
-        self.chain.put([(us,) for us in chain])
-        if len(chain) == self.times and chain[-1] - chain[0] < self.within:
-            yield self.row(*key, chain[0], chain[-1])
+        self.chain.append(row["_us"])
+        if len(self.chain) == self.times and self.chain[-1] - self.chain[0] < self.within:
+            yield self.row(*key, self.chain[0], self.chain[-1])
 
 
 class FollowedBy(EventOrdered):
@@ -415,29 +482,31 @@ class FollowedBy(EventOrdered):
         self.within = within_us
 
     def setup(self, handle) -> None:
-        self.open = handle.getListState("open", struct("us long"))
+        self.state = handle.getListState("open", struct("us long"))
+
+    def load(self) -> None:
+        # In order of time, as rows are stepped in it.
+        self.open = deque(t[0] for t in self.state.get())
+
+    def save(self) -> None:
+        put_list(self.state, [(us,) for us in self.open])
 
     def step(self, key, row) -> Iterator[Row]:
         if row["ends"]:
-            for (us,) in list(self.open.get()):
+            for us in self.open:
                 yield self.row(*key, us, row["_us"], "matched")
             self.open.clear()
         if row["starts"]:
-            self.open.appendValue((row["_us"],))
-            self.wake_at(row["_us"] + self.within)
+            self.open.append(row["_us"])
 
     def expire(self, key, upto) -> Iterator[Row]:
-        held = [t[0] for t in self.open.get()]
-        over = [us for us in held if us + self.within <= upto]
-        if over:
-            rest = [(us,) for us in held if us + self.within > upto]
-            if rest:
-                self.open.put(rest)
-            else:
-                self.open.clear()
-        for us in over:
+        while self.open and self.open[0] + self.within <= upto:
+            us = self.open.popleft()
             yield self.row(*key, us, us + self.within, "timeout")
 
+    def due(self) -> int | None:
+        return self.open[0] + self.within if self.open else None
+
 
 class PayMonitor(EventOrdered):
     """Paid / paid without create / not paid: (key, create_us, other_us, tag)."""
@@ -447,25 +516,31 @@ class PayMonitor(EventOrdered):
         self.within = within_us
 
     def setup(self, handle) -> None:
-        self.open = handle.getValueState("open", struct("us long"))
+        self.state = handle.getValueState("open", struct("us long"))
+
+    def load(self) -> None:
+        held = self.state.get()
+        self.open = held[0] if held else None
+
+    def save(self) -> None:
+        put_value(self.state, None if self.open is None else (self.open,))
 
     def step(self, key, row) -> Iterator[Row]:
         if row["creates"]:
-            self.open.update((row["_us"],))
-            self.wake_at(row["_us"] + self.within + 1)
-            return
-        held = self.open.get()
-        if held is None:
+            self.open = row["_us"]
+        elif self.open is None:
             yield self.row(*key, None, row["_us"], "no_create")
         else:
-            yield self.row(*key, held[0], row["_us"], "paid")
-            self.open.clear()
+            yield self.row(*key, self.open, row["_us"], "paid")
+            self.open = None
 
     def expire(self, key, upto) -> Iterator[Row]:
-        held = self.open.get()
-        if held is not None and held[0] + self.within < upto:
-            yield self.row(*key, held[0], held[0] + self.within, "no_pay")
-            self.open.clear()
+        if self.open is not None and self.open + self.within < upto:
+            yield self.row(*key, self.open, self.open + self.within, "no_pay")
+            self.open = None
+
+    def due(self) -> int | None:
+        return None if self.open is None else self.open + self.within + 1
 
 
 class FailWindow(EventOrdered):
@@ -480,29 +555,38 @@ class FailWindow(EventOrdered):
         self.within, self.at_least = within_us, at_least
 
     def setup(self, handle) -> None:
-        self.window = handle.getValueState("window", struct("first long, last long, n long, done boolean"))
+        self.state = handle.getValueState("window", struct("first long, last long, n long, done boolean"))
+
+    def load(self) -> None:
+        held = self.state.get()
+        self.window = tuple(held) if held else None
+
+    def save(self) -> None:
+        put_value(self.state, self.window)
 
     def _report(self, key, held) -> Iterator[Row]:
         if not held[3] and held[2] >= self.at_least:
             yield self.row(*key, held[0], held[1], held[2])
 
     def step(self, key, row) -> Iterator[Row]:
-        held = self.window.get()
+        held = self.window
         if not row["fail"]:
             if held is not None:
                 yield from self._report(key, held)
-                self.window.clear()
+                self.window = None
         elif held is None:
-            self.window.update((row["_us"], row["_us"], 1, False))
-            self.wake_at(row["_us"] + self.within + 1)
+            self.window = (row["_us"], row["_us"], 1, False)
         elif not held[3]:
-            self.window.update((held[0], row["_us"], held[2] + 1, False))
+            self.window = (held[0], row["_us"], held[2] + 1, False)
 
     def expire(self, key, upto) -> Iterator[Row]:
-        held = self.window.get()
+        held = self.window
         if held is not None and not held[3] and held[0] + self.within < upto:
             yield from self._report(key, held)
-            self.window.update((held[0], held[1], held[2], True))
+            self.window = (held[0], held[1], held[2], True)
+
+    def due(self) -> int | None:
+        return None if self.window is None or self.window[3] else self.window[0] + self.within + 1
 
 
 class Reconcile(EventOrdered):
@@ -519,44 +603,43 @@ class Reconcile(EventOrdered):
 
     def setup(self, handle) -> None:
         one = struct("us long, matched boolean")
-        self.sides = {"left": handle.getListState("left", one), "right": handle.getListState("right", one)}
+        self.states = {"left": handle.getListState("left", one), "right": handle.getListState("right", one)}
+
+    def load(self) -> None:
+        # [time, matched] in order of time, as rows are stepped in it.
+        self.sides = {side: deque([us, m] for us, m in state.get()) for side, state in self.states.items()}
+
+    def save(self) -> None:
+        for side, state in self.states.items():
+            put_list(state, [tuple(t) for t in self.sides[side]])
 
     def _gap_ok(self, left: int, right: int) -> bool:
         return self.lower <= right - left <= self.upper
 
     def step(self, key, row) -> Iterator[Row]:
         mine, other = row["side"], "right" if row["side"] == "left" else "left"
-        us, found, others = row["_us"], False, []
-        for at, matched in list(self.sides[other].get()):
-            left, right = (us, at) if mine == "left" else (at, us)
-            hit = self._gap_ok(left, right)
-            if hit:
-                found = True
+        us, found = row["_us"], False
+        for held in self.sides[other]:
+            left, right = (us, held[0]) if mine == "left" else (held[0], us)
+            if self._gap_ok(left, right):
+                found = held[1] = True
                 yield self.row(*key, left, right, "matched")
-            others.append((at, matched or hit))
-        if found:
-            self.sides[other].put(others)
-        self.sides[mine].appendValue((us, found))
-        self.wake_at(us + max(self._wait(mine), 0) + 1)
+        self.sides[mine].append([us, found])
 
     def _wait(self, side: str) -> int:
         return self.upper if side == "left" else -self.lower
 
     def expire(self, key, upto) -> Iterator[Row]:
-        for side, state in self.sides.items():
-            held = [tuple(t) for t in state.get()]
-            rest = [(us, m) for us, m in held if us + self._wait(side) >= upto]
-            if len(rest) == len(held):
-                continue
-            if rest:
-                state.put(rest)
-            else:
-                state.clear()
-            for us, matched in held:
-                if us + self._wait(side) < upto and not matched:
+        for side, held in self.sides.items():
+            while held and held[0][0] + self._wait(side) < upto:
+                us, matched = held.popleft()
+                if not matched:
                     pair = (us, None, "no_right") if side == "left" else (None, us, "no_left")
                     yield self.row(*key, *pair)
 
+    def due(self) -> int | None:
+        return min((held[0][0] + self._wait(side) + 1 for side, held in self.sides.items() if held), default=None)
+
 
 class RangeCount(EventOrdered):
     """Event-time OVER count per key, rows of equal time being peers: (key, _seq, ct)."""
@@ -565,20 +648,21 @@ class RangeCount(EventOrdered):
         super().__init__(out, "payload long")
 
     def setup(self, handle) -> None:
-        self.count = handle.getValueState("count", struct("n long"))
+        self.state = handle.getValueState("count", struct("n long"))
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        ready = self.take_ready(timerValues.getCurrentWatermarkInMs() * 1000)
-        if not ready:
-            return
-        state = self.count.get()
-        n = state[0] if state else 0
+    def load(self) -> None:
+        held = self.state.get()
+        self.count = held[0] if held else 0
+
+    def save(self) -> None:
+        self.state.update((self.count,))
+
+    def fire(self, key, ready, upto) -> Iterator[Row]:
         for _, same_time in groupby(ready, key=lambda r: r[0]):
             peers = list(same_time)
-            n += len(peers)
+            self.count += len(peers)
             for r in peers:
-                yield self.row(*key, r[1], n)
-        self.count.update((n,))
+                yield self.row(*key, r[1], self.count)
 
 
 class LeftJoinChangelog(ArrivalOrdered):
