@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 
 import public_tokenizers
 import pyarrow as pa
@@ -75,3 +76,27 @@ def test_no_ids_and_no_rows(spark):
     ids = spark.createDataFrame([(1, None), (2, []), (3, [2]), (4, [LIB.piece_to_id("▁"), 2])], "n int, ids array<int>")
     assert pick(P.decode(ids, MODEL), "n", "decoded") == [(1, ""), (2, ""), (3, ""), (4, "")]
     assert P.encode(frame(spark, []), MODEL).count() == 0
+
+
+def test_memory_of_a_unit_is_small():
+    """Every worker of an executor may hold such a memory: no object per id in it."""
+    rng = random.Random(8)
+    units = {"▁" + "".join(rng.choice("abethinrsou") for _ in range(8)) for _ in range(30_000)}
+    own = P.Merger(MODEL)
+    tracemalloc.start()
+    try:
+        before = tracemalloc.get_traced_memory()[0]
+        own.learn(set(units))
+        grown = tracemalloc.get_traced_memory()[0] - before
+    finally:
+        tracemalloc.stop()
+    assert len(own.memo) == len(units) and grown < 140 * len(units)
+
+
+def test_a_full_memory_is_begun_anew(monkeypatch):
+    """Units known and new in one call, when the memory has no room for the new ones."""
+    monkeypatch.setattr(P, "MEMO", 50)
+    own = P.Merger(MODEL)
+    for k in range(6):
+        texts = [" ".join(f"word{i + k * 7}" for i in range(20)), "", "y" * (40 + k), "é日" * 30]
+        assert own.encoded(texts, True).to_pylist() == LIB.encode(texts, add_eos=True)

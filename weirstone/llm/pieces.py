@@ -6,7 +6,8 @@ merged through an agenda of all adjacent pairs of symbols that form a piece, bes
 then leftmost: the best pair becomes one symbol, which makes new pairs with its neighbours.
 Long units keep the agenda in a heap; short ones are merged side by side as rows of a matrix, the
 best pair of each at every step. What is left and is no piece becomes byte pieces (or the unknown id, where the model has none). Units are remembered per worker
-process, up to MEMO of them.
+process, up to MEMO of them, their ids side by side in one array: a text is a row of unit numbers, and its ids are taken from there by numpy. No Python
+object per id is made, since every worker of an executor may hold such a memory.
 
 In every Arrow batch the sentencepiece library encodes each unit that is new to the worker,
 one text as a whole, and decodes all ids; a difference stops the job, as it means a model that
@@ -25,7 +26,8 @@ import functools
 import gc
 import heapq
 import re
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterable, Iterator
 from itertools import chain, pairwise, repeat
 
 import numpy as np
@@ -41,10 +43,13 @@ SPACE = "▁"
 MEMO = 400_000
 # Units up to SHORT characters are merged side by side, so many at a time; longer ones by a heap, and not remembered.
 SHORT, TOGETHER = 32, 4096
-NO_SYMBOL, PAD, NO_RANK = -1, -2, 1 << 30
+NO_SYMBOL, PAD, NO_RANK, NO_PAIR = -1, -2, 1 << 30, 1 << 62
+HASH = np.uint64(0x9E3779B97F4A7C15)
 # An agenda entry: the rank above SHIFT bits of position.
 SHIFT = 40
 POSITION = (1 << SHIFT) - 1
+# Bytes of text encoded at a time.
+SLICE_BYTES = 1 << 20
 # Numbers of ids decoded at a time.
 DECODE_IDS = 1 << 19
 UNKNOWN_TEXT = " ⁇ "
@@ -56,6 +61,47 @@ def library(model: bytes) -> sentencepiece.SentencePieceProcessor:
     return sentencepiece.SentencePieceProcessor(model_proto=model)
 
 
+class Memory:
+    """Units by number, with the ids of all of them in one array."""
+
+    def __init__(self):
+        self.places: dict[str, int] = {}
+        self.ids, self.ends = array("i"), array("q", [0])
+
+    def __len__(self) -> int:
+        return len(self.places)
+
+    def __getitem__(self, unit: str) -> array:
+        place = self.places[unit]
+        return self.ids[self.ends[place] : self.ends[place + 1]]
+
+    def add(self, units: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
+        """New units; `ids` are theirs in a row, `sizes` how many each has."""
+        self.places.update(zip(units, range(len(self), len(self) + len(units))))
+        self.ends.frombytes((np.cumsum(sizes, dtype=np.int64) + len(self.ids)).tobytes())
+        self.ids.frombytes(ids.astype(np.int32).tobytes())
+
+    def forget(self, units: Iterable[str]) -> None:
+        """Drop `units`, which have to be the newest."""
+        for unit in units:
+            del self.places[unit]
+        del self.ends[len(self) + 1 :]
+        del self.ids[self.ends[-1] :]
+
+    def since(self, count: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and their numbers of the units after the first `count`."""
+        ends = np.array(self.ends[count:], np.int64)
+        return np.array(self.ids[ends[0] :], np.int32), np.diff(ends)
+
+    def taken(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the units at `places` in a row, and how many each has."""
+        ends = np.frombuffer(self.ends, np.int64)
+        starts = ends[places]
+        sizes = ends[places + 1] - starts
+        at = np.arange(int(sizes.sum())) + np.repeat(starts - (np.cumsum(sizes) - sizes), sizes)
+        return np.frombuffer(self.ids, np.int32)[at] if len(at) else np.zeros(0, np.int32), sizes
+
+
 class Merger:
     """The agenda over one vocabulary."""
 
@@ -78,9 +124,7 @@ class Merger:
                 if left is not None and right is not None:
                     self.rank[left * self.span + right] = scores[lib.get_score(i)]
                     self.pair[left * self.span + right] = i
-        self.pair_keys = np.array(sorted(self.rank), np.int64)
-        self.pair_ranks = np.array([self.rank[k] for k in self.pair_keys.tolist()], np.int32)
-        self.pair_ids = np.array([self.pair[k] for k in self.pair_keys.tolist()], np.int32)
+        self.pair_keys, self.pair_ranks, self.pair_ids = self._table()
         self.symbol_of = np.full(0x110000, NO_SYMBOL, np.int32)
         for c, i in self.symbol.items():
             if len(c) == 1:
@@ -89,8 +133,7 @@ class Merger:
         self.unknown, self.end = lib.unk_id(), lib.eos_id()
         self.border, self.before = None, []
         self.cut = self._cutter()
-        # Tuples of numbers, as the garbage collector leaves them alone.
-        self.memo: dict[str, tuple[int, ...]] = {}
+        self.memo = Memory()
 
     def _cutter(self) -> re.Pattern | None:
         """Units end before a space after another character, before a mark that follows a letter in no piece, and around characters of no merge."""
@@ -156,15 +199,38 @@ class Merger:
                 heapq.heappush(heap, r << SHIFT | h)
         return [symbol for symbol in symbols if symbol is not None]
 
+    def _table(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Keys, ranks and pieces of all pairs, each at its hash or in the next free slot after it; free ones hold -1."""
+        bits = max(4, (4 * len(self.rank)).bit_length())
+        self.hash_shift = np.uint64(64 - bits)
+        keys, slots = np.array(list(self.rank), np.int64), np.full(1 << bits, -1, np.int64)
+        for key, at in zip(keys.tolist(), self._slots(keys).tolist()):
+            while slots[at] >= 0:
+                at = (at + 1) % len(slots)
+            slots[at] = key
+        ranks = np.fromiter((self.rank.get(k, NO_RANK) for k in slots.tolist()), np.int32, len(slots))
+        return slots, ranks, np.fromiter((self.pair.get(k, 0) for k in slots.tolist()), np.int32, len(slots))
+
+    def _slots(self, keys: np.ndarray) -> np.ndarray:
+        return (keys.view(np.uint64) * HASH >> self.hash_shift).astype(np.int64)
+
     def _ranks(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rank and piece of pairs of symbols, NO_RANK where they form none."""
         keys = left.astype(np.int64) * self.span + right
-        place = np.minimum(np.searchsorted(self.pair_keys, keys), len(self.pair_keys) - 1)
-        known = (self.pair_keys[place] == keys) & (left >= 0) & (right >= 0)
-        return np.where(known, self.pair_ranks[place], NO_RANK), self.pair_ids[place]
-
-    def _side_by_side(self, units: list[str]) -> Iterator[tuple[str, tuple[int, ...]]]:
-        """Ids of units of similar length, all merged together: each step merges the best pair of every unit."""
+        keys = np.where((left >= 0) & (right >= 0), keys, NO_PAIR)
+        shape, keys = keys.shape, keys.ravel()
+        place = self._slots(keys)
+        held = self.pair_keys[place]
+        more = np.flatnonzero((held != keys) & (held >= 0))
+        while len(more):
+            place[more] = (place[more] + 1) % len(self.pair_keys)
+            held = self.pair_keys[place[more]]
+            more = more[(held != keys[more]) & (held >= 0)]
+        place = place.reshape(shape)
+        return self.pair_ranks[place], self.pair_ids[place]
+
+    def _side_by_side(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of units of similar length in a row, and how many each has. All are merged together: each step merges the best pair of every unit."""
         lengths = np.fromiter(map(len, units), np.int64, len(units))
         width = int(lengths.max())
         columns = np.arange(width)
@@ -198,47 +264,77 @@ class Merger:
             moved[inner, at[inner] - 1], kinds[inner, at[inner] - 1] = self._ranks(held[inner, at[inner] - 1], new[inner])
             ranks[going], made[going] = moved, kinds
         left = symbols != PAD
-        flat, ends = symbols[left].tolist(), np.cumsum(left.sum(axis=1)).tolist()
-        odd = (left & ((symbols < 0) | (symbols >= self.size))).any(axis=1).tolist()
-        for unit, start, end, is_odd in zip(units, [0, *ends], ends, odd):
-            ids = flat[start:end]
-            yield unit, tuple(self._ids(unit, ids) if is_odd else ids)
-
-    def learn(self, units: set[str]) -> None:
-        """Merge new units, check them against the library, and remember them."""
-        short = sorted((u for u in units if 0 < len(u) <= SHORT), key=len)
+        flat, sizes = symbols[left], left.sum(axis=1)
+        odd = np.flatnonzero((left & ((symbols < 0) | (symbols >= self.size))).any(axis=1))
+        if not len(odd):
+            return flat, sizes
+        own = np.split(flat, np.cumsum(sizes)[:-1])
+        for i in odd.tolist():
+            own[i] = np.array(self._ids(units[i], own[i].tolist()), np.int32)
+        return np.concatenate(own), np.fromiter(map(len, own), np.int64, len(own))
+
+    def learn(self, units: set[str]) -> list[str]:
+        """Merge new units, check them against the library, and remember them; those too long to stay come last and are returned."""
+        before = len(self.memo)
+        every = sorted(units, key=len)
+        short = [u for u in every if 0 < len(u) <= SHORT]
+        rest = [u for u in every if not 0 < len(u) <= SHORT]  # the empty unit first; it stays
         for at in range(0, len(short), TOGETHER):
-            self.memo.update(self._side_by_side(short[at : at + TOGETHER]))
-        for unit in units:
-            if not 0 < len(unit) <= SHORT:
-                self.memo[unit] = tuple(self.merged(unit))
+            some = short[at : at + TOGETHER]
+            self.memo.add(some, *self._side_by_side(some))
+        for unit in rest:
+            ids = self.merged(unit)
+            self.memo.add([unit], np.array(ids, np.int32), np.array([len(ids)]))
         if self.cut is not None:
-            every = list(units)
-            told = self.lib.encode([self.border + u.replace(SPACE, " ") for u in every], num_threads=1)
-            skip = len(self.before)
-            for unit, ids in zip(every, told):
-                if ids[:skip] != self.before or tuple(ids[skip:]) != self.memo[unit]:
-                    raise _differ("ids", unit)
-
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        # Lists of numbers have no cycles; looking for some takes a fifth of the time.
+            self._check(short + rest, *self.memo.since(before))
+        return [u for u in rest if u]
+
+    def _check(self, units: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
+        """The library's ids of each unit have to be these."""
+        ends, skip = np.cumsum(sizes), len(self.before)
+        for at in range(0, len(units), TOGETHER):
+            some = units[at : at + TOGETHER]
+            told = self.lib.encode([self.border + u.replace(SPACE, " ") for u in some], num_threads=1)
+            own = ids[ends[at] - sizes[at] : ends[at + len(some) - 1]].tolist()
+            want = [self.before + own[a:b] for a, b in pairwise([0, *np.cumsum(sizes[at : at + len(some)]).tolist()])]
+            if told != want:
+                raise _differ("ids", next(u for u, a, b in zip(some, told, want) if a != b))
+
+    def encoded(self, texts: list[str], end: bool = False) -> pa.ListArray:
+        """The ids of each text, with the end id if `end`."""
+        # Lists of strings have no cycles; looking for some takes a fifth of the time.
         gc.disable()
         try:
             shown = map(self.lib.normalize, texts)
             units = [[t] for t in shown] if self.cut is None else list(map(self.cut.findall, shown))
-            every = set().union(*units)
-            new = every - self.memo.keys()
-            if len(self.memo) + len(new) > MEMO:
-                self.memo.clear()
-                new = every
-            self.learn(new)
-            found = [list(chain.from_iterable(map(self.memo.__getitem__, own))) for own in units]
-            for unit in new:
-                if len(unit) > SHORT:
-                    del self.memo[unit]
-            return found
+            counts = np.fromiter(map(len, units), np.int64, len(units))
+            flat = list(chain.from_iterable(units))
+            del units
+            places = self._places(flat)
+            unknown = np.flatnonzero(places < 0)
+            strange, long = list(map(flat.__getitem__, unknown.tolist())), []
+            if strange:
+                new = set(strange)
+                if len(self.memo) + len(new) > MEMO:
+                    self.memo = Memory()
+                    unknown, strange, new = np.arange(len(flat)), flat, set(flat)
+                long = self.learn(new)
+                places[unknown] = self._places(strange)
+            ids, sizes = self.memo.taken(places)
+            self.memo.forget(long)
         finally:
             gc.enable()
+        ends = np.concatenate([[0], np.cumsum(sizes)])[np.cumsum(counts)]
+        if end:
+            ids = np.insert(ids, ends, self.end)
+            ends = ends + np.arange(1, len(ends) + 1)
+        return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()), pa.array(ids, pa.int32()))
+
+    def _places(self, units: list[str]) -> np.ndarray:
+        return np.fromiter(map(self.memo.places.get, units, repeat(-1)), np.int64, len(units))
+
+    def encode(self, texts: list[str]) -> list[list[int]]:
+        return rows_of(self.encoded(texts))
 
 
 class Reader:
@@ -331,16 +427,15 @@ def encode(docs: DataFrame, model: bytes, *, text: str = "text", out: str = "ids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = merger(sent.value)
-        tail = [own.end] if end else []
         for batch in batches:
-            for part in slices(batch, place):
+            for part in slices(batch, place, SLICE_BYTES):
                 texts = pc.fill_null(part.column(place), "").to_pylist()
-                found = [ids + tail for ids in own.encode(texts)]
+                found = own.encoded(texts, end)
                 # Units are checked when they are learnt, and how they are put together on a whole text; without units every text is.
                 some = texts if own.cut is None else texts[:1]
-                if found[: len(some)] != own.lib.encode(some, add_eos=end, num_threads=1):
+                if rows_of(found[: len(some)]) != own.lib.encode(some, add_eos=end, num_threads=1):
                     raise _differ("ids", some[0][:100])
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(found, pa.list_(pa.int32()))], names=schema.fieldNames())
+                yield pa.RecordBatch.from_arrays([*part.columns, found], names=schema.fieldNames())
 
     return mapped(docs, run, schema)
 
