@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from data import START
+from weirstone.operators import running as hot
 from weirstone.operators.running import BLOCK, Blocks, cut_rows, running, running_count
 
 
@@ -48,3 +49,20 @@ def test_over_range_event_with_hot_keys(spark):
         hours[ts.replace(minute=0)] = hours.get(ts.replace(minute=0), 0) + 1
     want = {h: sum(n for k, n in hours.items() if k <= h) for h in hours}
     assert all(r["ct"] == want[r["rt"].replace(tzinfo=None)] for r in got.collect())
+
+
+def test_rows_of_hot_keys_are_cut_where_they_are_read(spark):
+    """Joined by the key alone before they are cut, all rows of a hot key would meet in one task."""
+    rows = [(i, "a" if i % 4 else None, float(i)) for i in range(800)]
+    cut, blocks = cut_rows(spark.createDataFrame(rows, "seq long, id string, at double"), ["id"], "at", Blocks(rows=20))
+    plan = cut._jdf.queryExecution().executedPlan().toString()
+    assert blocks is not None and "Exchange hashpartitioning" not in plan and "SortMergeJoin" not in plan
+    assert all(r[BLOCK] >= 0 for r in cut.collect())
+
+
+def test_cut_of_many_hot_keys(spark, monkeypatch):
+    """More hot keys than are listed: the same blocks, by a join of DataFrames."""
+    df = spark.createDataFrame([(i, i % 7, float(i * 31 % 501)) for i in range(700)], "seq long, id long, at double")
+    listed = cut_rows(df, ["id"], "at", Blocks(rows=20))[0].collect()
+    monkeypatch.setattr(hot, "LISTED", 3)
+    assert sorted(cut_rows(df, ["id"], "at", Blocks(rows=20))[0].collect()) == sorted(listed)

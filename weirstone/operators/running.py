@@ -14,7 +14,8 @@ earlier blocks, and the carried value is joined back:
 The rows are shuffled once; the totals are map-side combined and a key has no more
 of them than there are blocks. The hot keys, their bounds and the carry side are
 DataFrames joined without a hint: Spark broadcasts them only below its own size
-threshold.
+threshold. Up to `LISTED` hot keys and their bounds are local tables of known size, so their
+rows are cut where they are read.
 
 Bounds only balance the work; any give the same result. A null in a key column is a
 key like any other; a null in the order column comes first, as Spark sorts it.
@@ -26,6 +27,7 @@ import os
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import NumericType
 
@@ -96,24 +98,39 @@ def _quantiles(x: Column) -> Column:
     return F.percentile_approx(F.when(~F.isnan(x), x), [i / CELLS for i in range(CELLS + 1)], ACCURACY)
 
 
-def _with_bounds(df: DataFrame, keys: list[str], hot: DataFrame, x: Column) -> DataFrame:
-    """`df` with `_n` and `_bounds`, the rows and quantiles of its key where that is hot, else null."""
+def _local(df: DataFrame, rows: pa.Table) -> DataFrame:
+    """The collected `rows` of `df` as a local relation: from a list of rows Spark makes one of unknown size, which is not broadcast."""
+    return df.sparkSession.createDataFrame(rows, df.schema)
+
+
+def _parts(n: Column, blocks: Blocks) -> Column:
+    """Blocks between two quantiles of a key with n rows."""
+    pieces = F.least(F.ceil(n / blocks.rows), F.lit(blocks.limit))
+    return F.greatest(F.ceil(pieces / CELLS), F.lit(1)).cast("long")
+
+
+def _with_bounds(df: DataFrame, keys: list[str], hot: DataFrame, x: Column, blocks: Blocks, listed: bool) -> DataFrame:
+    """`df` with `_parts` and `_bounds`, the blocks between two quantiles of its key, and these, where that is hot, else null.
+
+    Of listed keys the bounds become a local table too: its size is known when the join is planned,
+    which otherwise brings all rows of a key into one task before they are cut.
+    """
     marked, bound = [f"_k{i}" for i in range(len(keys))], [f"_b{i}" for i in range(len(keys))]
     marks = hot.select(*[F.col(k).alias(n) for k, n in zip(keys, marked)])
     hot_rows = df.join(marks, same_keys(keys, marked), "left_semi")
-    bounds = hot_rows.groupBy(*[F.col(k).alias(n) for k, n in zip(keys, bound)]).agg(F.count(F.lit(1)).alias("_n"), _quantiles(x).alias("_bounds"))
+    bounds = hot_rows.groupBy(*[F.col(k).alias(n) for k, n in zip(keys, bound)]).agg(_parts(F.count(F.lit(1)), blocks).alias("_parts"), _quantiles(x).alias("_bounds"))
+    if listed:
+        bounds = _local(bounds, bounds.toArrow())
     return df.join(bounds, same_keys(keys, bound), "left").drop(*bound)
 
 
-def _stepped(df: DataFrame, x: Column, blocks: Blocks) -> DataFrame:
+def _stepped(df: DataFrame, x: Column) -> DataFrame:
     """Add the block number: a non-decreasing step function of `x`, from 0 for null.
 
     One expression in which `x` is found once and its cell by halving, both bound by a lambda:
     Spark puts it into filters and totals too, where columns used twice would be found anew.
     """
-    bounds = F.col("_bounds")
-    pieces = F.least(F.ceil(F.col("_n") / blocks.rows), F.lit(blocks.limit))
-    parts = F.greatest(F.ceil(pieces / CELLS), F.lit(1)).cast("long")
+    bounds, parts = F.col("_bounds"), F.col("_parts")
     halves = F.array(*[F.lit(1 << i) for i in reversed(range(CELLS.bit_length() - 1))])
 
     def placed(v: Column, cell: Column) -> Column:
@@ -128,7 +145,7 @@ def _stepped(df: DataFrame, x: Column, blocks: Blocks) -> DataFrame:
         return F.aggregate(halves, F.lit(0), lambda c, step: F.when(F.get(bounds, c + step) <= v, c + step).otherwise(c), lambda c: placed(v, c))
 
     found = F.get(F.transform(F.array(x), block), F.lit(0))
-    return df.withColumn(BLOCK, F.when(F.col("_n").isNull(), F.lit(WHOLE)).otherwise(found).cast("long")).drop("_n", "_bounds")
+    return df.withColumn(BLOCK, F.when(parts.isNull(), F.lit(WHOLE)).otherwise(found).cast("long")).drop("_parts", "_bounds")
 
 
 def cut_rows(
@@ -149,16 +166,17 @@ def cut_rows(
         if n <= blocks.rows:
             return df, None
         known = F.array(*map(F.lit, bounds)) if bounds else F.lit(None).cast("array<double>")
-        return _stepped(df.withColumns({"_n": F.lit(n), "_bounds": known}), x, blocks), blocks
+        return _stepped(df.withColumns({"_parts": _parts(F.lit(n), blocks), "_bounds": known}), x), blocks
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     hot = counts.where(F.col("_n") > blocks.rows)
-    first = hot.limit(LISTED + 1).collect()
-    if not first:
+    first = hot.limit(LISTED + 1).toArrow()
+    if not first.num_rows:
         return df, None
     x = order_number(df, order, shared_bytes(df, order))
-    if len(first) <= LISTED:
-        hot = df.sparkSession.createDataFrame(first, hot.schema)
-    return _stepped(_with_bounds(df, keys, hot, x), x, blocks), blocks
+    listed = first.num_rows <= LISTED
+    if listed:
+        hot = _local(hot, first)
+    return _stepped(_with_bounds(df, keys, hot, x, blocks, listed), x), blocks
 
 
 @dataclass(frozen=True)
