@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from data import START
 from weirstone.operators import running as hot
+from weirstone.operators.rolling import top_changelog
 from weirstone.operators.running import BLOCK, Blocks, cut_rows, running, running_count
 
 
@@ -66,3 +67,14 @@ def test_cut_of_many_hot_keys(spark, monkeypatch):
     listed = cut_rows(df, ["id"], "at", Blocks(rows=20))[0].collect()
     monkeypatch.setattr(hot, "LISTED", 3)
     assert sorted(cut_rows(df, ["id"], "at", Blocks(rows=20))[0].collect()) == sorted(listed)
+
+
+def test_top_changelog_cuts_hot_keys_once(spark, monkeypatch):
+    """The second pass goes by the blocks of the first, and both give what one task would."""
+    searched, quantiles = [], hot._quantiles
+    monkeypatch.setattr(hot, "_quantiles", lambda x: searched.append(1) or quantiles(x))
+    df = spark.createDataFrame([(i, "a" if i % 3 else None, i * 37 % 101) for i in range(400)], "seq long, id string, vc long")
+    got = top_changelog(df, keys=["id"], order=["seq"], value="vc", n=2, blocks=Blocks(rows=20))
+    assert len(searched) == 1
+    plain = top_changelog(df, keys=["id"], order=["seq"], value="vc", n=2, blocks=None)
+    assert got.columns == plain.columns and sorted(map(str, got.collect())) == sorted(map(str, plain.collect()))

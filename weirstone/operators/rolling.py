@@ -213,7 +213,9 @@ def top_changelog(
     and adds the new one; `step` is its arrival number `order[0]`. Ranks without change put
     out nothing.
     """
-    listed = running_top(df, keys=keys, order=order, value=value, n=n, name="_top", blocks=blocks)
+    # Cut once for both passes: cutting again would make the lists once more to count them, and once for the bounds.
+    cut, blocks = cut_rows(df, keys, order[0], blocks)
+    listed = running_top(cut, keys=keys, order=order, value=value, n=n, name="_top", blocks=blocks)
     both = running(listed, keys=keys, order=order, folds={"_held": previous(F.col("_top"))}, blocks=blocks)
 
     def moves(i: int) -> Column:
