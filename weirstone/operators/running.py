@@ -15,7 +15,8 @@ The rows are shuffled once; the totals are map-side combined and a key has no mo
 of them than there are blocks. The hot keys, their bounds and the carry side are
 DataFrames joined without a hint: Spark broadcasts them only below its own size
 threshold. Up to `LISTED` hot keys and their bounds are local tables of known size, so their
-rows are cut where they are read.
+rows are cut where they are read. The carry side is written to the shared scratch folder: of
+known size too, it meets the windows' rows without their being dealt out and sorted again.
 
 Bounds only balance the work; any give the same result. A null in a key column is a
 key like any other; a null in the order column comes first, as Spark sorts it.
@@ -32,6 +33,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import NumericType
 
 from weirstone.functions.timecols import epoch_micros
+from weirstone.session import scratch
 
 BLOCK = "_blk"
 STRINGS = ("string", "varchar", "char")
@@ -86,11 +88,12 @@ def order_number(df: DataFrame, name: str, skip: int = 0) -> Column:
     raise TypeError(f"rows can't be ordered by {name}: {kind.simpleString()}")
 
 
-def same_keys(left: Sequence[str], right: Sequence[str]) -> Column:
-    """Join condition on key columns in which null equals null."""
+def same_keys(left: Sequence[str], right: Sequence[str], rows: DataFrame | None = None) -> Column:
+    """Join condition on key columns in which null equals null; of `rows`, columns `left` that hold no null are compared plainly."""
     found = F.lit(True)
     for a, b in zip(left, right):
-        found = found & F.col(a).eqNullSafe(F.col(b))
+        plain = rows is not None and not rows.schema[a].nullable
+        found = found & (F.col(a) == F.col(b) if plain else F.col(a).eqNullSafe(F.col(b)))
     return found
 
 
@@ -103,6 +106,15 @@ def _local(df: DataFrame, rows: pa.Table) -> DataFrame:
     return df.sparkSession.createDataFrame(rows, df.schema)
 
 
+def _at_hand(carried: DataFrame) -> DataFrame:
+    """What is carried to the blocks, written out: its size is known when the join is planned."""
+    if "void" in carried.schema.simpleString():  # no file holds that type
+        return carried
+    target = scratch(carried.sparkSession, "carried")
+    carried.write.parquet(target)
+    return carried.sparkSession.read.schema(carried.schema).parquet(target)
+
+
 def _parts(n: Column, blocks: Blocks) -> Column:
     """Blocks between two quantiles of a key with n rows."""
     pieces = F.least(F.ceil(n / blocks.rows), F.lit(blocks.limit))
@@ -117,35 +129,32 @@ def _with_bounds(df: DataFrame, keys: list[str], hot: DataFrame, x: Column, bloc
     """
     marked, bound = [f"_k{i}" for i in range(len(keys))], [f"_b{i}" for i in range(len(keys))]
     marks = hot.select(*[F.col(k).alias(n) for k, n in zip(keys, marked)])
-    hot_rows = df.join(marks, same_keys(keys, marked), "left_semi")
+    hot_rows = df.join(marks, same_keys(keys, marked, df), "left_semi")
     bounds = hot_rows.groupBy(*[F.col(k).alias(n) for k, n in zip(keys, bound)]).agg(_parts(F.count(F.lit(1)), blocks).alias("_parts"), _quantiles(x).alias("_bounds"))
     if listed:
         bounds = _local(bounds, bounds.toArrow())
-    return df.join(bounds, same_keys(keys, bound), "left").drop(*bound)
+    return df.join(bounds, same_keys(keys, bound, df), "left").drop(*bound)
 
 
 def _stepped(df: DataFrame, x: Column) -> DataFrame:
     """Add the block number: a non-decreasing step function of `x`, from 0 for null.
 
-    One expression in which `x` is found once and its cell by halving, both bound by a lambda:
-    Spark puts it into filters and totals too, where columns used twice would be found anew.
+    `x` and its cell, found by halving, are columns of their own: Spark does not put them into
+    an expression that uses them twice. A filter on the block stays above the `explode`, so the
+    block is not found anew for it.
     """
-    bounds, parts = F.col("_bounds"), F.col("_parts")
+    bounds, parts, v, cell = (F.col(c) for c in ("_bounds", "_parts", "_x", "_cell"))
     halves = F.array(*[F.lit(1 << i) for i in reversed(range(CELLS.bit_length() - 1))])
-
-    def placed(v: Column, cell: Column) -> Column:
-        low, high = F.get(bounds, cell), F.get(bounds, cell + 1)
-        wide = (high > low) & (high < float("inf")) & (low > float("-inf"))
-        inside = F.when(F.isnan(v), parts - 1).when(wide, F.floor((v - low) / (high - low) * parts))
-        inside = F.least(F.greatest(F.coalesce(inside, F.lit(0)), F.lit(0)), parts - 1)
-        return F.when(v.isNull(), F.lit(0).cast("long")).otherwise(1 + cell * parts + inside)
-
-    def block(v: Column) -> Column:
-        # The last bound within the cells that is not above v.
-        return F.aggregate(halves, F.lit(0), lambda c, step: F.when(F.get(bounds, c + step) <= v, c + step).otherwise(c), lambda c: placed(v, c))
-
-    found = F.get(F.transform(F.array(x), block), F.lit(0))
-    return df.withColumn(BLOCK, F.when(parts.isNull(), F.lit(WHOLE)).otherwise(found).cast("long")).drop("_parts", "_bounds")
+    # The last bound within the cells that is not above v.
+    halved = F.aggregate(halves, F.lit(0), lambda c, step: F.when(F.get(bounds, c + step) <= v, c + step).otherwise(c))
+    low, high = F.get(bounds, cell), F.get(bounds, cell + 1)
+    wide = (high > low) & (high < float("inf")) & (low > float("-inf"))
+    inside = F.when(F.isnan(v), parts - 1).when(wide, F.floor((v - low) / (high - low) * parts))
+    inside = F.least(F.greatest(F.coalesce(inside, F.lit(0)), F.lit(0)), parts - 1)
+    found = F.when(parts.isNull(), F.lit(WHOLE)).when(v.isNull(), F.lit(0)).otherwise(1 + cell * parts + inside)
+    # Rows of other keys have no bounds to search.
+    searched = df.withColumn("_x", F.when(parts.isNotNull(), x)).withColumn("_cell", F.when(v.isNotNull(), halved))
+    return searched.select("*", F.explode(F.array(found.cast("long"))).alias(BLOCK)).drop("_parts", "_bounds", "_x", "_cell")
 
 
 def cut_rows(
@@ -335,7 +344,7 @@ def running(
     )
     names = [f"_j{i}" for i in range(len(keys))]
     carried = carried.select(*[F.col(k).alias(n) for k, n in zip(keys, names)], F.col(BLOCK).alias("_jb"), *[f"_c_{n}" for n in folds])
-    merged = local.join(carried, same_keys(keys, names) & (F.col(BLOCK) == F.col("_jb")), "left")
+    merged = local.join(_at_hand(carried), same_keys(keys, names, local) & (F.col(BLOCK) == F.col("_jb")), "left")
     if keep_block:
         kept.append(BLOCK)
     return merged.select(
