@@ -3,7 +3,8 @@
 import pytest
 from pyspark.sql import functions as F
 
-from weirstone.operators.running import BLOCK, WHOLE, Blocks, cut_rows, first_value, running, running_count
+from weirstone.operators.over import over_unbounded
+from weirstone.operators.running import BLOCK, WHOLE, Blocks, cut_rows, first_value, running, running_count, running_sum
 
 
 @pytest.mark.parametrize("keys", [["id"], []])
@@ -35,3 +36,15 @@ def test_a_filter_does_not_find_the_block_again(spark, keys):
     plan = cut.where(F.col(BLOCK) != WHOLE).groupBy(BLOCK).count()._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("aggregate(") == 1
     assert not [line for line in plan.splitlines() if "Filter" in line and "aggregate(" in line]
+
+
+def _scans(df) -> int:
+    return df._jdf.queryExecution().executedPlan().toString().count("Range (")
+
+
+def test_result_of_a_global_order_reads_its_rows_once(spark):
+    """The totals were a branch of the result, which read and searched all rows again whenever it was used."""
+    df = spark.range(600).select(F.col("id").alias("seq"), (F.col("id") % 7).alias("vc"))
+    out = over_unbounded(df, order=["seq"], folds={"s": running_sum(F.col("vc"))}, blocks=Blocks(rows=50))
+    assert _scans(out) == 1
+    assert {r["seq"]: r["s"] for r in out.collect()} == {i: sum(k % 7 for k in range(i + 1)) for i in range(600)}
