@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from weirstone.operators.firings import late_firings
 from weirstone.operators.over import over_unbounded
 from weirstone.operators.running import BLOCK, WHOLE, Blocks, cut_rows, first_value, running, running_count, running_sum
 
@@ -48,3 +49,15 @@ def test_result_of_a_global_order_reads_its_rows_once(spark):
     out = over_unbounded(df, order=["seq"], folds={"s": running_sum(F.col("vc"))}, blocks=Blocks(rows=50))
     assert _scans(out) == 1
     assert {r["seq"]: r["s"] for r in out.collect()} == {i: sum(k % 7 for k in range(i + 1)) for i in range(600)}
+
+
+def test_late_firings_read_rows_once_for_each_kind(spark):
+    """Rows in time and late rows: two reads, without two more of the totals behind the watermark."""
+    ts = F.timestamp_seconds(F.col("id") * 60 - F.when(F.col("id") % 5 == 0, 9000).otherwise(0) + 1_700_000_000)
+    df = spark.range(600).select(F.col("id").alias("seq"), F.lit("a").alias("id"), ts.alias("ts"))
+    sizes = {"keys": ["id"], "ts": "ts", "order": ["seq"], "size": "1 hour", "delay": "1 hour", "lateness": "3 hours", "folds": {"n": running_count()}}
+    cut, plain = (late_firings(df, blocks=blocks, **sizes) for blocks in (Blocks(rows=200), None))
+    # The totals of the rows in time are read for their firing, and for the late ones.
+    assert _scans(cut) <= 3
+    assert sorted(map(str, cut.collect())) == sorted(map(str, plain.collect()))
+    assert cut.where("firing > 1").count() > 50
