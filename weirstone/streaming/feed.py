@@ -23,11 +23,14 @@ from weirstone.sources.files import table, table_stream
 SLICE_ROWS = 1 << 20
 # Slice numbers that the driver takes from the manifest at a time.
 LISTED = 1000
+NO_MORE = object()
 
 
 class Feed:
     """`stream` is the table as a stream; `advance` makes its next slice readable, False after the last.
 
+    `ended` is True once the last slice is readable.
+
     `shape` adds columns to the table before it is cut. With `end`, a time column, one more
     slice follows: a row long after all others, with `marks` in its other columns. It moves the
     watermark on, so that the last windows and timers fire; the query tells it by its marks.
@@ -41,6 +44,7 @@ class Feed:
     ) -> None:
         shape = shape or (lambda df: df)
         self.spark, self.order, self.done, self.stamp = spark, order, 0, stamp
+        self.parts, self.ended = self._parts(), False
         rows = shape(table(spark, folder, name))
         self.schema, self.last = rows.schema, None
         if end is not None:
@@ -78,14 +82,21 @@ class Feed:
             rows = rows.withColumn(self.stamp, F.current_timestamp())
         rows.write.mode("overwrite").parquet(f"{self.path}/shown/slice-{self.done:09d}")
 
+    def _parts(self) -> Iterator[DataFrame | None]:
+        """What each slice shows; None for a table read where it lies."""
+        for number in self.slices:
+            yield None if number is None else self.spark.read.schema(self.schema).parquet(f"{self.path}/cut/_slice={number}")
+        if self.last is not None:
+            yield self.last
+
     def advance(self) -> bool:
-        number = next(self.slices, -1)
-        if number is not None and number >= 0:
-            self._show(self.spark.read.schema(self.schema).parquet(f"{self.path}/cut/_slice={number}"))
-        elif number == -1:
-            if self.last is None:
-                return False
-            self._show(self.last)
-            self.last = None
+        if self.done == 0:
+            self.coming = next(self.parts, NO_MORE)
+        if self.coming is NO_MORE:
+            return False
+        part, self.coming = self.coming, next(self.parts, NO_MORE)
+        if part is not None:
+            self._show(part)
         self.done += 1
+        self.ended = self.coming is NO_MORE
         return True

@@ -5,10 +5,11 @@ Results go through a folder below the shared root, never through the driver.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager, nullcontext
 
 from pyspark.errors import StreamingQueryException
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from weirstone.session import scratch
@@ -16,6 +17,10 @@ from weirstone.sinks.keyed import UpsertLog
 from weirstone.streaming.feed import Feed
 
 
+# Partitions that a stream's state has at least, where a shuffle has as many.
+LEAST_PARTITIONS = 4
+
+
 class RowsDropped(RuntimeError):
     """A watermark dropped rows that nothing put to a side output."""
 
@@ -25,24 +30,50 @@ def dropped(query: StreamingQuery) -> int:
     return sum(s["numRowsDroppedByWatermark"] for p in query.recentProgress for s in p["stateOperators"])
 
 
+@contextmanager
+def settings(spark: SparkSession, **conf: str) -> Iterator[None]:
+    """Session settings, `_` for `.`, for the queries that start inside."""
+    held = {k: spark.conf.get(k, None) for k in (name.replace("_", ".") for name in conf)}
+    for key, value in zip(held, conf.values()):
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in held.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def state_partitions(spark: SparkSession) -> int:
+    """Partitions for a stream's state: as many as tasks run at once.
+
+    A micro-batch is one slice, however large the table. Each partition opens and commits its
+    stores in every micro-batch, so one per shuffle partition of the whole table costs more
+    than the rows. A stream that goes on from a checkpoint keeps the number it began with.
+    """
+    return min(int(spark.conf.get("spark.sql.shuffle.partitions")), max(spark.sparkContext.defaultParallelism, LEAST_PARTITIONS))
+
+
 def run_available(writer: DataStreamWriter, feed: Feed | None = None, *, late: str = "raise", restarts: int = 0) -> None:
     """Process what is available, slice by slice with a feed, then stop.
 
     `late` tells what rows beyond the watermark mean: "raise" RowsDropped, or "drop".
     The writer needs a checkpoint location; a slice goes on from the one before. A query that
     fails is started again from its checkpoint up to `restarts` times in all; it repeats the
-    micro-batch that failed, with the same rows.
+    micro-batch that failed, with the same rows. A feed's next slice also closes what the one
+    before has completed; a micro-batch without rows does so after the last slice only.
     """
     while feed is None or feed.advance():
-        while True:
-            query = writer.trigger(availableNow=True).start()
-            try:
-                query.awaitTermination()
-                break
-            except StreamingQueryException:
-                if not restarts:
-                    raise
-                restarts -= 1
+        going_on = feed is not None and not feed.ended and late == "raise"
+        with settings(feed.spark, spark_sql_streaming_noDataMicroBatches_enabled="false") if going_on else nullcontext():
+            while True:
+                query = writer.trigger(availableNow=True).start()
+                try:
+                    query.awaitTermination()
+                    break
+                except StreamingQueryException:
+                    if not restarts:
+                        raise
+                    restarts -= 1
         if late == "raise" and (n := dropped(query)):
             raise RowsDropped(f"{n} rows came after the watermark: raise the delay, or split late rows off first")
         if feed is None:
@@ -84,7 +115,8 @@ def appended_rows(df: DataFrame, *, mode: str = "append", checkpoint: str | None
 
     # An empty entry, so that the folder can be read.
     spark.createDataFrame([], df.schema).write.mode("ignore").parquet(f"{target}/batch_id=-1")
-    drain(df, write, mode=mode, checkpoint=checkpoint, feed=feed, late=late)
+    with settings(spark, spark_sql_shuffle_partitions=str(state_partitions(spark))):
+        drain(df, write, mode=mode, checkpoint=checkpoint, feed=feed, late=late)
     return spark.read.schema(df.schema).option("basePath", target).parquet(f"{target}/batch_id=*").select(
         *df.columns
     )
