@@ -3,8 +3,9 @@
 Two families: those that follow arrival (`ArrivalOrdered`, rows of a micro-batch
 sorted by `_seq`) and those that follow event time (`EventOrdered`, rows wait
 until the watermark has passed them). Inputs carry `_us` (event time in
-microseconds) and `_seq` (arrival number) where the family needs them. State per
-key is a value, a short list or a map; a micro-batch's size is set by the source
+microseconds) and `_seq` (arrival number) where the family needs them. Each call of a
+state variable is a round trip to the JVM, so what a key holds is one packed value
+(`Held`) where it is short; a micro-batch's size is set by the source
 (`maxFilesPerTrigger`, `maxOffsetsPerTrigger`).
 """
 
@@ -12,7 +13,8 @@ from __future__ import annotations
 
 import pickle
 import sys
-from collections import deque
+import zlib
+from collections import defaultdict, deque
 from collections.abc import Callable, Iterator, Sequence
 from itertools import groupby
 
@@ -27,8 +29,10 @@ from weirstone.schemas import struct
 for _module in (sys.modules[__name__], schemas):
     cloudpickle.register_pickle_by_value(_module)
 
-# Rows of a key in one entry of a buffer.
+# Rows of a key in one entry of a buffer; up to as many wait in its packed value.
 PACKED = 10_000
+# Values in a page of what a key has seen, on average at most.
+PAGE = 1_000
 
 
 def stateful(
@@ -46,6 +50,23 @@ def stateful(
     )
 
 
+class Held:
+    """One picklable value per key, None for none: a call reads it and a call writes it, whatever it consists of."""
+
+    def __init__(self, handle: StatefulProcessorHandle) -> None:
+        self.state = handle.getValueState("held", struct("packed binary"))
+
+    def get(self):
+        held = self.state.get()
+        return None if held is None else pickle.loads(held[0])
+
+    def put(self, value) -> None:
+        if value is None:
+            self.state.clear()
+        else:
+            self.state.update((pickle.dumps(value),))
+
+
 class ArrivalOrdered(StatefulProcessor):
     """Base: `step(key, row)` per row, in arrival order within the micro-batch.
 
@@ -57,7 +78,7 @@ class ArrivalOrdered(StatefulProcessor):
         self.names = struct(out).fieldNames()
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
+        self.handle, self.make = handle, Row(*self.names)
         self.setup(handle)
 
     def setup(self, handle: StatefulProcessorHandle) -> None: ...
@@ -67,7 +88,7 @@ class ArrivalOrdered(StatefulProcessor):
     def save(self) -> None: ...
 
     def row(self, *values) -> Row:
-        return Row(**dict(zip(self.names, values)))
+        return self.make(*values)
 
     def step(self, key: tuple, row: Row) -> Iterator[Row]:
         raise NotImplementedError
@@ -84,10 +105,10 @@ class ArrivalOrdered(StatefulProcessor):
 class EventOrdered(ArrivalOrdered):
     """Base: rows buffered by key and stepped in (event time, arrival) order at the watermark.
 
-    `load` and `save` run once per key and firing, so steps work on plain values. A key has
-    one timer at a time, for the first waiting row or what `due` tells, whichever is earlier:
-    the buffer is read once per firing however many rows and waits a key has. The buffer holds
-    rows packed by PACKED, as state of a row each costs more than the steps.
+    Steps work on plain values, which `unpack` sets and `pack` gives back once per key and firing.
+    They are held with the key's timer and its waiting rows in one packed value; beyond PACKED
+    rows they go to a list, which only firings read. A key has one timer at a time, for the first
+    waiting row or what `due` tells, whichever is earlier.
     """
 
     def __init__(self, out: str, buffered: str) -> None:
@@ -95,54 +116,68 @@ class EventOrdered(ArrivalOrdered):
         self.fields = struct("_us long, _seq long, " + buffered)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
+        self.held = Held(handle)
         self.buffer = handle.getListState("buffer", struct("rows binary"))
-        self.timer = handle.getValueState("timer", struct("ms long"))
         super().init(handle)
 
+    def unpack(self, state) -> None:
+        """Set the plain values of a key; `state` is what `pack` returned, None for a new key."""
+
+    def pack(self):
+        """The plain values as something picklable; None if there is nothing to hold."""
+        return None
+
+    def _read(self) -> tuple[int | None, object, list[tuple], bool]:
+        """Time of the key's timer, its packed values, waiting rows, and whether the list holds more."""
+        return self.held.get() or (None, None, [], False)
+
+    def _write(self, timer: int | None, state, rows: list[tuple], more: bool) -> None:
+        self.held.put((timer, state, rows, more) if timer is not None or state is not None or rows or more else None)
+
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         names = self.fields.fieldNames()
         fresh = [tuple(row[n] for n in names) for row in rows]
         if fresh:
-            self.buffer.appendList(packed(fresh))
-            at, held = to_millis(min(r[0] for r in fresh)), self.timer.get()
-            if held is None or at < held[0]:
-                if held is not None:
-                    self.handle.deleteTimer(held[0])
-                self.set_timer(at)
+            timer, state, waiting, more = self._read()
+            at = to_millis(min(r[0] for r in fresh))
+            if timer is None or at < timer:
+                if timer is not None:
+                    self.handle.deleteTimer(timer)
+                self.handle.registerTimer(at)
+                timer = at
+            waiting += fresh
+            if len(waiting) > PACKED:
+                self.buffer.appendList(packed(waiting))
+                waiting, more = [], True
+            self._write(timer, state, waiting, more)
         return iter(())
 
-    def set_timer(self, ms: int) -> None:
-        self.handle.registerTimer(ms)
-        self.timer.update((ms,))
-
-    def take_ready(self, upto: int) -> tuple[list[tuple], int | None]:
-        """Remove and return the rows up to a time, in order; and the time of the first that stays."""
-        held = [r for (some,) in self.buffer.get() for r in pickle.loads(some)]
-        ready = sorted((r for r in held if r[0] <= upto), key=lambda r: r[:2])
-        waiting = [r for r in held if r[0] > upto]
-        if ready and waiting:
-            self.buffer.put(packed(waiting))
-        elif ready:
-            self.buffer.clear()
-        return ready, min((r[0] for r in waiting), default=None)
-
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         upto = timerValues.getCurrentWatermarkInMs() * 1000
-        ready, waiting = self.take_ready(upto)
-        self.load()
+        _, state, rows, more = self._read()
+        if more:
+            rows = [r for (some,) in self.buffer.get() for r in pickle.loads(some)] + rows
+        ready = sorted((r for r in rows if r[0] <= upto), key=lambda r: r[:2])
+        waiting = [r for r in rows if r[0] > upto]
+        self.unpack(state)
         yield from self.fire(key, ready, upto)
-        self.save()
-        wakes = [us for us in (waiting, self.due()) if us is not None]
-        if wakes:
-            self.set_timer(to_millis(min(wakes)))
-        else:
-            self.timer.clear()
+        wakes = [us for us in (min((r[0] for r in waiting), default=None), self.due()) if us is not None]
+        timer = to_millis(min(wakes)) if wakes else None
+        if timer is not None:
+            self.handle.registerTimer(timer)
+        if len(waiting) > PACKED:
+            self.buffer.put(packed(waiting))
+            waiting, more = [], True
+        elif more:
+            self.buffer.clear()
+            more = False
+        self._write(timer, self.pack(), waiting, more)
 
     def fire(self, key: tuple, ready: list[tuple], upto: int) -> Iterator[Row]:
-        make = Row(*self.fields.fieldNames())
+        names = self.fields.fieldNames()
         for values in ready:
             yield from self.expire(key, values[0])
-            yield from self.step(key, make(*values))
+            yield from self.step(key, dict(zip(names, values)))
         yield from self.expire(key, upto)
 
     def expire(self, key: tuple, upto: int) -> Iterator[Row]:
@@ -163,21 +198,6 @@ def to_millis(us: int) -> int:
     return -(-us // 1000)
 
 
-def put_value(state, value: tuple | None) -> None:
-    """Write a value state, None clearing it."""
-    if value is None:
-        state.clear()
-    else:
-        state.update(value)
-
-
-def put_list(state, values: list[tuple]) -> None:
-    if values:
-        state.put(values)
-    else:
-        state.clear()
-
-
 class Reduce(ArrivalOrdered):
     """(accumulated, row) -> accumulated, emitted at each row. First row starts it."""
 
@@ -230,17 +250,14 @@ class CountWindow(ArrivalOrdered):
         self.full_only = full_only
 
     def setup(self, handle) -> None:
-        self.tail_state = handle.getListState("tail", struct("v long"))
-        self.count_state = handle.getValueState("count", struct("n long"))
+        self.held = Held(handle)
 
     def load(self) -> None:
-        held = self.count_state.get()
-        self.count = held[0] if held else 0
-        self.tail = deque((t[0] for t in self.tail_state.get()), maxlen=self.size)
+        self.count, tail = self.held.get() or (0, ())
+        self.tail = deque(tail, maxlen=self.size)
 
     def save(self) -> None:
-        self.count_state.update((self.count,))
-        self.tail_state.put([(v,) for v in self.tail])
+        self.held.put((self.count, tuple(self.tail)))
 
     def step(self, key, row) -> Iterator[Row]:
         self.count += 1
@@ -294,19 +311,65 @@ class JumpAlert(ArrivalOrdered):
 
 
 class FirstSeen(ArrivalOrdered):
-    """A row whose value the key has not had before (map state)."""
+    """A row whose value the key has not had before: (key, _seq, value).
+
+    A key's values lie in pages of a map state, by the hash of the value; page 0 also tells how
+    many there are. When pages hold more than PAGE values on average, each is split in two. A
+    micro-batch reads and writes the pages of its values, one in memory at a time besides page 0.
+    """
 
     def __init__(self, out: str, value: str) -> None:
         super().__init__(out)
         self.value = value
 
     def setup(self, handle) -> None:
-        self.seen = handle.getMapState("seen", struct("v long"), struct("seq long"))
+        self.pages = handle.getMapState("pages", struct("page long"), struct("packed binary"))
 
-    def step(self, key, row) -> Iterator[Row]:
-        if not self.seen.containsKey((row[self.value],)):
-            self.seen.updateValue((row[self.value],), (row["_seq"],))
-            yield self.row(*key, row["_seq"], row[self.value])
+    def _read(self, page: int, empty):
+        held = self.pages.getValue((page,))
+        return empty if held is None else pickle.loads(held[0])
+
+    def _write(self, page: int, packed) -> None:
+        self.pages.updateValue((page,), (pickle.dumps(packed),))
+
+    def _split(self, page: int, values: set, bits: int) -> set:
+        """Move to a new page the values whose next bit of the hash is 1; return the others."""
+        moved = {v for v in values if hashed(v) >> bits & 1}
+        if moved:
+            self._write(page + (1 << bits), moved)
+        return values - moved
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        first = {}
+        for row in rows:
+            value, seq = row[self.value], row["_seq"]
+            if value not in first or seq < first[value]:
+                first[value] = seq
+        bits, total, zero = self._read(0, (0, 0, set()))
+        before, places = total, defaultdict(list)
+        for value in first:
+            places[hashed(value) & (1 << bits) - 1].append(value)
+        for page, values in places.items():
+            held = zero if page == 0 else self._read(page, set())
+            fresh = [v for v in values if v not in held]
+            for v in fresh:
+                yield self.row(*key, first[v], v)
+            held.update(fresh)
+            total += len(fresh)
+            if page and fresh:
+                self._write(page, held)
+        while total > PAGE << bits:
+            zero = self._split(0, zero, bits)
+            for page in range(1, 1 << bits):
+                self._write(page, self._split(page, self._read(page, set()), bits))
+            bits += 1
+        if total > before:
+            self._write(0, (bits, total, zero))
+
+
+def hashed(value) -> int:
+    """The same in every process."""
+    return zlib.crc32(repr(value).encode())
 
 
 class ControlSwitch(ArrivalOrdered):
@@ -348,17 +411,17 @@ class DailyLimit(ArrivalOrdered):
         self.limit, self.offset = limit, offset_hours * 3_600_000
 
     def setup(self, handle) -> None:
-        self.counts = handle.getListState("counts", struct("day long, n long"))
+        self.held = Held(handle)
 
     def load(self) -> None:
-        self.days = {day: n for day, n in self.counts.get()}
+        self.days = self.held.get() or {}
         self.watched = min(self.days, default=None)
 
     def end_of(self, day: int) -> int:
         return (day + 1) * self.DAY - self.offset
 
     def save(self) -> None:
-        put_list(self.counts, list(self.days.items()))
+        self.held.put(self.days or None)
         first = min(self.days, default=None)
         if first is not None and first != self.watched:
             if self.watched is not None and first < self.watched:
@@ -417,15 +480,12 @@ class NoDropAlert(EventOrdered):
         super().__init__(out, f"{value} long")
         self.value, self.hold, self.strict, self.rearm = value, hold_us, strict, rearm
 
-    def setup(self, handle) -> None:
-        self.state = handle.getValueState("run", struct("seen boolean, v long, us long, fired boolean"))
-
-    def load(self) -> None:
+    def unpack(self, state) -> None:
         # Whether there was a row, its value, start of the run if one is on, whether it has alerted.
-        self.seen, self.last, self.since, self.fired = tuple(self.state.get() or (False, None, None, False))
+        self.seen, self.last, self.since, self.fired = state or (False, None, None, False)
 
-    def save(self) -> None:
-        self.state.update((self.seen, self.last, self.since, self.fired))
+    def pack(self) -> tuple:
+        return self.seen, self.last, self.since, self.fired
 
     def step(self, key, row) -> Iterator[Row]:
         value = row[self.value]
@@ -456,14 +516,11 @@ class StrictRepeat(EventOrdered):
         super().__init__(out, "hit boolean")
         self.times, self.within = times, within_us
 
-    def setup(self, handle) -> None:
-        self.state = handle.getListState("chain", struct("us long"))
+    def unpack(self, state) -> None:
+        self.chain = deque(state or (), maxlen=self.times)
 
-    def load(self) -> None:
-        self.chain = deque((t[0] for t in self.state.get()), maxlen=self.times)
-
-    def save(self) -> None:
-        put_list(self.state, [(us,) for us in self.chain])
+    def pack(self) -> tuple | None:
+        return tuple(self.chain) or None
 
     def step(self, key, row) -> Iterator[Row]:
         if not row["hit"]:
@@ -481,15 +538,12 @@ class FollowedBy(EventOrdered):
         super().__init__(out, "starts boolean, ends boolean")
         self.within = within_us
 
-    def setup(self, handle) -> None:
-        self.state = handle.getListState("open", struct("us long"))
-
-    def load(self) -> None:
+    def unpack(self, state) -> None:
         # In order of time, as rows are stepped in it.
-        self.open = deque(t[0] for t in self.state.get())
+        self.open = deque(state or ())
 
-    def save(self) -> None:
-        put_list(self.state, [(us,) for us in self.open])
+    def pack(self) -> tuple | None:
+        return tuple(self.open) or None
 
     def step(self, key, row) -> Iterator[Row]:
         if row["ends"]:
@@ -515,15 +569,11 @@ class PayMonitor(EventOrdered):
         super().__init__(out, "creates boolean")
         self.within = within_us
 
-    def setup(self, handle) -> None:
-        self.state = handle.getValueState("open", struct("us long"))
-
-    def load(self) -> None:
-        held = self.state.get()
-        self.open = held[0] if held else None
+    def unpack(self, state) -> None:
+        self.open = state
 
-    def save(self) -> None:
-        put_value(self.state, None if self.open is None else (self.open,))
+    def pack(self) -> int | None:
+        return self.open
 
     def step(self, key, row) -> Iterator[Row]:
         if row["creates"]:
@@ -554,15 +604,12 @@ class FailWindow(EventOrdered):
         super().__init__(out, "fail boolean")
         self.within, self.at_least = within_us, at_least
 
-    def setup(self, handle) -> None:
-        self.state = handle.getValueState("window", struct("first long, last long, n long, done boolean"))
+    def unpack(self, state) -> None:
+        # First and last fail, their number, whether the window is closed.
+        self.window = state
 
-    def load(self) -> None:
-        held = self.state.get()
-        self.window = tuple(held) if held else None
-
-    def save(self) -> None:
-        put_value(self.state, self.window)
+    def pack(self) -> tuple | None:
+        return self.window
 
     def _report(self, key, held) -> Iterator[Row]:
         if not held[3] and held[2] >= self.at_least:
@@ -601,17 +648,13 @@ class Reconcile(EventOrdered):
         super().__init__(out, "side string")
         self.lower, self.upper = lower_us, upper_us
 
-    def setup(self, handle) -> None:
-        one = struct("us long, matched boolean")
-        self.states = {"left": handle.getListState("left", one), "right": handle.getListState("right", one)}
-
-    def load(self) -> None:
+    def unpack(self, state) -> None:
         # [time, matched] in order of time, as rows are stepped in it.
-        self.sides = {side: deque([us, m] for us, m in state.get()) for side, state in self.states.items()}
+        left, right = state or ((), ())
+        self.sides = {"left": deque(left), "right": deque(right)}
 
-    def save(self) -> None:
-        for side, state in self.states.items():
-            put_list(state, [tuple(t) for t in self.sides[side]])
+    def pack(self) -> tuple | None:
+        return (list(self.sides["left"]), list(self.sides["right"])) if any(self.sides.values()) else None
 
     def _gap_ok(self, left: int, right: int) -> bool:
         return self.lower <= right - left <= self.upper
@@ -647,15 +690,11 @@ class RangeCount(EventOrdered):
     def __init__(self, out: str) -> None:
         super().__init__(out, "payload long")
 
-    def setup(self, handle) -> None:
-        self.state = handle.getValueState("count", struct("n long"))
-
-    def load(self) -> None:
-        held = self.state.get()
-        self.count = held[0] if held else 0
+    def unpack(self, state) -> None:
+        self.count = state or 0
 
-    def save(self) -> None:
-        self.state.update((self.count,))
+    def pack(self) -> int:
+        return self.count
 
     def fire(self, key, ready, upto) -> Iterator[Row]:
         for _, same_time in groupby(ready, key=lambda r: r[0]):
